@@ -6,15 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality
+from tessera.llm import licenses, mixing, quality
 from tessera.llm._spark import table
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mixing": op2_source_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_license_scans": op10_license_scans,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op2_source_mixing": mixing.ORACLE_SQL,
+    "op10_license_scans": licenses.oracle_sql(),
 }
-ORACLE_SQL: dict[str, str] = {}
