@@ -30,7 +30,7 @@ from tessera.llm._spark import cut, md5_uniform, prepare
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 7
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Up to so many sources, their targets (under 100 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_SOURCES = 10_000
 
