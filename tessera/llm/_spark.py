@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
+import numpy as np
+import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +38,59 @@ def md5_uniform(*columns: Column | str) -> Column:
     """A number in (0, 1) from the columns' text, the same in every engine that has md5."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), F.lit("")) for c in columns])
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
+
+
+_STORED: list[str] = []
+
+
+def store(df: DataFrame) -> DataFrame:
+    """The frame as compressed Parquet in the shared checkpoint folder, for tables too wide for checkpoint().
+
+    The folder goes when the session's Python ends.
+    """
+    spark = prepare(df.sparkSession)
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    path = f"{context._jsc.sc().getCheckpointDir().get()}/tables/{uuid.uuid4().hex}"
+    if not _STORED:
+        atexit.register(_drop_stored, jvm, context)
+    _STORED.append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop_stored(jvm: object, context: object) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        for path in _STORED:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
+BLOOM_BITS = 1 << 23
+
+
+def bloom(ids: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of ``bits`` bits, whatever the number of ids: more ids only let more others through."""
+    at = F.explode(F.array(*[F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(bits)) for i in range(3)]))
+    words = ids.select(at.alias("bit")).groupBy(F.expr("CAST(bit DIV 64 AS INT)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("bits"))
+    table = np.zeros(bits // 64, dtype=np.int64)
+    rows = words.toArrow()
+    table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return table
+
+
+def maybe_in(table: Broadcast, column: str) -> Column:
+    """Whether the Bloom filter may hold the column's value: the three tests stay inside Arrow batches of hashes."""
+
+    @F.pandas_udf("boolean")
+    def test(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        words = table.value
+        found = np.ones(len(a), dtype=bool)
+        for bit in (x.to_numpy() for x in (a, b, c)):
+            found &= (words[bit // 64] >> (bit % 64)) & 1 == 1
+        return pd.Series(found)
+
+    return test(*[F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(len_bits(table))) for i in range(3)])
+
+
+def len_bits(table: Broadcast) -> int:
+    return len(table.value) * 64

@@ -113,7 +113,7 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
 def minimizers(hashes: np.ndarray, bounds: np.ndarray, window: int) -> np.ndarray:
     """Sorted positions of the least hash (the first of equals) in each run of ``window`` hashes of one text.
 
-    A text with fewer hashes than ``window`` counts as one run.
+    Equal runs pick equal hashes at equal places, wherever they stand. Texts with fewer hashes have no run.
     """
     n = len(hashes)
     if not n:
@@ -128,8 +128,4 @@ def minimizers(hashes: np.ndarray, bounds: np.ndarray, window: int) -> np.ndarra
         best = np.where(better, other, best)
         done += step
     starts, _ = windows(bounds, window)
-    picked = [best[starts]]
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if 0 < b - a < window:
-            picked.append(np.array([a + int(np.argmin(hashes[a:b]))]))
-    return np.unique(np.concatenate(picked))
+    return np.unique(best[starts])

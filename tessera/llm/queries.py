@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extract, licenses, mixing, neighbours, quality
+from tessera.llm import html_extract, licenses, mixing, neighbours, phrases, quality
 from tessera.llm._spark import table
 
 
@@ -18,6 +18,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), k=20)
 
 
+def op5_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -33,6 +37,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op5_repeated_phrases": op5_repeated_phrases,
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scans": op10_license_scans,
