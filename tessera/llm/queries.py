@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extract, licenses, mixing, neighbours, phrases, quality
+from tessera.llm import html_extract, licenses, mixing, neighbours, phrases, quality, suffixes
 from tessera.llm._spark import table
 
 
@@ -22,6 +22,10 @@ def op5_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_repeated_phrases": op5_repeated_phrases,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scans": op10_license_scans,
