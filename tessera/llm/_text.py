@@ -60,7 +60,7 @@ def byte_hasher(data: np.ndarray, which: int = 0) -> SpanHasher:
     return SpanHasher(BYTE_VALUES[which][data], which)
 
 
-def slices(column: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, max_bytes: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) of runs of rows of about ``max_bytes``; a longer text stands alone."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -110,22 +110,53 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def minimizers(hashes: np.ndarray, bounds: np.ndarray, window: int) -> np.ndarray:
-    """Sorted positions of the least hash (the first of equals) in each run of ``window`` hashes of one text.
+def rolling(values: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+    """Hashes of all runs of ``size`` values, as :class:`SpanHasher` gives them, across the edges of texts too."""
+    n = len(values)
+    if n < size:
+        return np.zeros(0, dtype=U64)
+    sums = np.zeros(n + 1, dtype=U64)
+    np.cumsum(values * powers(which, n), out=sums[1:])
+    raw = (sums[size:] - sums[:-size]) * powers(which, n - size + 1, inverse=True)
+    return mix(raw + U64(size * 0xD6E8FEB86659FD93 % 2**64), which)
 
-    Equal runs pick equal hashes at equal places, wherever they stand. Texts with fewer hashes have no run.
+
+def running_least(keys: np.ndarray, window: int) -> np.ndarray:
+    """The least key of each run of ``window``: from minima within blocks, forward and backward."""
+    n = len(keys)
+    if n < window:
+        return keys[:0]
+    padded = np.full(-(-n // window) * window, np.iinfo(keys.dtype).max, dtype=keys.dtype)
+    padded[:n] = keys
+    blocks = padded.reshape(-1, window)
+    forward = np.minimum.accumulate(blocks, axis=1).ravel()
+    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(backward[: n - window + 1], forward[window - 1 : n])
+
+
+PLACE_BITS = 24
+
+
+def minimizers(hashes: np.ndarray, bounds: np.ndarray, size: int, length: int) -> np.ndarray:
+    """Sorted places of the anchors of all runs of ``length`` items that stay in one text (``bounds``).
+
+    ``hashes`` are those of the runs of ``size`` items, from each place on. A run's anchor is the least of them inside it,
+    the first of equals, so that equal runs have equal anchors at equal places. Hashes are compared by their upper
+    40 bits; among equals of those the first is taken.
     """
-    n = len(hashes)
-    if not n:
-        return np.zeros(0, np.int64)
-    span = min(window, n)
-    # positions of running minima by doubling: best[i] is the first least of hashes[i : i + done]
-    best, done = np.arange(n), 1
-    while done < span:
-        step = min(done, span - done)
-        other = best[np.minimum(np.arange(n) + step, n - 1)]
-        better = hashes[other] < hashes[best]
-        best = np.where(better, other, best)
-        done += step
-    starts, _ = windows(bounds, window)
-    return np.unique(best[starts])
+    places = U64(2**PLACE_BITS - 1)
+    keys = (hashes & ~places) | (np.arange(len(hashes), dtype=U64) & places)
+    least = running_least(keys, length - size + 1)
+    counts = np.diff(bounds)
+    full = counts >= length
+    edge = np.zeros(len(least) + 1, dtype=np.int8)
+    # starts of texts and ends of their runs are distinct places, each of one text
+    edge[bounds[:-1][full]] += 1
+    edge[bounds[:-1][full] + counts[full] - length + 1] -= 1
+    at = np.flatnonzero(np.cumsum(edge[:-1], dtype=np.int8))
+    picked = least[at]
+    new = np.ones(len(picked), dtype=bool)
+    new[1:] = picked[1:] != picked[:-1]
+    at, low = at[new], (picked[new] & places).astype(np.int64)
+    # a place is known by its lower bits, as it is less than length away from the run's start
+    return np.unique(at + ((low - at) & (2**PLACE_BITS - 1)))

@@ -48,11 +48,14 @@ def _summaries(docs: DataFrame, window: int) -> DataFrame:
                 starts, ends, bounds = tx.word_spans(data, offsets)
                 words = [tx.word_hashes(data, starts, ends, w) for w in range(2)]
                 sequence = [tx.SpanHasher(h, w)(bounds[:-1], bounds[1:]).view(np.int64) for w, h in enumerate(words)]
-                at, of = tx.windows(bounds, size)
-                grams = tx.SpanHasher(words[0])(at, at + size)
-                picked = tx.minimizers(grams, np.searchsorted(of, np.arange(b - a + 1)), window - size + 1)
-                pairs = np.unique(np.stack([of[picked].astype(np.uint64), grams[picked]]), axis=1) if len(picked) else np.zeros((2, 0), np.uint64)
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs[0], np.arange(b - a + 1, dtype=np.uint64)).astype(np.int32)), pa.array(pairs[1].view(np.int64)))
+                grams = tx.rolling(words[0], size)
+                picked = tx.minimizers(grams, bounds, size, window)
+                of, phrase = np.searchsorted(bounds, picked, side="right") - 1, grams[picked]
+                order = np.lexsort((phrase, of))
+                of, phrase = of[order], phrase[order]
+                new = np.ones(len(of), dtype=bool)
+                new[1:] = (of[1:] != of[:-1]) | (phrase[1:] != phrase[:-1])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of[new], np.arange(b - a + 1)).astype(np.int32)), pa.array(phrase[new].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(np.diff(bounds)), *map(pa.array, sequence), lists], ["doc_id", "n_words", "h1", "h2", "phrases"])
 
     return docs.mapInArrow(run, "doc_id long, n_words long, h1 long, h2 long, phrases array<long>")

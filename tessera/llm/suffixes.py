@@ -52,10 +52,9 @@ def difference_cover(period: int) -> np.ndarray:
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, hashes, texts) of the anchors of all strings of ``length`` bytes."""
     size = length // 2
-    at, of = tx.windows(offsets, size)
-    grams = tx.byte_hasher(data)(at, at + size)
-    picked = tx.minimizers(grams, np.searchsorted(of, np.arange(len(offsets))), length - size + 1)
-    return at[picked], grams[picked].view(np.int64), of[picked]
+    grams = tx.rolling(tx.BYTE_VALUES[0][data], size)
+    places = tx.minimizers(grams, offsets, size, length)
+    return places, grams[places].view(np.int64), np.searchsorted(offsets, places, side="right") - 1
 
 
 def _summaries(docs: DataFrame, length: int) -> DataFrame:
