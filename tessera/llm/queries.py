@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extract, licenses, mixing, neighbours, phrases, quality, suffixes
+from tessera.llm import html_extract, licenses, minhash, mixing, neighbours, phrases, quality, suffixes
 from tessera.llm._spark import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_repeated_phrases": op5_repeated_phrases,
