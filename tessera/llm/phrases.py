@@ -31,7 +31,7 @@ from tessera.llm import _text as tx
 from tessera.llm._spark import bloom, cut, maybe_in, prepare, store
 
 WINDOW = 50
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 def _phrase(window: int) -> int:
