@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm._spark import cut, store
@@ -35,44 +35,53 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("label"))).distinct()
 
 
-def links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], ratio: float) -> DataFrame:
-    """Verified links (a, b) that connect whatever the verified pairs of all buckets connect.
+def crowded(buckets: DataFrame, marks: list[str]) -> DataFrame:
+    """Buckets (bucket, id, *marks) that have two or more members, with n (their size) and a leader for each."""
+    dealt = buckets.repartition("bucket")
+    counts = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("least")).filter("n > 1")
+    members = store(dealt.join(counts, "bucket"))
+    # of a large bucket, the member with the least hash leads
+    leaders = members.filter((F.col("n") > SMALL) & (F.xxhash64("id") == F.col("least"))).groupBy("bucket").agg(F.min(F.struct("id", *marks)).alias("leader"))
+    leaders = leaders.select("bucket", F.col("leader.id").alias("lead_id"), *[F.col(f"leader.{m}").alias(f"lead_{m}") for m in marks])
+    return store(members.drop("least").join(leaders, "bucket", "left"))
 
-    ``buckets`` has (bucket, id, size): an id may be in many buckets. ``verify`` gets distinct pairs (a, b) and returns
-    those that are similar. Pairs of which one size is below ``ratio`` times the other can't be.
+
+def links(members: DataFrame, marks: list[str], fit: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Verified links (a, b) that connect whatever the verified pairs of all buckets (of :func:`crowded`) connect.
+
+    ``fit`` says from two members' marks whether they may be similar; ``verify`` gets distinct pairs (a, b) and returns
+    those that are.
 
     Members of small buckets are all paired. In a large one, every member is paired with one leader first. Where that
     leaves members outside the bucket's largest component, four, sixteen, ... of those become leaders in turn and are
     paired with all members of other components, until each has been one. So a pair that isn't tried lies in one
     component already, or is between two members of the largest one.
     """
-    fit = lambda x, y: F.least(x, y) >= ratio * F.greatest(x, y)
     order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    counts = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("id").alias("h"), "id", "size")).alias("leader")).filter("n > 1")
-    members = store(buckets.join(counts, "bucket").select("bucket", "id", "size", "n", F.col("leader.id").alias("leader"), F.col("leader.size").alias("leader_size")))
-    few = members.filter(F.col("n") <= SMALL).select("bucket", "id", "size")
-    other = few.select("bucket", F.col("id").alias("id2"), F.col("size").alias("size2"))
-    pairs = few.join(other, "bucket").filter(F.col("id") < F.col("id2")).filter(fit(F.col("size"), F.col("size2"))).select(*order(F.col("id"), F.col("id2")))
+    own = lambda c: F.col(c)
+    led = lambda c: F.col(f"lead_{c}")
+    renamed = lambda df: df.select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ["id", *marks]])
+    few = members.filter(F.col("n") <= SMALL).select("bucket", "id", *marks)
+    pairs = few.join(renamed(few), "bucket").filter((F.col("id") < F.col("lead_id")) & fit(own, led)).select(*order(F.col("id"), F.col("lead_id")))
     many = members.filter(F.col("n") > SMALL)
-    stars = many.filter(F.col("id") != F.col("leader")).filter(fit(F.col("size"), F.col("leader_size"))).select(*order(F.col("id"), F.col("leader")))
+    stars = many.filter((F.col("id") != F.col("lead_id")) & fit(own, led)).select(*order(F.col("id"), F.col("lead_id")))
     found = cut(verify(pairs.unionByName(stars).distinct()))
     if not many.take(1):
         return found
-    tried = many.select("bucket", F.col("leader").alias("id")).distinct()
+    tried = many.select("bucket", F.col("lead_id").alias("id")).distinct()
     quota = 4
     while True:
-        label = components(found)
-        state = many.select("bucket", "id", "size").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        state = store(state)
+        state = many.select("bucket", "id", *marks).join(components(found), "id", "left")
+        state = store(state.withColumn("label", F.coalesce("label", "id")))
         parts = state.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-        rest = state.join(main, "bucket").filter(F.col("label") != F.col("main.label")).select("bucket", "id", "size", "label").join(tried, ["bucket", "id"], "left_anti")
-        rest = cut(rest)
+        main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("main.label").alias("main"))
+        rest = cut(state.join(main, "bucket").filter("label != main").select("bucket", "id", *marks, "label").join(tried, ["bucket", "id"], "left_anti"))
         left = rest.groupBy("bucket").agg(F.count("*").alias("left"))
         if not left.take(1):
             return found
-        lead = cut(rest.join(left, "bucket").filter(F.pmod(F.xxhash64("id", F.lit(quota)), F.col("left")) < quota).select("bucket", F.col("id").alias("id1"), F.col("size").alias("size1"), F.col("label").alias("label1")))
-        near = lead.join(state, "bucket").filter((F.col("label") != F.col("label1")) & fit(F.col("size"), F.col("size1"))).select(*order(F.col("id"), F.col("id1"))).distinct()
+        lead = cut(rest.join(left, "bucket").filter(F.pmod(F.xxhash64("id", F.lit(quota)), F.col("left")) < quota).select("bucket", "id", *marks, "label"))
+        near = renamed(lead).join(lead.select("bucket", F.col("id").alias("lead_id"), F.col("label").alias("lead_label")), ["bucket", "lead_id"]).join(state, "bucket")
+        near = near.filter((F.col("label") != F.col("lead_label")) & fit(own, led)).select(*order(F.col("id"), F.col("lead_id"))).distinct()
         found = cut(found.unionByName(verify(near)).distinct())
-        tried = cut(tried.unionByName(lead.select("bucket", F.col("id1").alias("id"))))
+        tried = cut(tried.unionByName(lead.select("bucket", "id")))
         quota *= 4

@@ -168,10 +168,9 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, ro
     whole = signed.filter(F.col("doc_id").isNotNull() & (F.col("size") > 0))
     classes = store(whole.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("buckets").alias("buckets")))
     buckets = classes.select(F.explode("buckets").alias("bucket"), "id", "size")
-    shared = buckets.groupBy("bucket").count().filter("count > 1").select("bucket")
-    buckets = store(buckets.join(shared, "bucket"))
-    some = spark.sparkContext.broadcast(bloom(buckets.select("id").distinct(), "id"))
-    near = buckets.select(F.col("id").alias("doc_id")).distinct()
+    members = linking.crowded(buckets, ["size"])
+    near = cut(members.select(F.col("id").alias("doc_id")).distinct())
+    some = spark.sparkContext.broadcast(bloom(near, "doc_id"))
     # rows that share a doc_id share a text: one is enough
     sets = store(_sets(docs.filter(F.col("doc_id").isNotNull()).filter(maybe_in(some, "doc_id")).join(near, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
 
@@ -181,7 +180,8 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, ro
         common = F.size(F.array_intersect("sa", "sb"))
         return pairs.join(one, "a").join(two, "b").filter(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
-    found = linking.links(buckets, verify, threshold)
+    fit = lambda x, y: F.least(x("size"), y("size")) >= threshold * F.greatest(x("size"), y("size"))
+    found = linking.links(members, ["size"], fit, verify)
     label = linking.components(found)
     named = classes.join(label, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("group_id"))
     # documents without words, or without an id, are alone

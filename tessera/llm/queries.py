@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extract, licenses, minhash, mixing, neighbours, phrases, quality, suffixes
+from tessera.llm import html_extract, licenses, lines, minhash, mixing, neighbours, phrases, quality, suffixes
 from tessera.llm._spark import table
 
 
@@ -22,6 +22,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), k=20)
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_repeated_phrases": op5_repeated_phrases,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_html_extraction": op8_html_extraction,
