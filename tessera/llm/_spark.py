@@ -6,12 +6,13 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.core.broadcast import Broadcast
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -20,7 +21,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-checkpoint-"))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
@@ -78,19 +79,27 @@ def bloom(ids: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
     return table
 
 
-def maybe_in(table: Broadcast, column: str) -> Column:
-    """Whether the Bloom filter may hold the column's value: the three tests stay inside Arrow batches of hashes."""
+def through_bloom(df: DataFrame, table: np.ndarray, column: str, keep: bool, run: Callable | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+    """The rows of which the filter may hold the column's value (``keep``), or of which it surely doesn't (not ``keep``).
 
-    @F.pandas_udf("boolean")
-    def test(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        words = table.value
-        found = np.ones(len(a), dtype=bool)
-        for bit in (x.to_numpy() for x in (a, b, c)):
-            found &= (words[bit // 64] >> (bit % 64)) & 1 == 1
-        return pd.Series(found)
-
-    return test(*[F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(len_bits(table))) for i in range(3)])
-
-
-def len_bits(table: Broadcast) -> int:
-    return len(table.value) * 64
+    ``run``, a function for mapInArrow with ``schema``, gets those rows in the same pass, so that a task needs one Python
+    worker only. A null is never held.
+    """
+    spark, names = df.sparkSession, df.columns
+    held = spark.sparkContext.broadcast(table)
+    places = F.when(F.col(column).isNotNull(), F.array(*[F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(len(table) * 64)) for i in range(3)]))
+
+    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                bits = batch.column("_bloom_")
+                known = bits.is_valid().to_numpy(zero_copy_only=False)
+                found = np.zeros(batch.num_rows, dtype=bool)
+                at = bits.flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+                found[known] = ((held.value[at // 64] >> (at % 64)) & 1 == 1).all(axis=1)
+                yield batch.select(names).filter(pa.array(found == keep))
+
+    marked = df.select(*[F.col(f"`{c}`") for c in names], places.alias("_bloom_"))
+    if run is None:
+        return marked.mapInArrow(filtered, df.schema)
+    return marked.mapInArrow(lambda batches: run(filtered(batches)), schema)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import _text as tx
 from tessera.llm import linking
-from tessera.llm._spark import bloom, cut, maybe_in, prepare, store
+from tessera.llm._spark import bloom, cut, prepare, store, through_bloom
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -162,7 +162,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, group_id (the least doc_id of its group), n_shingles: one row for each row of ``docs``."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = store(signatures(docs, bands, rows))
     whole = signed.filter(F.col("doc_id").isNotNull() & (F.col("size") > 0))
@@ -170,9 +170,8 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, ro
     buckets = classes.select(F.explode("buckets").alias("bucket"), "id", "size")
     members = linking.crowded(buckets, ["size"])
     near = cut(members.select(F.col("id").alias("doc_id")).distinct())
-    some = spark.sparkContext.broadcast(bloom(near, "doc_id"))
     # rows that share a doc_id share a text: one is enough
-    sets = store(_sets(docs.filter(F.col("doc_id").isNotNull()).filter(maybe_in(some, "doc_id")).join(near, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
+    sets = store(_sets(through_bloom(docs, bloom(near, "doc_id"), "doc_id", keep=True).join(near, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
@@ -195,11 +194,10 @@ def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     gone = found.filter("doc_id != group_id").select(F.col("doc_id").alias("_gone"))
     often = found.filter("doc_id = group_id AND n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_gone"))
     gone, often = cut(gone.distinct()), cut(often)
-    some = docs.sparkSession.sparkContext.broadcast(bloom(gone.unionByName(often), "_gone"))
-    touched = F.coalesce(maybe_in(some, "doc_id_"), F.lit(False)) & F.col("doc_id").isNotNull()
-    marked = docs.withColumn("doc_id_", F.col("doc_id").cast("long"))
+    some = bloom(gone.unionByName(often), "_gone")
+    marked = docs.withColumn("_doc_", F.col("doc_id").cast("long"))
     # texts of documents that surely stay aren't shuffled
-    maybe = marked.filter(touched).join(gone, F.col("doc_id_") == F.col("_gone"), "left_anti")
-    single = maybe.join(often, F.col("doc_id_") == F.col("_gone"), "left_anti")
-    repeated = maybe.join(often, F.col("doc_id_") == F.col("_gone"), "left_semi").dropDuplicates(["doc_id_"])
-    return marked.filter(~touched).unionByName(single).unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    maybe = through_bloom(marked, some, "_doc_", keep=True).join(gone, F.col("_doc_") == F.col("_gone"), "left_anti")
+    single = maybe.join(often, F.col("_doc_") == F.col("_gone"), "left_anti")
+    repeated = maybe.join(often, F.col("_doc_") == F.col("_gone"), "left_semi").dropDuplicates(["_doc_"])
+    return through_bloom(marked, some, "_doc_", keep=False).unionByName(single).unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

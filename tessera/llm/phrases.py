@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import _text as tx
-from tessera.llm._spark import bloom, cut, maybe_in, prepare, store
+from tessera.llm._spark import bloom, cut, prepare, store, through_bloom
 
 WINDOW = 50
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 
 
 def _phrase(window: int) -> int:
@@ -125,15 +125,18 @@ def _remove(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            texts = batch.column("text").cast(pa.large_binary())
+            lists = batch.column("positions")
+            places, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
             out = []
-            for doc_id, text, copy, positions in zip(batch.column("doc_id").to_pylist(), texts, batch.column("copy").to_pylist(), batch.column("positions").to_pylist(), strict=True):
-                words = (text or b"").split()
+            for i, (doc_id, text, copy) in enumerate(zip(batch.column("doc_id").to_pylist(), texts, batch.column("copy").to_pylist(), strict=True)):
+                words = (text.as_py() or b"").split()
                 n, gone = len(words), 0
+                positions = places[bounds[i] : bounds[i + 1]]
                 if copy and n >= window:
                     words, gone = [], n
-                elif positions:
-                    cut_out = tx.covered(np.unique(np.asarray(positions, np.int64)), window, n)
+                elif len(positions):
+                    cut_out = tx.covered(np.unique(positions.astype(np.int64)), window, n)
                     gone = int(cut_out.sum())
                     words = [w for w, c in zip(words, cut_out.tolist(), strict=True) if not c]
                 kept = b" ".join(words)
@@ -156,8 +159,7 @@ def removed_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, D
     held = classes.select("doc_id", F.explode("phrases").alias("phrase"))
     recurring = held.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("phrase")
     lists = cut(held.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_list("phrase").alias("phrases")))
-    some = docs.sparkSession.sparkContext.broadcast(bloom(lists, "doc_id"))
-    texts = docs.filter(F.col("doc_id").isNotNull()).filter(maybe_in(some, "doc_id"))
+    texts = through_bloom(docs, bloom(lists, "doc_id"), "doc_id", keep=True)
     found = store(texts.join(lists, "doc_id").select("doc_id", "text", "phrases").mapInArrow(_locate(window), "doc_id long, pos int, w1 long, w2 int"))
     first = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter(F.col("last") > F.col("first")).drop("last")
     return found.join(first, ["w1", "w2"]).filter(F.col("doc_id") > F.col("first")).select("doc_id", "pos"), copies
@@ -170,13 +172,12 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     windows, copies = removed_windows(docs, window)
     marks = windows.groupBy("doc_id").agg(F.collect_set("pos").alias("positions")).withColumn("copy", F.lit(False))
     marks = cut(marks.unionByName(copies.distinct().select("doc_id", F.lit(None).cast("array<int>").alias("positions"), F.lit(True).alias("copy"))).groupBy("doc_id").agg(F.max("copy").alias("copy"), F.first("positions", ignorenulls=True).alias("positions")))
-    some = docs.sparkSession.sparkContext.broadcast(bloom(marks, "doc_id"))
-    touched = F.coalesce(maybe_in(some, "doc_id"), F.lit(False))
-    columns = ["doc_id", "text", "copy", "positions"]
+    some = bloom(marks, "doc_id")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    changed = docs.filter(touched).join(marks, "doc_id", "left").select(*columns)
-    same = docs.filter(~touched).select("doc_id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<int>").alias("positions"))
-    return changed.mapInArrow(_remove(window), schema).unionByName(same.mapInArrow(_remove(window), schema))
+    # documents that surely lose nothing aren't shuffled
+    changed = through_bloom(docs, some, "doc_id", keep=True).join(marks, "doc_id", "left").select("doc_id", "text", "copy", "positions")
+    same = docs.select("doc_id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<int>").alias("positions"))
+    return changed.mapInArrow(_remove(window), schema).unionByName(through_bloom(same, some, "doc_id", keep=False, run=_remove(window), schema=schema))
 
 
 def dedup_digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:

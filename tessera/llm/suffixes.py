@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import _text as tx
-from tessera.llm._spark import bloom, cut, maybe_in, prepare, store
+from tessera.llm._spark import bloom, cut, prepare, store, through_bloom
 
 LENGTH = 200
 PERIOD = 32
@@ -233,9 +233,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, bucket_texts: int = BUC
     held = classes.select("id", F.explode("anchors").alias("anchor"))
     recurring = held.groupBy("anchor").count().filter("count > 1").select("anchor")
     lists = cut(held.join(recurring, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")))
-    some = docs.sparkSession.sparkContext.broadcast(bloom(lists, "id"))
-    # of rows that share an id and so a text, one is enough
-    texts = docs.filter(maybe_in(some, "id")).join(lists, "id").select("id", "text", "anchors")
+    texts = through_bloom(docs, bloom(lists, "id"), "id", keep=True).join(lists, "id").select("id", "text", "anchors")
     found = store(texts.mapInArrow(_contexts(length), "anchor long, known long, id long, place long, before int, text binary"))
     known = store(found.groupBy("anchor", "known").agg(F.count("*").alias("n"), F.first("before").alias("before"), F.first("text", ignorenulls=True).alias("text")))
     large = cut(known.groupBy("anchor").count().filter(F.col("count") > bucket_texts).select("anchor"))
@@ -297,13 +295,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, bucket_texts: int = BUCKET_TEXT
     marks = runs.groupBy("id").agg(F.collect_set(F.struct("low", "high")).cast(kind).alias("runs")).withColumn("copy", F.lit(False))
     marks = marks.unionByName(copies.select("id", F.lit(None).cast(kind).alias("runs"), F.lit(True).alias("copy")))
     marks = cut(marks.groupBy("id").agg(F.max("copy").alias("copy"), F.first("runs", ignorenulls=True).alias("runs")))
-    some = docs.sparkSession.sparkContext.broadcast(bloom(marks, "id"))
-    touched = maybe_in(some, "id")
-    columns = ["doc_id", "text", "copy", "runs"]
+    some = bloom(marks, "id")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    changed = docs.filter(touched).join(marks, "id", "left").select(*columns)
-    same = docs.filter(~touched).select("doc_id", "text", F.lit(False).alias("copy"), F.lit(None).cast(kind).alias("runs"))
-    return changed.mapInArrow(_remove(length), schema).unionByName(same.mapInArrow(_remove(length), schema))
+    # documents that surely lose nothing aren't shuffled
+    changed = through_bloom(docs, some, "id", keep=True).join(marks, "id", "left").select("doc_id", "text", "copy", "runs")
+    same = docs.select("doc_id", "text", "id", F.lit(False).alias("copy"), F.lit(None).cast(kind).alias("runs"))
+    return changed.mapInArrow(_remove(length), schema).unionByName(through_bloom(same, some, "id", keep=False, run=_remove(length), schema=schema))
 
 
 def dedup_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
