@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extract, licenses, lines, minhash, mixing, neighbours, phrases, quality, suffixes
+from tessera.llm import html_extract, licenses, lines, minhash, mixing, neighbours, phrases, pieces, quality, suffixes
 from tessera.llm._spark import table
 
 
@@ -30,6 +30,10 @@ def op5_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_repeated_phrases": op5_repeated_phrases,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
