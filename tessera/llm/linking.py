@@ -38,15 +38,17 @@ def components(edges: DataFrame) -> DataFrame:
 def crowded(buckets: DataFrame, marks: list[str]) -> DataFrame:
     """Buckets (bucket, id, *marks) that have two or more members, with n (their size) and a leader for each."""
     dealt = buckets.repartition("bucket")
-    counts = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("least")).filter("n > 1")
+    counts = dealt.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = store(dealt.join(counts, "bucket"))
-    # of a large bucket, the member with the least hash leads
-    leaders = members.filter((F.col("n") > SMALL) & (F.xxhash64("id") == F.col("least"))).groupBy("bucket").agg(F.min(F.struct("id", *marks)).alias("leader"))
+    # of a large bucket, the member that shares most buckets with others leads: the text that copies were made from
+    many = members.filter(F.col("n") > SMALL)
+    known = many.groupBy("id").agg(F.sum("n").alias("known"))
+    leaders = many.join(known, "id").groupBy("bucket").agg(F.max(F.struct("known", F.xxhash64("id").alias("h"), "id", *marks)).alias("leader"))
     leaders = leaders.select("bucket", F.col("leader.id").alias("lead_id"), *[F.col(f"leader.{m}").alias(f"lead_{m}") for m in marks])
-    return store(members.drop("least").join(leaders, "bucket", "left"))
+    return store(members.join(leaders, "bucket", "left"))
 
 
-def links(members: DataFrame, marks: list[str], fit: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def links(members: DataFrame, marks: list[str], fit: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """Verified links (a, b) that connect whatever the verified pairs of all buckets (of :func:`crowded`) connect.
 
     ``fit`` says from two members' marks whether they may be similar; ``verify`` gets distinct pairs (a, b) and returns
@@ -55,7 +57,8 @@ def links(members: DataFrame, marks: list[str], fit: Callable[[Callable[[str], C
     Members of small buckets are all paired. In a large one, every member is paired with one leader first. Where that
     leaves members outside the bucket's largest component, four, sixteen, ... of those become leaders in turn and are
     paired with all members of other components, until each has been one. So a pair that isn't tried lies in one
-    component already, or is between two members of the largest one.
+    component already, or is between two members of the largest one. ``finish``, if given, does all that is left after the
+    first round instead: from the members of large buckets and the links so far, it gives further links.
     """
     order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     own = lambda c: F.col(c)
@@ -68,6 +71,8 @@ def links(members: DataFrame, marks: list[str], fit: Callable[[Callable[[str], C
     found = cut(verify(pairs.unionByName(stars).distinct()))
     if not many.take(1):
         return found
+    if finish is not None:
+        return finish(many, found)
     tried = many.select("bucket", F.col("lead_id").alias("id")).distinct()
     quota = 4
     while True:

@@ -160,6 +160,65 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _overlaps(threshold: float):
+    """Links of a block of outliers with a block of members: overlaps are counted through an inverted index of the members."""
+
+    def run(outliers: pa.Table, members: pa.Table) -> pa.Table:
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if outliers.num_rows and members.num_rows:
+            held = members.column("shingles").combine_chunks()
+            sizes = np.diff(held.offsets.to_numpy())
+            flat = held.flatten().to_numpy()
+            order = np.argsort(flat, kind="stable")
+            words, starts = np.unique(flat[order], return_index=True)
+            owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+            counts = np.diff(np.append(starts, len(flat)))
+            ids, labels = members.column("id").to_numpy(), members.column("label").to_numpy()
+            asked = outliers.column("shingles").combine_chunks()
+            bounds, elements = asked.offsets.to_numpy() - asked.offsets[0].as_py(), asked.flatten().to_numpy()
+            own, own_labels = outliers.column("id").to_numpy(), outliers.column("label").to_numpy()
+            for i in range(len(own)):
+                mine = elements[bounds[i] : bounds[i + 1]]
+                at = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+                at = at[words[at] == mine]
+                n = counts[at]
+                places = np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                common = np.bincount(owner[places], minlength=len(ids))
+                near = np.flatnonzero((common >= threshold * (len(mine) + sizes - common)) & (labels != own_labels[i]))
+                # one link to each other component is enough
+                near = near[np.unique(labels[near], return_index=True)[1]]
+                out.append((np.minimum(own[i], ids[near]), np.maximum(own[i], ids[near])))
+        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b"])
+
+    return run
+
+
+#: Members and outliers of a cell: some ten megabytes of shingles of usual documents.
+CELL_MEMBERS, CELL_OUTLIERS = 2048, 1024
+
+
+def _finish(many: DataFrame, found: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """What leaders left open in large buckets: members outside the largest component are compared with all others.
+
+    Buckets that share members make one field; in it, each outlier meets each member once, in cells of bounded size,
+    and only links between components leave a cell.
+    """
+    fields = linking.components(many.select(F.col("lead_id").alias("a"), F.col("id").alias("b"))).withColumnRenamed("label", "field")
+    state = fields.join(linking.components(found), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    state = store(state)
+    parts = state.groupBy("field", "label").agg(F.count("*").alias("n"))
+    plan = parts.groupBy("field").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("members")).select("field", F.col("main.label").alias("main"), "members", (F.col("members") - F.col("main.n")).alias("outliers")).filter("outliers > 0")
+    plan = cut(plan.select("field", "main", F.ceil(F.col("members") / CELL_MEMBERS).cast("int").alias("blocks"), F.ceil(F.col("outliers") / CELL_OUTLIERS).cast("int").alias("parts")))
+    open_ = state.join(plan, "field").join(sets.withColumnRenamed("doc_id", "id"), "id")
+    part = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = open_.filter("label != main").select("field", part("parts", 1).alias("part"), every("blocks").alias("block"), "id", "label", "shingles")
+    right = open_.select("field", every("parts").alias("part"), part("blocks", 2).alias("block"), "id", "label", "shingles")
+    keys = ["field", "part", "block"]
+    more = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_overlaps(threshold), "a long, b long")
+    return cut(found.unionByName(more).distinct())
+
+
 def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, group_id (the least doc_id of its group), n_shingles: one row for each row of ``docs``."""
     prepare(docs.sparkSession)
@@ -180,7 +239,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, ro
         return pairs.join(one, "a").join(two, "b").filter(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
     fit = lambda x, y: F.least(x("size"), y("size")) >= threshold * F.greatest(x("size"), y("size"))
-    found = linking.links(members, ["size"], fit, verify)
+    found = linking.links(members, ["size"], fit, verify, lambda many, found: _finish(many, found, sets, threshold))
     label = linking.components(found)
     named = classes.join(label, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("group_id"))
     # documents without words, or without an id, are alone
