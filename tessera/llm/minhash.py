@@ -212,8 +212,10 @@ def _finish(many: DataFrame, found: DataFrame, sets: DataFrame, threshold: float
     open_ = state.join(plan, "field").join(sets.withColumnRenamed("doc_id", "id"), "id")
     part = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = open_.filter("label != main").select("field", part("parts", 1).alias("part"), every("blocks").alias("block"), "id", "label", "shingles")
-    right = open_.select("field", every("parts").alias("part"), part("blocks", 2).alias("block"), "id", "label", "shingles")
+    # aliases tell the two sides of one frame apart
+    own = [F.col(c).alias(c) for c in ("field", "id", "label", "shingles")]
+    left = open_.filter("label != main").select(*own, part("parts", 1).alias("part"), every("blocks").alias("block"))
+    right = open_.select(*own, every("parts").alias("part"), part("blocks", 2).alias("block"))
     keys = ["field", "part", "block"]
     more = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_overlaps(threshold), "a long, b long")
     return cut(found.unionByName(more).distinct())
