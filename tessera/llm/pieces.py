@@ -1,53 +1,96 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into words: a run of letters, of digits or of other signs with the space before it, or one other white
-space character; words over ``MAX_WORD`` characters are cut there. Distinct words are counted, and each of them once
-becomes a lattice: its substrings of at most the longest piece's length are exploded, joined with the piece table
-(edges), and grouped by word again. Characters that are no piece get an edge of their UTF-8 bytes. Two folds of Spark's
-``aggregate`` give the best path: forward over the places of the word, for the best score and its last edge, then
-back along the edges.
+Texts are cut into words: a run of letters (all characters outside ASCII count as letters), of digits or of other signs,
+with the space before it, or one other white space character; runs are cut every ``MAX_WORD`` characters. Distinct
+words are counted, and each of them once becomes a lattice: its substrings of at most the longest piece's length are
+exploded, joined with the piece table (edges), and grouped by word again. Characters that are no piece get an edge of
+their UTF-8 bytes. Two folds of Spark's ``aggregate`` give the best path: forward over the places of the word, for the
+best score and its last edge, then back along the edges.
 
 Scores are those of a unigram model; a BPE model only has ranks, from which log-probabilities follow by Zipf's law,
 ``-log(rank + 2)``.
 
-Words go back into texts in one pass where the ``DICTIONARY`` most frequent words (a bounded broadcast) are enough; only
-documents with rarer words are shuffled, to be joined with the encodings of their own words.
+Words go back into texts in one pass with the ``DICTIONARY`` most frequent words, as sorted arrays of hashes (at most
+some 32 bytes a word, a bounded broadcast). Only documents with rarer words are shuffled, to be joined with the
+encodings of their own rare words.
 
-Edge cases: null text has no tokens and decodes to null (empty text: no tokens, empty); white space and U+2581 are kept as
-they are: decoding gives back the very text; repeated rows are encoded alike; a null doc_id is encoded too; an empty
-table gives an empty result; other columns pass through.
+Edge cases: null text has no tokens (null ids) and decodes to null; empty text has none and decodes to itself; white
+space and U+2581 are kept as they are: decoding gives back the very text; repeated rows are encoded alike; a null doc_id
+is encoded too; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm import _text as tx
 from tessera.llm._spark import prepare, store
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_WORD = 32
-DICTIONARY = 1 << 18
+DICTIONARY = 1 << 22
 BYTE_SCORE = -20.0
-FLUSH = 100_000
-
-WORD = regex.compile(r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s")
+#: Distinct words gathered in a partition before they are handed on.
+FLUSH = 400_000
+
+
+def _kinds() -> np.ndarray:
+    """0 for the space, 1 for other white space, 2 letters, 3 digits, 4 other signs."""
+    kinds = np.full(256, 4, dtype=np.uint8)
+    kinds[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 2
+    kinds[48:58] = 3
+    kinds[[*range(0x09, 0x0E), *range(0x1C, 0x20)]] = 1
+    kinds[0x20] = 0
+    return kinds
+
+
+KIND = _kinds()
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first bytes of all words, bounds by text); a word ends where the next one of its text begins."""
+    n = len(data)
+    kind = KIND[data]
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[offsets] = True
+    edge = edge[:-1]
+    before = np.empty(n, dtype=np.uint8)
+    before[:1], before[1:] = 1, kind[:-1]
+    run = edge | (kind != before) | (kind <= 1)
+    # a run takes the space before it; the space starts the word then
+    leads = np.zeros(n, dtype=bool)
+    leads[:-1] = (kind[:-1] == 0) & (kind[1:] >= 2) & ~edge[1:]
+    led = np.zeros(n, dtype=bool)
+    led[1:] = leads[:-1]
+    # long runs are cut, counted in characters from their first
+    chars = np.cumsum((data & 0xC0) != 0x80)
+    at = np.flatnonzero(run)
+    since = chars - np.repeat(chars[at], np.diff(np.append(at, n)))
+    long = (since > 0) & (since % MAX_WORD == 0) & ((data & 0xC0) != 0x80)
+    starts = np.flatnonzero((run & ~led) | long)
+    return starts, np.searchsorted(starts, offsets)
+
+
+def word_ends(starts: np.ndarray, bounds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    ends = np.append(starts[1:], offsets[-1])
+    full = bounds[1:] > bounds[:-1]
+    ends[bounds[1:][full] - 1] = offsets[1:][full]
+    return ends
 
 
 def words(text: str) -> list[str]:
     """The words of a text; joined, they are the text."""
-    found = WORD.findall(text)
-    if any(len(w) > MAX_WORD for w in found):
-        found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    offsets = np.array([0, len(data)])
+    starts, bounds = word_starts(data, offsets)
+    return [bytes(data[a:b]).decode() for a, b in zip(starts, word_ends(starts, bounds, offsets), strict=True)]
 
 
 class Model:
@@ -77,147 +120,248 @@ class Model:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) of every whole text: counted in each partition, then summed."""
+    """(word, hash, n) of every whole text: counted in each partition, then summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text"):
-                counts.update(words(text.as_py() or ""))
-            if len(counts) > FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-                counts.clear()
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+        held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        total = 0
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        def merged() -> pa.RecordBatch:
+            hashes, counts = (np.concatenate([h[i] for h in held]) for i in range(2))
+            spelled = pa.concat_arrays([h[2] for h in held])
+            found, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+            sums = np.bincount(of, counts).astype(np.int64)
+            return pa.RecordBatch.from_arrays([spelled.take(pa.array(first)), pa.array(found.view(np.int64)), pa.array(sums)], ["word", "hash", "n"])
+
+        for batch in batches:
+            for _, _, data, offsets in tx.slices(batch.column("text"), 1 << 20):
+                starts, bounds = word_starts(data, offsets)
+                if not len(starts):
+                    continue
+                ends = word_ends(starts, bounds, offsets)
+                found, first, counts = np.unique(tx.word_hashes(data, starts, ends), return_index=True, return_counts=True)
+                a, b = starts[first], ends[first]
+                sizes = b - a
+                flat = data[np.repeat(a - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+                texts = pa.StringArray.from_buffers(len(a), pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.py_buffer(flat.tobytes()))
+                held.append((found, counts, texts))
+                total += len(found)
+            if total > FLUSH:
+                one = merged()
+                if one.num_rows > FLUSH:
+                    yield one
+                    held, total = [], 0
+                else:
+                    held = [(one.column("hash").to_numpy().view(np.uint64), one.column("n").to_numpy(), one.column("word"))]
+                    total = one.num_rows
+        if held:
+            yield merged()
+
+    parts = docs.select("text").mapInArrow(run, "word string, hash long, n long")
+    return parts.groupBy("word").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"))
 
 
 def edges(words: DataFrame, model: Model) -> DataFrame:
-    """(word, n, start, stop, ids, score): the lattice of each word. ``words`` is dealt by word, and stays so."""
+    """(word, hash, n, start, stop, id, score): the lattice of each word; id -1 stands for a character's bytes.
+
+    ``words`` is dealt by word, and stays so: nothing is shuffled until the paths are found.
+    """
     size = F.length("word")
-    starts = words.select("word", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-    spans = starts.select("word", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), size - F.col("start")))).alias("length"))
-    parts = spans.select("word", "n", "start", "length", F.substr(F.col("word"), F.col("start") + 1, F.col("length")).alias("piece"))
+    starts = words.select("word", "hash", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    spans = starts.select("word", "hash", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), size - F.col("start")))).alias("length"))
+    parts = spans.select("word", "hash", "n", "start", "length", F.substr(F.col("word"), F.col("start") + 1, F.col("length")).alias("piece"))
     # a table of fixed size: the model's vocabulary
     found = parts.join(F.broadcast(model.table(words.sparkSession)), "piece", "left").filter(F.col("id").isNotNull() | (F.col("length") == 1))
-    code = F.hex(F.encode("piece", "UTF-8"))
-    byte_ids = F.array(*[F.lit(i) for i in model.bytes])
-    spelled = F.transform(F.sequence(F.lit(1), F.octet_length("piece")), lambda i: F.element_at(byte_ids, (F.conv(F.substr(code, 2 * i - 1, F.lit(2)), 16, 10).cast("int") + 1)))
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(spelled)
-    return found.select("word", "n", "start", (F.col("start") + F.col("length")).alias("stop"), ids.alias("ids"), F.coalesce("score", BYTE_SCORE * F.octet_length("piece")).alias("score"))
+    spell = F.coalesce("score", BYTE_SCORE * F.octet_length("piece"))
+    return found.select("word", "hash", "n", "start", (F.col("start") + F.col("length")).alias("stop"), F.coalesce("id", F.lit(-1)).alias("id"), spell.alias("score"))
 
 
-def best_paths(lattice: DataFrame) -> DataFrame:
-    """(word, n, ids): the path of the highest score through each lattice; ties go to the longer last piece."""
-    grouped = lattice.groupBy("word", "n").agg(F.collect_list(F.struct("stop", "start", "score", "ids")).alias("edges"))
+def best_paths(lattice: DataFrame, model: Model) -> DataFrame:
+    """(word, hash, n, ids): the path of the highest score through each lattice; ties go to the longer last piece."""
+    grouped = lattice.groupBy("word", "hash", "n").agg(F.collect_list(F.struct("stop", "start", "score", "id")).alias("edges"))
 
     def forward(best: Column, place: Column) -> Column:
         here = F.filter("edges", lambda e: e["stop"] == place)
-        # best[p] is the best way to place p: its score, the start of its last edge, and that edge's ids
-        ways = F.transform(here, lambda e: F.struct((F.element_at(best, e["start"] + 1)["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["ids"].alias("ids")))
+        # best[p] is the best way to place p: its score, the start of its last edge, and that edge's id
+        ways = F.transform(here, lambda e: F.struct((F.element_at(best, e["start"] + 1)["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id")))
         return F.concat(best, F.array(F.array_max(ways)))
 
-    kind = "array<struct<score:double,back:int,ids:array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(None).cast("array<int>").alias("ids"))).cast(kind)
-    ways = grouped.select("word", "n", F.aggregate(F.sequence(F.lit(1), F.length("word")), start, forward).alias("best"))
+    kind = "array<struct<score:double,back:int,id:int>>"
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(0).alias("id"))).cast(kind)
+    ways = grouped.select("word", "hash", "n", F.aggregate(F.sequence(F.lit(1), F.length("word")), start, forward).alias("best"))
+    byte_ids = F.array(*[F.lit(i) for i in model.bytes])
+    code = lambda at: F.hex(F.encode(F.substr(F.col("word"), at, F.lit(1)), "UTF-8"))
+    spelled = lambda h: F.transform(F.sequence(F.lit(1), (F.length(h) / 2).cast("int")), lambda i: F.element_at(byte_ids, F.conv(F.substr(h, 2 * i - 1, F.lit(2)), 16, 10).cast("int") + 1))
 
     def backward(state: Column, _: Column) -> Column:
         way = F.element_at(F.col("best"), state["place"] + 1)
-        moved = F.struct((-way["back"]).alias("place"), F.concat(way["ids"], state["ids"]).alias("ids"))
+        ids = F.when(way["id"] >= 0, F.array(way["id"])).otherwise(spelled(code(state["place"])))
+        moved = F.struct((-way["back"]).alias("place"), F.concat(ids, state["ids"]).alias("ids"))
         return F.when(state["place"] == 0, state).otherwise(moved)
 
     end = F.struct(F.length("word").alias("place"), F.array().cast("array<int>").alias("ids"))
     path = F.aggregate(F.sequence(F.lit(1), F.length("word")), end, backward)["ids"]
-    return ways.select("word", "n", path.alias("ids"))
+    return ways.select("word", "hash", "n", path.alias("ids"))
 
 
 def encode_words(counts: DataFrame, model: Model) -> DataFrame:
-    """(word, n, ids) of each distinct word."""
-    return best_paths(edges(counts, model))
+    """(word, hash, n, ids) of each distinct word."""
+    return best_paths(edges(counts, model), model)
+
+
+class Dictionary:
+    """Words by sorted hashes, with their ids in one flat array."""
+
+    def __init__(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
+        order = np.argsort(hashes)
+        ends = np.cumsum(sizes)
+        self.hashes, self.sizes, self.firsts, self.ids = hashes[order], sizes[order].astype(np.int32), (ends - sizes)[order], ids
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, whether found) of words' hashes; each distinct one is looked up once."""
+        distinct, of = np.unique(hashes, return_inverse=True)
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        return at[of], (self.hashes[at] == distinct)[of]
+
+    @classmethod
+    def of(cls, rows: pa.Table, hash_column: str = "hash") -> Dictionary:
+        if not rows.num_rows:
+            return cls(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))
+        lists = rows.column("ids").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        return cls(rows.column(hash_column).to_numpy().view(np.uint64), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64))
+
+
+def _tokens(data: np.ndarray, offsets: np.ndarray, held: Dictionary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, their bounds by text, missing words' texts, missing words' hashes)."""
+    starts, bounds = word_starts(data, offsets)
+    hashes = tx.word_hashes(data, starts, word_ends(starts, bounds, offsets))
+    at, found = held.find(hashes)
+    sizes = np.where(found, held.sizes[at] if len(held.sizes) else 0, 0).astype(np.int64)
+    ends = np.cumsum(sizes)
+    firsts = held.firsts[at] if len(held.sizes) else np.zeros(len(at), np.int64)
+    ids = held.ids[np.repeat(firsts - ends + sizes, sizes) + np.arange(sizes.sum())] if sizes.sum() else np.zeros(0, np.int32)
+    lost = np.flatnonzero(~found)
+    return ids, np.concatenate([[0], ends])[bounds], np.searchsorted(bounds, lost, side="right") - 1, hashes[lost]
 
 
 def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY) -> DataFrame:
     """All columns of ``docs`` and ``ids``, the token ids of the whole text."""
     spark = prepare(docs.sparkSession)
     model = Model(path)
-    coded = store(encode_words(word_counts(docs), model))
-    top = coded.orderBy(F.desc("n"), "word").limit(dictionary).select("word", "ids").toArrow()
-    known = {w: np.asarray(i, np.int32) for w, i in zip(top.column("word").to_pylist(), top.column("ids").to_pylist(), strict=True)}
-    held = spark.sparkContext.broadcast(known)
-    names = docs.columns
+    coded = store(encode_words(word_counts(docs), model).select("hash", "n", "ids"))
+    if coded.count() > dictionary:
+        top = coded.orderBy(F.desc("n"), "hash").limit(dictionary)
+    else:
+        top = coded
+    held = spark.sparkContext.broadcast(Dictionary.of(top.select("hash", "ids").toArrow()))
+    names, place = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    place = names.index("text")
 
-    def tokens(texts: list[str | None], maps: list[dict]) -> pa.Array:
-        frequent = held.value
-        out, at = [], [0]
-        for text, own in zip(texts, maps, strict=True):
-            parts = [frequent[w] if w in frequent else own[w] for w in words(text or "")]
-            out.extend(parts)
-            at.append(at[-1] + sum(map(len, parts)))
-        flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
-        missing = [t is None for t in texts]
-        return lists if not any(missing) else pa.array([None if m else x for m, x in zip(missing, lists.to_pylist(), strict=True)], pa.list_(pa.int32()))
-
-    def rare(text: str | None) -> list[str]:
-        return sorted({w for w in words(text or "") if w not in held.value})
+    def with_ids(rows: pa.RecordBatch, ids: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+        known = rows.column(place).is_valid()
+        at = pa.array(bounds.astype(np.int32))
+        if rows.column(place).null_count:
+            at = pa.array(bounds.astype(np.int32), mask=np.append(~known.to_numpy(zero_copy_only=False), False))
+        lists = pa.ListArray.from_arrays(at, pa.array(ids.astype(np.int32)))
+        return pa.RecordBatch.from_arrays([*rows.columns, lists], schema=pa.schema([*rows.schema, pa.field("ids", lists.type)]))
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            keep = [i for i, t in enumerate(texts) if all(w in held.value for w in words(t or ""))]
-            if keep:
-                some = batch.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*some.columns, tokens([texts[i] for i in keep], [{}] * len(keep))], schema=schema_of(some))
-
-    def schema_of(batch: pa.RecordBatch) -> pa.Schema:
-        return pa.schema([*batch.schema, pa.field("ids", pa.list_(pa.int32()))])
+            for a, b, data, offsets in tx.slices(batch.column(place), 1 << 20):
+                ids, bounds, lost, _ = _tokens(data, offsets, held.value)
+                rows = batch.slice(a, b - a)
+                if len(lost):
+                    # rows with a word beyond the dictionary come by the other way
+                    keep = np.ones(b - a, dtype=bool)
+                    keep[lost] = False
+                    sizes = np.diff(bounds)
+                    ids, rows = ids[np.repeat(keep, sizes)], rows.filter(pa.array(keep))
+                    bounds = np.concatenate([[0], np.cumsum(sizes[keep])])
+                if rows.num_rows:
+                    yield with_ids(rows, ids, bounds)
+
+    everything = docs.mapInArrow(common, schema)
+    if top is coded:
+        return everything
 
     key, rest = "_piece_row", "_piece_words"
 
     def uncommon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [rare(t) for t in batch.column(place).to_pylist()]
-            keep = pa.array([i for i, x in enumerate(lists) if x], pa.int64())
-            if len(keep):
-                some = batch.take(keep)
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array([lists[i] for i in keep.to_pylist()], pa.list_(pa.string()))], schema=pa.schema([*some.schema, pa.field(rest, pa.list_(pa.string()))]))
+            for a, b, data, offsets in tx.slices(batch.column(place), 1 << 20):
+                _, _, lost, hashes = _tokens(data, offsets, held.value)
+                if len(lost):
+                    owners, at = np.unique(lost, return_index=True)
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(lost)).astype(np.int32)), pa.array(hashes.view(np.int64)))
+                    rows = batch.slice(a, b - a).take(pa.array(owners))
+                    yield pa.RecordBatch.from_arrays([*rows.columns, lists], schema=pa.schema([*rows.schema, pa.field(rest, lists.type)]))
 
     numbered = docs.withColumn(key, F.monotonically_increasing_id())
-    wider = T.StructType([*numbered.schema.fields, T.StructField(rest, T.ArrayType(T.StringType()))])
+    wider = T.StructType([*numbered.schema.fields, T.StructField(rest, T.ArrayType(T.LongType()))])
     # rows are numbered once, in a written table: both sides of the join read the same numbers
     apart = store(numbered.mapInArrow(uncommon, wider))
-    asked = apart.select(key, F.explode(rest).alias("word")).join(coded.select("word", "ids"), "word")
-    maps = asked.groupBy(key).agg(F.collect_list(F.struct("word", "ids")).alias("_piece_map"))
+    asked = apart.select(key, F.explode(F.array_distinct(rest)).alias("hash")).join(coded.select("hash", "ids"), "hash")
+    maps = asked.groupBy(key).agg(F.collect_list(F.struct("hash", "ids")).alias("_piece_map"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = held.value
         for batch in batches:
             lists = batch.column("_piece_map")
-            flat = lists.values
-            found, ids, bounds = flat.field("word").to_pylist(), flat.field("ids"), lists.offsets.to_pylist()
-            values, at = ids.values.to_numpy(), ids.offsets.to_pylist()
-            own = [{found[j]: values[at[j] : at[j + 1]] for j in range(bounds[i], bounds[i + 1])} for i in range(batch.num_rows)]
-            some = batch.select(names)
-            yield pa.RecordBatch.from_arrays([*some.columns, tokens(some.column(place).to_pylist(), own)], schema=schema_of(some))
+            flat = lists.flatten()
+            own = Dictionary.of(pa.table({"hash": flat.field("hash"), "ids": flat.field("ids")}))
+            # the batch's rare words come after the frequent ones
+            both = Dictionary(np.concatenate([frequent.hashes, own.hashes]), *_laid_out(frequent, own))
+            for a, b, data, offsets in tx.slices(batch.column(place), 1 << 20):
+                ids, bounds, _, _ = _tokens(data, offsets, both)
+                yield with_ids(batch.select(names).slice(a, b - a), ids, bounds)
 
     late = apart.drop(rest).join(maps, key).select(*[F.col(f"`{c}`") for c in names], "_piece_map").mapInArrow(joined, schema)
-    return docs.mapInArrow(common, schema).unionByName(late)
+    return everything.unionByName(late)
+
+
+def _laid_out(*parts: Dictionary) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, sizes) of several dictionaries' words, one after the other in the order of their hashes."""
+    ids = [p.ids[np.repeat(p.firsts - np.cumsum(p.sizes) + p.sizes, p.sizes) + np.arange(p.sizes.sum())] if len(p.sizes) else p.ids[:0] for p in parts]
+    return np.concatenate(ids), np.concatenate([p.sizes for p in parts]).astype(np.int64)
+
+
+class Speller:
+    """Pieces' bytes in one flat array, for decoding whole batches."""
+
+    def __init__(self, spelled: dict[int, bytes]):
+        n = max(spelled) + 1
+        self.sizes = np.zeros(n, np.int64)
+        for i, b in spelled.items():
+            self.sizes[i] = len(b)
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(spelled.get(i, b"") for i in range(n)), dtype=np.uint8)
+
+    def texts(self, lists: pa.ListArray) -> pa.Array:
+        ids = lists.flatten().to_numpy()
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        data = self.flat[np.repeat(self.firsts[ids] - ends + sizes, sizes) + np.arange(sizes.sum())]
+        lengths = lists.value_lengths().fill_null(0).to_numpy()
+        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
+        null = ~lists.is_valid().to_numpy(zero_copy_only=False)
+        mask = pa.py_buffer(np.packbits(~null, bitorder="little").tobytes())
+        return pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data.tobytes()), mask, int(null.sum())).cast(pa.string())
 
 
 def decode(encoded: DataFrame, path: str = MODEL, column: str = "ids") -> DataFrame:
     """All columns and ``decoded``, the text that the ids spell."""
-    model = Model(path)
-    held = encoded.sparkSession.sparkContext.broadcast(model.spelled)
+    held = encoded.sparkSession.sparkContext.broadcast(Speller(Model(path).spelled))
     place = encoded.columns.index(column)
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = held.value
         for batch in batches:
-            texts = [None if ids is None else b"".join(map(spelled.__getitem__, ids)).decode() for ids in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema=pa.schema([*batch.schema, pa.field("decoded", pa.string())]))
+            for a in range(0, batch.num_rows, 512):
+                rows = batch.slice(a, 512)
+                yield pa.RecordBatch.from_arrays([*rows.columns, held.value.texts(rows.column(place))], schema=pa.schema([*rows.schema, pa.field("decoded", pa.string())]))
 
     return encoded.mapInArrow(run, schema)
 
