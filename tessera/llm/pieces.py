@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,7 +135,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([spelled.take(pa.array(first)), pa.array(found.view(np.int64)), pa.array(sums)], ["word", "hash", "n"])
 
         for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column("text"), 1 << 20):
+            for _, _, data, offsets in tx.slices(batch.column("text")):
                 starts, bounds = word_starts(data, offsets)
                 if not len(starts):
                     continue
@@ -158,7 +159,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield merged()
 
     parts = docs.select("text").mapInArrow(run, "word string, hash long, n long")
-    return parts.groupBy("word").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"))
+    return parts.groupBy("word", "hash").agg(F.sum("n").alias("n"))
 
 
 def edges(words: DataFrame, model: Model) -> DataFrame:
@@ -204,9 +205,25 @@ def best_paths(lattice: DataFrame, model: Model) -> DataFrame:
     return ways.select("word", "hash", "n", path.alias("ids"))
 
 
+#: Words of a partition whose lattices are grouped in memory, some three kilobytes each.
+PARTITION_WORDS = 25_000
+
+
 def encode_words(counts: DataFrame, model: Model) -> DataFrame:
-    """(word, hash, n, ids) of each distinct word."""
-    return best_paths(edges(counts, model), model)
+    """(word, hash, n, ids) of each distinct word, stored.
+
+    Words are dealt in partitions of bounded size, so that edges can be grouped by hash: sorting them by word, which is
+    Spark's way beyond a few keys, would cost more than all the rest.
+    """
+    spark, name = counts.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    counts = store(counts)
+    dealt = counts.repartition(max(1, -(-counts.count() // PARTITION_WORDS)), "word")
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(8 * PARTITION_WORDS))
+    try:
+        return store(best_paths(edges(dealt, model), model))
+    finally:
+        spark.conf.set(name, before)
 
 
 class Dictionary:
@@ -247,18 +264,22 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, held: Dictionary) -> tuple[np
     return ids, np.concatenate([[0], ends])[bounds], np.searchsorted(bounds, lost, side="right") - 1, hashes[lost]
 
 
-def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY) -> DataFrame:
-    """All columns of ``docs`` and ``ids``, the token ids of the whole text."""
+def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, verify: bool = False) -> DataFrame:
+    """All columns of ``docs`` and ``ids``, the token ids of the whole text.
+
+    With ``verify``, also round_trip: whether the ids, decoded in the same pass, are the text.
+    """
     spark = prepare(docs.sparkSession)
     model = Model(path)
-    coded = store(encode_words(word_counts(docs), model).select("hash", "n", "ids"))
+    coded = encode_words(word_counts(docs), model).select("hash", "n", "ids")
     if coded.count() > dictionary:
         top = coded.orderBy(F.desc("n"), "hash").limit(dictionary)
     else:
         top = coded
     held = spark.sparkContext.broadcast(Dictionary.of(top.select("hash", "ids").toArrow()))
     names, place = docs.columns, docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *([T.StructField("round_trip", T.BooleanType())] if verify else [])])
+    speller = spark.sparkContext.broadcast(Speller(model.spelled)) if verify else None
 
     def with_ids(rows: pa.RecordBatch, ids: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
         known = rows.column(place).is_valid()
@@ -266,11 +287,18 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY) ->
         if rows.column(place).null_count:
             at = pa.array(bounds.astype(np.int32), mask=np.append(~known.to_numpy(zero_copy_only=False), False))
         lists = pa.ListArray.from_arrays(at, pa.array(ids.astype(np.int32)))
-        return pa.RecordBatch.from_arrays([*rows.columns, lists], schema=pa.schema([*rows.schema, pa.field("ids", lists.type)]))
+        more = [pa.field("ids", lists.type)]
+        columns = [*rows.columns, lists]
+        if speller is not None:
+            text = rows.column(place)
+            same = pc.fill_null(pc.equal(speller.value.texts(lists), text), False)
+            columns.append(pc.or_(same, pc.and_(pc.is_null(text), pc.is_null(lists))))
+            more.append(pa.field("round_trip", pa.bool_()))
+        return pa.RecordBatch.from_arrays(columns, schema=pa.schema([*rows.schema, *more]))
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in tx.slices(batch.column(place), 1 << 20):
+            for a, b, data, offsets in tx.slices(batch.column(place)):
                 ids, bounds, lost, _ = _tokens(data, offsets, held.value)
                 rows = batch.slice(a, b - a)
                 if len(lost):
@@ -291,7 +319,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY) ->
 
     def uncommon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in tx.slices(batch.column(place), 1 << 20):
+            for a, b, data, offsets in tx.slices(batch.column(place)):
                 _, _, lost, hashes = _tokens(data, offsets, held.value)
                 if len(lost):
                     owners, at = np.unique(lost, return_index=True)
@@ -314,7 +342,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY) ->
             own = Dictionary.of(pa.table({"hash": flat.field("hash"), "ids": flat.field("ids")}))
             # the batch's rare words come after the frequent ones
             both = Dictionary(np.concatenate([frequent.hashes, own.hashes]), *_laid_out(frequent, own))
-            for a, b, data, offsets in tx.slices(batch.column(place), 1 << 20):
+            for a, b, data, offsets in tx.slices(batch.column(place)):
                 ids, bounds, _, _ = _tokens(data, offsets, both)
                 yield with_ids(batch.select(names).slice(a, b - a), ids, bounds)
 
@@ -368,5 +396,5 @@ def decode(encoded: DataFrame, path: str = MODEL, column: str = "ids") -> DataFr
 
 def digest(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, ids, n_tokens and round_trip: whether the decoded ids are the text."""
-    both = decode(encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path), path)
-    return both.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    both = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path, verify=True)
+    return both.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "round_trip")
