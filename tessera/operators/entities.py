@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TYPES = ("products", "systems", "capabilities", "platforms", "business_units")
 #: Up to so many dictionary rows (under 1 kB each) are broadcast.
 BROADCAST_TERMS = 50_000
+#: A term is looked up by so many of its first words.
+PREFIX = 3
 
 
 def dictionary(entries: DataFrame) -> DataFrame:
@@ -18,33 +20,30 @@ def dictionary(entries: DataFrame) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(last)).filter("_r = 1").select("etype", "term", "canonical")
 
 
-def _is_word(c: Column) -> Column:
-    return c.rlike(r"(?U)^\w$")
-
-
 def text_mentions(texts: DataFrame, terms: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Mentions of terms between word boundaries in texts, confidence 0.8.
 
-    Terms and texts meet by an equi-join: each text gives its different word n-grams (runs of letters, digits and
-    underscores), up to the longest term's number of words, and a term is looked up by its words; that it stands in the
-    text literally, between boundaries, is checked on the few pairs that meet. Terms without words are compared with every
-    text; there can be few of them.
+    Terms and texts meet by an equi-join: each text gives its different runs of up to ``PREFIX`` words (of letters, digits
+    and underscores), and a term is looked up by its first words; that it stands in the text literally, between
+    boundaries, is checked on the few pairs that meet. Terms without words are compared with every text; there can be few.
     """
     word = r"(?U)\w+"
     of = lambda c: F.regexp_extract_all(F.lower(c), F.lit(word), F.lit(0))
-    terms = terms.withColumn("_gram", F.array_join(of(F.col("term")), " ")).withColumn("_n", F.size(of(F.col("term"))))
-    longest = terms.agg(F.max("_n")).first()[0] or 0
+    terms = terms.withColumn("_words", of(F.col("term"))).withColumn("_n", F.size("_words"))
+    terms = terms.withColumn("_gram", F.array_join(F.slice("_words", 1, PREFIX), " ")).drop("_words")
+    bare = terms.filter("_n = 0")
     terms = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
     lowered = texts.withColumn("_lower", F.lower("text"))
     grams = lowered.withColumn("_words", of(F.col("text")))
     lists = [
         F.when(F.size("_words") >= n, F.transform(F.sequence(F.lit(1), F.size("_words") - (n - 1)), lambda i, n=n: F.array_join(F.slice("_words", i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
-        for n in range(1, longest + 1)
+        for n in range(1, PREFIX + 1)
     ]
-    spaced = F.array_distinct(F.concat(*lists)) if lists else F.array().cast("array<string>")
-    met = grams.select(*key, *order, "_lower", F.explode(spaced).alias("_gram")).join(terms.filter("_n > 0"), "_gram")
-    signs = lowered.select(*key, *order, "_lower").join(F.broadcast(terms.filter("_n = 0").limit(BROADCAST_TERMS)), F.contains("_lower", F.col("term")))
-    pairs = met.select(*key, *order, "_lower", "etype", "term", "canonical").unionByName(signs.select(*key, *order, "_lower", "etype", "term", "canonical"))
+    met = grams.select(*key, *order, "_lower", F.explode(F.array_distinct(F.concat(*lists))).alias("_gram")).join(terms.filter("_n > 0"), "_gram")
+    pairs = met.select(*key, *order, "_lower", "etype", "term", "canonical")
+    if bare.limit(1).count():
+        signs = lowered.select(*key, *order, "_lower").join(F.broadcast(bare), F.contains("_lower", F.col("term")))
+        pairs = pairs.unionByName(signs.select(*key, *order, "_lower", "etype", "term", "canonical"))
     inside = F.contains("_lower", F.col("term")) & F.regexp_like("_lower", F.concat(F.lit(r"(?U)\b\Q"), "term", F.lit(r"\E\b")))
     return pairs.filter(inside).select(*key, *order, "etype", F.col("canonical").alias("term"), F.lit(0.8).alias("confidence"))
 

@@ -16,7 +16,7 @@ from tessera.settings import DEFAULT, Settings
 def validation_error(strict: bool = False) -> Column:
     """The first thing wrong with a record, or null. Strict validation also rejects filenames of white space."""
     key, name = F.trim(F.coalesce("key", F.lit(""))), lambda a: F.trim(a["filename"]) if strict else a["filename"]
-    nameless = F.exists(F.coalesce("attachments", F.array().cast("array<struct<filename:string>>")), lambda a: F.coalesce(name(a), F.lit("")) == "")
+    nameless = F.coalesce(F.exists("attachments", lambda a: F.coalesce(name(a), F.lit("")) == ""), F.lit(False))
     at = F.array_position(F.transform("attachments", lambda a: F.coalesce(name(a), F.lit(""))), "") - 1
     kind = F.schema_of_variant(F.try_parse_json("fields"))
     return (
