@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm._spark import cut, store
 
+#: From two members' marks (functions from a mark's name to its column), whether they may be similar.
+Fit = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
 #: Buckets up to this size are paired at once: each member has fewer partners than this.
 SMALL = 8
 
@@ -48,45 +51,43 @@ def crowded(buckets: DataFrame, marks: list[str]) -> DataFrame:
     return store(members.join(leaders, "bucket", "left"))
 
 
-def links(members: DataFrame, marks: list[str], fit: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+def links(members: DataFrame, marks: list[str], fit: Fit, verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Verified links (a, b) that connect whatever the verified pairs of all buckets (of :func:`crowded`) connect.
 
     ``fit`` says from two members' marks whether they may be similar; ``verify`` gets distinct pairs (a, b) and returns
     those that are.
 
-    Members of small buckets are all paired. In a large one, every member is paired with one leader first. Where that
-    leaves members outside the bucket's largest component, four, sixteen, ... of those become leaders in turn and are
-    paired with all members of other components, until each has been one. So a pair that isn't tried lies in one
-    component already, or is between two members of the largest one. ``finish``, if given, does all that is left after the
-    first round instead: from the members of large buckets and the links so far, it gives further links.
+    Members of small buckets are all paired. In a large one, every member is paired with its leader. What that leaves open
+    are the members outside the bucket's largest component (outliers): ``finish`` gets the members of large buckets and
+    the links so far, and gives all links, once outliers have been compared with the others. A pair that isn't tried then
+    is between two members of the largest component.
     """
-    order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    own = lambda c: F.col(c)
-    led = lambda c: F.col(f"lead_{c}")
-    renamed = lambda df: df.select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ["id", *marks]])
     few = members.filter(F.col("n") <= SMALL).select("bucket", "id", *marks)
-    pairs = few.join(renamed(few), "bucket").filter((F.col("id") < F.col("lead_id")) & fit(own, led)).select(*order(F.col("id"), F.col("lead_id")))
+    pairs = few.join(renamed(few, marks), "bucket").filter((F.col("id") < F.col("lead_id")) & fit(F.col, led)).select(*ordered("id", "lead_id"))
     many = members.filter(F.col("n") > SMALL)
-    stars = many.filter((F.col("id") != F.col("lead_id")) & fit(own, led)).select(*order(F.col("id"), F.col("lead_id")))
+    stars = many.filter((F.col("id") != F.col("lead_id")) & fit(F.col, led)).select(*ordered("id", "lead_id"))
     found = cut(verify(pairs.unionByName(stars).distinct()))
-    if not many.take(1):
-        return found
-    if finish is not None:
-        return finish(many, found)
-    tried = many.select("bucket", F.col("lead_id").alias("id")).distinct()
-    quota = 4
-    while True:
-        state = many.select("bucket", "id", *marks).join(components(found), "id", "left")
-        state = store(state.withColumn("label", F.coalesce("label", "id")))
-        parts = state.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("main.label").alias("main"))
-        rest = cut(state.join(main, "bucket").filter("label != main").select("bucket", "id", *marks, "label").join(tried, ["bucket", "id"], "left_anti"))
-        left = rest.groupBy("bucket").agg(F.count("*").alias("left"))
-        if not left.take(1):
-            return found
-        lead = cut(rest.join(left, "bucket").filter(F.pmod(F.xxhash64("id", F.lit(quota)), F.col("left")) < quota).select("bucket", "id", *marks, "label"))
-        near = renamed(lead).join(lead.select("bucket", F.col("id").alias("lead_id"), F.col("label").alias("lead_label")), ["bucket", "lead_id"]).join(state, "bucket")
-        near = near.filter((F.col("label") != F.col("lead_label")) & fit(own, led)).select(*order(F.col("id"), F.col("lead_id"))).distinct()
-        found = cut(found.unionByName(verify(near)).distinct())
-        tried = cut(tried.unionByName(lead.select("bucket", "id")))
-        quota *= 4
+    return finish(many, found) if many.take(1) else found
+
+
+def led(column: str) -> Column:
+    return F.col(f"lead_{column}")
+
+
+def renamed(rows: DataFrame, marks: list[str]) -> DataFrame:
+    return rows.select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ["id", *marks]])
+
+
+def ordered(x: str, y: str) -> tuple[Column, Column]:
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+
+def finish_inside(many: DataFrame, found: DataFrame, marks: list[str], fit: Fit, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Compares outliers with all other components' members of their bucket inside one join: for a ``fit`` that lets little pass."""
+    state = cut(many.select("bucket", "id", *marks).join(components(found), "id", "left").withColumn("label", F.coalesce("label", "id")))
+    parts = state.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("main.label").alias("main"))
+    open_ = state.join(main, "bucket")
+    outliers = renamed(open_.filter("label != main"), [*marks, "label"])
+    near = outliers.join(open_.drop("main"), "bucket").filter((F.col("label") != F.col("lead_label")) & fit(F.col, led))
+    return cut(found.unionByName(verify(near.select(*ordered("id", "lead_id")).distinct())).distinct())
