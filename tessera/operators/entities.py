@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TYPES = ("products", "systems", "capabilities", "platforms", "business_units")
@@ -35,10 +35,13 @@ def text_mentions(texts: DataFrame, terms: DataFrame, key: list[str], order: lis
     terms = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
     lowered = texts.withColumn("_lower", F.lower("text"))
     grams = lowered.withColumn("_words", of(F.col("text")))
-    lists = [
-        F.when(F.size("_words") >= n, F.transform(F.sequence(F.lit(1), F.size("_words") - (n - 1)), lambda i, n=n: F.array_join(F.slice("_words", i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
-        for n in range(1, PREFIX + 1)
-    ]
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size("_words") - (n - 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice("_words", i, F.lit(n)), " "))
+        return F.when(F.size("_words") >= n, found).otherwise(F.array().cast("array<string>"))
+
+    lists = [runs(n) for n in range(1, PREFIX + 1)]
     met = grams.select(*key, *order, "_lower", F.explode(F.array_distinct(F.concat(*lists))).alias("_gram")).join(terms.filter("_n > 0"), "_gram")
     pairs = met.select(*key, *order, "_lower", "etype", "term", "canonical")
     if bare.limit(1).count():

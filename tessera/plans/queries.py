@@ -426,7 +426,7 @@ def adf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", leaf.alias("leaf")))).alias("c"))
     paragraphs = F.transform("c", lambda x: F.struct(F.lit("paragraph").alias("type"), F.array(x["leaf"]).alias("content")))
     tree = F.to_json(F.struct(F.lit("doc").alias("type"), paragraphs.alias("content")))
-    return rows.select("conv_id", F.md5(fd.rich_text(tree)).alias("text_md5"))
+    return rows.select("conv_id", tree.alias("tree")).select("conv_id", F.md5(fd.rich_text(F.col("tree"))).alias("text_md5"))
 
 
 @query()
