@@ -221,7 +221,9 @@ def templates(pages: DataFrame, support: float = SUPPORT, least_pages: int = LEA
     # every distinct page of a host has the root's token or none at all, so the largest support counts its pages
     hosts = tokens.groupBy("host").agg(F.max("pages").alias("host_pages")).withColumnRenamed("host", "_host")
     often = tokens.join(hosts, F.col("host") == F.col("_host")).filter((F.col("host_pages") >= least_pages) & (F.col("pages") >= support * F.col("host_pages")))
-    return often.select("host", "token", "path", "pages", "place", "vector", (F.col("mass") / F.col("pages")).alias("mass")).groupBy("host").applyInPandas(_nest, "host string, token long, path string, mass double")
+    # written first: a host's rare tokens, which are many, then aren't dealt by host alone
+    often = cut(often.select("host", "token", "path", "pages", "place", "vector", (F.col("mass") / F.col("pages")).alias("mass")))
+    return often.groupBy("host").applyInPandas(_nest, "host string, token long, path string, mass double")
 
 
 def container(elements: list[tuple[str, float]], share: float = MASS) -> str | None:

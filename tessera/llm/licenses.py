@@ -87,13 +87,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     for low, high in (bounds(s, threshold) for s in sizes):
         possible |= F.col("size").between(low, high)
     n = F.size("words")
+    pairs = F.greatest(F.lit(0), n - 1)
     # the number of words bounds the number of bigrams from above: a cheap test before the set is built
     short = units(docs).filter((n >= 2) & (n - 1 >= bounds(sizes[0], threshold)[0]))
-    grams = F.array_distinct(F.zip_with(F.slice("words", F.lit(1), n - 1), F.slice("words", F.lit(2), n - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    grams = F.array_distinct(F.zip_with(F.slice("words", F.lit(1), pairs), F.slice("words", F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)))
     sets = short.select("doc_id", "row", "unit", grams.alias("grams")).withColumn("size", F.size("grams")).filter(possible)
-    pairs = sets.select("doc_id", "row", "unit", "size", F.explode("grams").alias("bigram")).join(F.broadcast(table), "bigram")
+    met = sets.select("doc_id", "row", "unit", "size", F.explode("grams").alias("bigram")).join(F.broadcast(table), "bigram")
     low, high = bounds(1, threshold)
-    near = pairs.filter(F.col("size").between(F.col("template_size") * low, F.col("template_size") * high))
+    near = met.filter(F.col("size").between(F.col("template_size") * low, F.col("template_size") * high))
     counted = near.groupBy("doc_id", "row", "unit", "size", "license", "template", "template_size").agg(F.count("*").alias("common"))
     dice = 2.0 * F.col("common") / (F.col("size") + F.col("template_size"))
     return counted.withColumn("dice", dice).filter(F.col("dice") >= threshold).select("doc_id", "row", "unit", "license", "template", "dice")

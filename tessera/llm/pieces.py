@@ -80,6 +80,8 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_ends(starts: np.ndarray, bounds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    if not len(starts):
+        return starts
     ends = np.append(starts[1:], offsets[-1])
     full = bounds[1:] > bounds[:-1]
     ends[bounds[1:][full] - 1] = offsets[1:][full]
