@@ -6,6 +6,7 @@ All hashes are 64-bit, position independent and the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,16 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives memory that is free back to the machine: Python workers live on, beside an executor's heap, between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
     """The first ``n`` powers of base ``which`` (or of its inverse) modulo 2**64."""
     have = _POWERS.get((which, inverse))
@@ -75,6 +86,7 @@ def slices(column: pa.Array, max_bytes: int = 1 << 18) -> Iterator[tuple[int, in
         end = max(row + 1, int(np.searchsorted(at, at[row] + max_bytes, side="right")) - 1)
         yield row, end, data[at[row] : at[end]], at[row : end + 1] - at[row]
         row = end
+    release()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

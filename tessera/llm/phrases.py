@@ -114,6 +114,7 @@ def _locate(window: int):
                 if total >= SHARD_BYTES:
                     yield shard(docs)
                     docs, total = [], 0
+            tx.release()
         if docs:
             yield shard(docs)
 

@@ -180,6 +180,7 @@ def _sort_buckets(length: int):
                     yield solve(rows)
                     rows = []
                 rows.append(row)
+            tx.release()
         if rows:
             yield solve(rows)
 
