@@ -208,7 +208,7 @@ def best_paths(lattice: DataFrame, model: Model) -> DataFrame:
 
 
 #: Words of a partition whose lattices are grouped in memory, some three kilobytes each.
-PARTITION_WORDS = 25_000
+PARTITION_WORDS = 10_000
 
 
 def encode_words(counts: DataFrame, model: Model) -> DataFrame:
