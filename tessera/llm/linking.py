@@ -89,5 +89,7 @@ def finish_inside(many: DataFrame, found: DataFrame, marks: list[str], fit: Fit,
     main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("main.label").alias("main"))
     open_ = state.join(main, "bucket")
     outliers = renamed(open_.filter("label != main"), [*marks, "label"])
+    if not outliers.take(1):
+        return found
     near = outliers.join(open_.drop("main"), "bucket").filter((F.col("label") != F.col("lead_label")) & fit(F.col, led))
     return cut(found.unionByName(verify(near.select(*ordered("id", "lead_id")).distinct())).distinct())
