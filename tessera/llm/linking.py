@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         links = cut(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
