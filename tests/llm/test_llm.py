@@ -212,6 +212,22 @@ def test_fuzzy_lines(docs, corpus, empty, spark):
     assert texts[0] == corpus[0][1] and texts.get(3) is not None and 31 not in texts
 
 
+def test_fuzzy_lines_by_edit_similarity_alone(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randrange(2, 11)))
+    rows = []
+    for i in range(60):
+        base = [word() for _ in range(rng.randrange(20, 50))]
+        changed = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            changed[rng.randrange(len(base))] = word()
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(changed))]
+    near = {b for a, b in zip(range(0, 120, 2), range(1, 120, 2), strict=True) if distance(rows[a][1], rows[b][1]) <= 0.2 * max(len(rows[a][1]), len(rows[b][1]))}
+    got = {r["doc_id"]: r["group_doc"] for r in lines.line_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = {i for i, first in got.items() if first != i}
+    assert linked <= near and all(got[i] == i - 1 for i in linked) and len(near) > 50 and len(linked) >= 0.95 * len(near)
+
+
 def test_repeated_phrases(docs, corpus, empty):
     first = {}
     for i, t, *_ in sorted((r for r in corpus if r[0] is not None), key=lambda r: r[0]):
