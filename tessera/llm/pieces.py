@@ -1,11 +1,13 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into words: a run of letters (all characters outside ASCII count as letters), of digits or of other signs,
-with the space before it, or one other white space character; runs are cut every ``MAX_WORD`` characters. Distinct
-words are counted, and each of them once becomes a lattice: its substrings of at most the longest piece's length are
-exploded, joined with the piece table (edges), and grouped by word again. Characters that are no piece get an edge of
-their UTF-8 bytes. Two folds of Spark's ``aggregate`` give the best path: forward over the places of the word, for the
-best score and its last edge, then back along the edges.
+Texts are cut into words where no piece can span: a run of letters (most characters outside ASCII count as letters), of
+digits or of other signs, with all the spaces before it, a run of carriage returns, or one other white space character.
+Typographic signs outside ASCII stand in pieces with letters and with signs, and so hold both together. Distinct words are
+counted, and each of them once becomes a lattice: its substrings of at most the longest piece's length are exploded,
+joined with the piece table (edges), and grouped by word again. Characters that are no piece get an edge of their UTF-8
+bytes. Two folds of Spark's ``aggregate`` give the best path: forward over the places of the word, for the best score and
+its last edge, then back along the edges. Words of more than ``MAX_WORD`` characters, whose edges would be searched in
+whole for each place, get the same path from the same recursion over Arrow batches, in time linear in their length.
 
 Scores are those of a unigram model; a BPE model only has ranks, from which log-probabilities follow by Zipf's law,
 ``-log(rank + 2)``.
@@ -35,6 +37,7 @@ from tessera.llm import _text as tx
 from tessera.llm._spark import prepare, store
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Words of up to so many characters become lattices in Spark.
 MAX_WORD = 32
 DICTIONARY = 1 << 22
 BYTE_SCORE = -20.0
@@ -43,39 +46,42 @@ FLUSH = 400_000
 
 
 def _kinds() -> np.ndarray:
-    """0 for the space, 1 for other white space, 2 letters, 3 digits, 4 other signs."""
+    """0 for the space, 1 for other white space, 2 letters, 3 digits, 4 other signs, 5 signs outside ASCII, 6 the carriage return."""
     kinds = np.full(256, 4, dtype=np.uint8)
     kinds[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 2
     kinds[48:58] = 3
     kinds[[*range(0x09, 0x0E), *range(0x1C, 0x20)]] = 1
     kinds[0x20] = 0
+    # the first bytes of Latin-1's signs and of general punctuation
+    kinds[[0xC2, 0xE2]] = 5
+    kinds[0x0D] = 6
     return kinds
 
 
 KIND = _kinds()
 
 
+def _joined() -> np.ndarray:
+    """Whether a word goes on from a character of one kind to one of another."""
+    joined = np.zeros((7, 7), dtype=bool)
+    joined[0, [0, 2, 3, 4, 5, 6]] = True
+    joined[[2, 3, 4, 5, 6], [2, 3, 4, 5, 6]] = True
+    joined[[2, 5, 4, 5, 4, 5], [5, 2, 5, 4, 6, 6]] = True
+    return joined
+
+
+JOINED = _joined()
+
+
 def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first bytes of all words, bounds by text); a word ends where the next one of its text begins."""
-    n = len(data)
-    kind = KIND[data]
-    edge = np.zeros(n + 1, dtype=bool)
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    kind = KIND[data[first]]
+    begins = np.ones(len(first), dtype=bool)
+    begins[1:] = ~JOINED[kind[:-1], kind[1:]]
+    edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
-    edge = edge[:-1]
-    before = np.empty(n, dtype=np.uint8)
-    before[:1], before[1:] = 1, kind[:-1]
-    run = edge | (kind != before) | (kind <= 1)
-    # a run takes the space before it; the space starts the word then
-    leads = np.zeros(n, dtype=bool)
-    leads[:-1] = (kind[:-1] == 0) & (kind[1:] >= 2) & ~edge[1:]
-    led = np.zeros(n, dtype=bool)
-    led[1:] = leads[:-1]
-    # long runs are cut, counted in characters from their first
-    chars = np.cumsum((data & 0xC0) != 0x80)
-    at = np.flatnonzero(run)
-    since = chars - np.repeat(chars[at], np.diff(np.append(at, n)))
-    long = (since > 0) & (since % MAX_WORD == 0) & ((data & 0xC0) != 0x80)
-    starts = np.flatnonzero((run & ~led) | long)
+    starts = first[begins | edge[first]]
     return starts, np.searchsorted(starts, offsets)
 
 
@@ -207,6 +213,37 @@ def best_paths(lattice: DataFrame, model: Model) -> DataFrame:
     return ways.select("word", "hash", "n", path.alias("ids"))
 
 
+def long_paths(words: DataFrame, model: Model) -> DataFrame:
+    """(word, hash, n, ids) of long words, by the recursion and the ties of :func:`best_paths`."""
+    held = words.sparkSession.sparkContext.broadcast(({p: (s, i) for p, i, s in model.pieces}, model.bytes, model.longest))
+
+    def path(word: str) -> list[int]:
+        table, codes, longest = held.value
+        best, last = [0.0] * (len(word) + 1), [(0, -1)] * (len(word) + 1)
+        for stop in range(1, len(word) + 1):
+            top = (-math.inf, 0, 0)
+            for start in range(max(0, stop - longest), stop):
+                found = table.get(word[start:stop])
+                if found is not None:
+                    top = max(top, (best[start] + found[0], -start, found[1]))
+                elif stop - start == 1:
+                    top = max(top, (best[start] + BYTE_SCORE * len(word[start].encode()), -start, -1))
+            best[stop], last[stop] = top[0], (-top[1], top[2])
+        parts, place = [], len(word)
+        while place:
+            start, piece = last[place]
+            parts.append([piece] if piece >= 0 else [codes[b] for b in word[start:place].encode()])
+            place = start
+        return [i for part in reversed(parts) for i in part]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pa.array([path(w) for w in batch.column("word").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("word", "hash", "n")), ids], ["word", "hash", "n", "ids"])
+
+    return words.mapInArrow(run, "word string, hash long, n long, ids array<int>")
+
+
 #: Words of a partition whose lattices are grouped in memory, some three kilobytes each.
 PARTITION_WORDS = 10_000
 
@@ -223,7 +260,8 @@ def encode_words(counts: DataFrame, model: Model) -> DataFrame:
     before = spark.conf.get(name)
     spark.conf.set(name, str(8 * PARTITION_WORDS))
     try:
-        return store(best_paths(edges(dealt, model), model))
+        short = F.length("word") <= MAX_WORD
+        return store(best_paths(edges(dealt.filter(short), model), model).unionByName(long_paths(dealt.filter(~short), model)))
     finally:
         spark.conf.set(name, before)
 

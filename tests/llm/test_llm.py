@@ -304,6 +304,19 @@ def test_pieces(docs, corpus, empty, dictionary):
     assert pieces.encode(empty, dictionary=dictionary).count() == 0
 
 
+def test_pieces_across_words(spark):
+    model = pieces.Model()
+    assert [p for p, _, _ in model.pieces if len(pieces.words(p)) > 1] == []
+    table = {p: (i, s) for p, i, s in model.pieces}
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ABCDEFabcdef") for _ in range(150)), "of" * 40, "日本語の文章は空白を置かない。" * 8, "1" * 70, "def f():\n        return  1;\r\n" + " " * 40 + "x «é».", "-" * 100, "   \n "]
+    got = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), verify=True).collect()
+    best = lambda ids: sum({i: s for i, s in table.values()}.get(i, pieces.BYTE_SCORE) for i in ids)
+    for r in got:
+        # the lattice of the whole text, uncut
+        assert r["round_trip"] and best(r["ids"]) == pytest.approx(best(best_path(r["text"], table, model))), r["text"]
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/x">Menu {n}</a></li></ul></nav>
 <div class="notice">We use &amp; like cookies</div><div id="wrap"><h2>Head {n}</h2><div class="body"><p>First &lt;{n}&gt;   block<br>goes on<p>Second {n}</p><ul><li>one {n}</li><li>two</li></ul></div></div>
 <p>Read it all, every day</p><form><p>search {n}</p></form><div class="comments"><p>Nice {n}</p></div><footer>&copy; {n}</footer></body></html>"""
