@@ -369,6 +369,20 @@ def test_quality_finds_noise(spark):
     assert not any(got[1000 + i] for i in range(4)) and sum(got[i] for i in range(400)) >= 399
 
 
+def test_quality_finds_signs_and_keeps_languages_apart(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abdeilmnorst") for _ in range(rng.randrange(2, 8))) for _ in range(60)]
+    text = lambda end: " ".join(rng.choice(words) + end for _ in range(rng.randrange(60, 200)))
+    rows = [(i, text(""), f"l{i % 30:02}") for i in range(600)]
+    rows += [(1000 + i, " ".join(w + rng.choice(["###", "$$$", "&&&"]) for w in text("").split()), "l00") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["kept"] for r in quality.verdicts(frame).collect()}
+    assert not any(got[1000 + i] for i in range(60)) and sum(got[i] for i in range(600)) >= 590
+    assert len(quality.language_slots(frame)) == 30
+    one, two = (quality.ngram_codes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0].tolist() for t in ("a#b", "a$b"))
+    assert one != two
+
+
 def test_licenses(docs, corpus, empty, spark):
     templates = [(name, licenses.bigrams(text)) for name, text in licenses.TEMPLATES]
     more = spark.createDataFrame([(700, licenses.TEMPLATES[0][1].replace(" ", "\n", 9), *corpus[0][2:]), (701, licenses.TEMPLATES[2][1].upper().replace("WARRANTY", "GUARANTEE"), *corpus[0][2:])], DOCS)
