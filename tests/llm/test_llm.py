@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -330,12 +331,84 @@ def test_html(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     for tokens in (200_000, 0):
         got = html_extract.extract(frame, broadcast_tokens=tokens).collect()
-        # "two" is the same on all pages and so part of the template, as is the line below the article
-        assert {r["page_id"]: r["text"] for r in got} == {k: v.removesuffix("\n\ntwo") for k, v in want.items()}
+        # "two" is the same on all pages, yet in a list of the article; the line below the article is the template's
+        assert {r["page_id"]: r["text"] for r in got} == want
         assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def bare_site(rng, host, pages):
+    """Pages without a telling element, class or word: a menu, an advert on most, a text, a line below it; and the texts."""
+    words = lambda n: " ".join("".join(rng.choice("abdeilmnorst") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    menu, rows = [words(1) for _ in range(5)], []
+    for i in range(pages):
+        blocks = [words(6), *[words(rng.randrange(15, 60)) for _ in range(rng.randrange(2, 7))], "The same closing sentence."]
+        items = "".join(f"<li>{m}{'' if k else words(1)}</li>" for k, m in enumerate(menu))
+        body = "".join(f"<p>{b}</p>" for b in blocks[1:])
+        html = f"<html><body><div><ul>{items}</ul></div><div>{words(9)}</div><div><h1>{blocks[0]}</h1>{body}</div><div>All rights {words(3)}</div></body></html>"
+        rows.append((f"https://{host}/{i}", html, "\n\n".join(blocks)))
+    return rows
+
+
+def test_html_by_template_alone(spark):
+    rng = random.Random(9)
+    rows = [(i, *r) for i, r in enumerate(bare_site(rng, "a.example", 30) + bare_site(rng, "b.example", 12))]
+    # copies of a page and repeated rows count once in the template
+    rows += [rows[0]] * 40
+    frame = spark.createDataFrame([(i, u, h, "x") for i, u, h, _ in rows], "page_id long, url string, html string, text string")
+    for tokens in (200_000, 0):
+        got = html_extract.extract(frame, broadcast_tokens=tokens).collect()
+        assert len(got) == len(rows) and all(r["text"] == rows[r["page_id"]][3] for r in got)
+    # without templates, menus, adverts and feet stay
+    got = html_extract.extract(frame, least_pages=1000).collect()
+    assert all(r["text"] != rows[r["page_id"]][3] and rows[r["page_id"]][3] in r["text"] for r in got)
+
+
+def test_html_classes_by_brute_force(spark):
+    """The tokens on most pages, their vectors and gaps, from the pages' trees one by one."""
+    rng = random.Random(10)
+    rows = [r[:2] for r in bare_site(rng, "a.example", 9)]
+    rows += [("https://a.example/odd", "<div>one<p>two</p></div><div><ul><li>three</ul></div>")]
+    pages = [html_extract.Page(h, 5) for _, h in rows]
+    on = {}
+    for k, p in enumerate(pages):
+        for t in {*p.ids, *p.text_ids()}:
+            on.setdefault(t, set()).add(k)
+    often = {t: len(s) for t, s in on.items() if len(s) >= 8}
+    gaps = {}
+    for p in pages:
+        texts, seen, done = p.text_ids(), {}, set()
+        for x in (0, *p.order):
+            t, above = (p.ids[x], p.parents[x]) if x >= 0 else (texts[-x - 1], p.blocks[-x - 1][0])
+            if t in often and t not in done:
+                done.add(t)
+                better = [s for s in seen.setdefault(above, []) if often[s] >= often[t]]
+                gaps.setdefault(t, set()).add(better[-1] if better else 0)
+                seen[above].append(t)
+    size = Counter()
+    elements = {t for p in pages for t in p.ids}
+    for t in often:
+        size[frozenset(on[t])] += 2 if t in elements else 1
+    want = {t for t in often if len(gaps[t]) == 1 and size[frozenset(on[t])] >= 2}
+    frame = spark.createDataFrame(rows, "url string, html string")
+    root = frame.select(html_extract._root().alias("r")).first()["r"]
+    again = lambda t: {x: y for p, q in zip(pages, [html_extract.Page(h, root) for _, h in rows], strict=True) for x, y in zip([*p.ids, *p.text_ids()], [*q.ids, *q.text_ids()], strict=True)}[t]
+    got = html_extract.templates(frame)
+    assert {r["token"] for r in got.collect()} == {again(t) for t in want} and got.filter("main").count() == 1
+
+
+def test_html_odd_pages(spark):
+    texts = ["<a " * 20_000, "<p " + "x" * 100_000, '<a href="' * 20_000, "<div>" * 20_000 + "deep", "</b>" * 20_000 + "x", "<!-- " * 20_000, "<p>a</p><", "<p title='1 > 0'>b", "a < b, <c> <3", "<script>if (a<b) {}", "<p>x<a href=\"y>z</p>w", "<>" * 1000]
+    want = {6: "a\n\n<", 7: "b", 8: "a < b, <3", 9: "", 3: "deep", 4: "x"}
+    began = time.time()
+    found = [html_extract.article(html_extract.Page(t), None) for t in texts] + [html_extract.article(html_extract.Page("<a " * 350_000), None)]
+    assert time.time() - began < 5
+    assert all(found[k] == w for k, w in want.items())
+    assert found[0] == ("<a " * 20_000).strip() and "z" in found[10] and "w" in found[10]
+    rows = [(1, None, t, t) for t in [*texts, texts[3]]]
+    assert html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).count() == len(rows)
+
+
 def test_quality_base_rules(docs, corpus, empty):
     got = {r["doc_id"]: r for r in quality.verdicts(docs).collect()}
     for i, t, *_ in corpus:
