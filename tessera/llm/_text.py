@@ -23,6 +23,8 @@ _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+#: What a worker keeps between the tasks of one operator; tasks of another one forget it.
+KEPT: list = []
 
 
 def release() -> None:
@@ -32,6 +34,12 @@ def release() -> None:
         _TRIM(0)
 
 
+def forget() -> None:
+    """Drops what the tasks of other operators have left in this worker."""
+    KEPT.clear()
+    _POWERS.clear()
+
+
 def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
     """The first ``n`` powers of base ``which`` (or of its inverse) modulo 2**64."""
     have = _POWERS.get((which, inverse))

@@ -125,8 +125,9 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weighted:
     """(doc_id, size, h1, h2, buckets): hashes of each document's shingle set, and its band buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for batch in batches:
-            for a, b, data, offsets in tx.slices(batch.column("text"), 1 << 19):
+            for a, b, data, offsets in tx.slices(batch.column("text")):
                 n = b - a
                 text, elements, counts = distinct(*shingles(data, offsets))
                 weights = counts.astype(np.float64) if weighted else np.ones(len(text))
@@ -147,17 +148,13 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, weighted:
     return docs.mapInArrow(run, "doc_id long, size long, h1 long, h2 long, buckets array<long>")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, shingles): the distinct shingle hashes of each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in tx.slices(batch.column("text")):
-                text, elements, _ = distinct(*shingles(data, offsets, which=1))
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(b - a + 1)).astype(np.int32)), pa.array(elements.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], ["doc_id", "shingles"])
-
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+    for batch in batches:
+        for a, b, data, offsets in tx.slices(batch.column("text")):
+            text, elements, _ = distinct(*shingles(data, offsets, which=1))
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(b - a + 1)).astype(np.int32)), pa.array(elements.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], ["doc_id", "shingles"])
 
 
 def _overlaps(threshold: float):
@@ -232,7 +229,8 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, ro
     members = linking.crowded(buckets, ["size"])
     near = cut(members.select(F.col("id").alias("doc_id")).distinct())
     # rows that share a doc_id share a text: one is enough
-    sets = store(_sets(through_bloom(docs, bloom(near, "doc_id"), "doc_id", keep=True).join(near, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
+    sets = through_bloom(docs, bloom(near, "doc_id"), "doc_id", keep=True, run=_sets, schema="doc_id long, shingles array<long>")
+    sets = store(sets.join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))

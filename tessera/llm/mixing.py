@@ -42,6 +42,7 @@ def sized(docs: DataFrame) -> DataFrame:
     """All columns, with ``_mix_size`` (words of the whole text) and ``_mix_quality`` (share of letter bytes, above 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for batch in batches:
             sizes, qualities = [np.zeros(0, np.int64)], [np.zeros(0)]
             for _, _, data, offsets in tx.slices(batch.column("text")):

@@ -42,7 +42,9 @@ MAX_WORD = 32
 DICTIONARY = 1 << 22
 BYTE_SCORE = -20.0
 #: Distinct words gathered in a partition before they are handed on.
-FLUSH = 400_000
+FLUSH = 200_000
+#: Counts from which on words are equally frequent.
+OFTEN = 10_000
 
 
 def _kinds() -> np.ndarray:
@@ -132,6 +134,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, hash, n) of every whole text: counted in each partition, then summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         total = 0
 
@@ -267,20 +270,24 @@ def encode_words(counts: DataFrame, model: Model) -> DataFrame:
 
 
 class Dictionary:
-    """Words by sorted hashes, with their ids in one flat array."""
+    """Words by sorted hashes, with their ids one after the other: some 17 bytes a word."""
 
     def __init__(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
         order = np.argsort(hashes)
         ends = np.cumsum(sizes)
-        self.hashes, self.sizes, self.firsts, self.ids = hashes[order], sizes[order].astype(np.int32), (ends - sizes)[order], ids
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, whether found) of words' hashes; each distinct one is looked up once."""
-        distinct, of = np.unique(hashes, return_inverse=True)
+        firsts, sizes = (ends - sizes)[order], sizes[order]
+        at = np.cumsum(sizes)
+        self.hashes = hashes[order]
+        self.bounds = np.concatenate([[0], at]).astype(np.int32 if len(ids) < 2**31 else np.int64)
+        ids = ids[np.repeat(firsts - at + sizes, sizes) + np.arange(len(ids))]
+        self.ids = ids.astype(np.uint16) if not len(ids) or ids.max() < 2**16 else ids
+
+    def find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, whether found) of sorted hashes."""
         if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+            return np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
         at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
-        return at[of], (self.hashes[at] == distinct)[of]
+        return at, self.hashes[at] == distinct
 
     @classmethod
     def of(cls, rows: pa.Table, hash_column: str = "hash") -> Dictionary:
@@ -291,19 +298,41 @@ class Dictionary:
         return cls(rows.column(hash_column).to_numpy().view(np.uint64), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64))
 
 
-def _tokens(data: np.ndarray, offsets: np.ndarray, held: Dictionary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, their bounds by text, missing words' texts, missing words' hashes)."""
+def _tokens(data: np.ndarray, offsets: np.ndarray, *held: Dictionary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, their bounds by text, missing words' texts, missing words' hashes); each distinct word is looked up once."""
     starts, bounds = word_starts(data, offsets)
     hashes = tx.word_hashes(data, starts, word_ends(starts, bounds, offsets))
-    at, found = held.find(hashes)
-    sizes = np.where(found, held.sizes[at] if len(held.sizes) else 0, 0).astype(np.int64)
+    distinct, of = np.unique(hashes, return_inverse=True)
+    which, firsts, sizes = (np.full(len(distinct), x, np.int64) for x in (-1, 0, 0))
+    for k, part in enumerate(held):
+        todo = np.flatnonzero(which < 0)
+        at, found = part.find(distinct[todo])
+        todo, at = todo[found], at[found]
+        which[todo], firsts[todo], sizes[todo] = k, part.bounds[at], part.bounds[at + 1] - part.bounds[at]
+    sizes, which = sizes[of], which[of]
     ends = np.cumsum(sizes)
-    firsts = held.firsts[at] if len(held.sizes) else np.zeros(len(at), np.int64)
-    ids = held.ids[np.repeat(firsts - ends + sizes, sizes) + np.arange(sizes.sum())] if sizes.sum() else np.zeros(0, np.int32)
-    lost = np.flatnonzero(~found)
+    ids = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+    for k, part in enumerate(held):
+        mine = np.flatnonzero(which == k)
+        n = sizes[mine]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ids[np.repeat(ends[mine] - n, n) + inside] = part.ids[np.repeat(firsts[of[mine]], n) + inside]
+    lost = np.flatnonzero(which < 0)
     return ids, np.concatenate([[0], ends])[bounds], np.searchsorted(bounds, lost, side="right") - 1, hashes[lost]
 
 
+def _frequent(coded: DataFrame, most: int) -> DataFrame:
+    """The words above the least count that leaves at most ``most``, from a histogram of counts."""
+    bins = coded.groupBy(F.least("n", F.lit(OFTEN)).alias("n")).count().collect()
+    least, held = OFTEN + 1, 0
+    for row in sorted(bins, key=lambda r: -r["n"]):
+        held += row["count"]
+        if held > most:
+            break
+        least = row["n"]
+    return coded.filter(F.col("n") >= least)
+
+
 def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, verify: bool = False) -> DataFrame:
     """All columns of ``docs`` and ``ids``, the token ids of the whole text.
 
@@ -313,7 +342,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
     model = Model(path)
     coded = encode_words(word_counts(docs), model).select("hash", "n", "ids")
     if coded.count() > dictionary:
-        top = coded.orderBy(F.desc("n"), "hash").limit(dictionary)
+        top = _frequent(coded, dictionary)
     else:
         top = coded
     held = spark.sparkContext.broadcast(Dictionary.of(top.select("hash", "ids").toArrow()))
@@ -337,6 +366,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
         return pa.RecordBatch.from_arrays(columns, schema=pa.schema([*rows.schema, *more]))
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tx.forget()
         for batch in batches:
             for a, b, data, offsets in tx.slices(batch.column(place)):
                 ids, bounds, lost, _ = _tokens(data, offsets, held.value)
@@ -380,22 +410,14 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
             lists = batch.column("_piece_map")
             flat = lists.flatten()
             own = Dictionary.of(pa.table({"hash": flat.field("hash"), "ids": flat.field("ids")}))
-            # the batch's rare words come after the frequent ones
-            both = Dictionary(np.concatenate([frequent.hashes, own.hashes]), *_laid_out(frequent, own))
             for a, b, data, offsets in tx.slices(batch.column(place)):
-                ids, bounds, _, _ = _tokens(data, offsets, both)
+                ids, bounds, _, _ = _tokens(data, offsets, frequent, own)
                 yield with_ids(batch.select(names).slice(a, b - a), ids, bounds)
 
     late = apart.drop(rest).join(maps, key).select(*[F.col(f"`{c}`") for c in names], "_piece_map").mapInArrow(joined, schema)
     return everything.unionByName(late)
 
 
-def _laid_out(*parts: Dictionary) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, sizes) of several dictionaries' words, one after the other in the order of their hashes."""
-    ids = [p.ids[np.repeat(p.firsts - np.cumsum(p.sizes) + p.sizes, p.sizes) + np.arange(p.sizes.sum())] if len(p.sizes) else p.ids[:0] for p in parts]
-    return np.concatenate(ids), np.concatenate([p.sizes for p in parts]).astype(np.int64)
-
-
 class Speller:
     """Pieces' bytes in one flat array, for decoding whole batches."""
 
