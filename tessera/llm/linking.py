@@ -42,7 +42,11 @@ def crowded(buckets: DataFrame, marks: list[str]) -> DataFrame:
     """Buckets (bucket, id, *marks) that have two or more members, with n (their size) and a leader for each."""
     dealt = buckets.repartition("bucket")
     counts = dealt.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = store(dealt.join(counts, "bucket"))
+    return led_by(store(dealt.join(counts, "bucket")), marks)
+
+
+def led_by(members: DataFrame, marks: list[str]) -> DataFrame:
+    """The members (bucket, id, *marks, n) of buckets, with a leader for each bucket; ``members`` is a stored table."""
     # of a large bucket, the member that shares most buckets with others leads: the text that copies were made from
     many = members.filter(F.col("n") > SMALL)
     known = many.groupBy("id").agg(F.sum("n").alias("known"))
@@ -51,7 +55,7 @@ def crowded(buckets: DataFrame, marks: list[str]) -> DataFrame:
     return store(members.join(leaders, "bucket", "left"))
 
 
-def links(members: DataFrame, marks: list[str], fit: Fit, verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def links(members: DataFrame, marks: list[str], fit: Fit, verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame, DataFrame], DataFrame], more: DataFrame | None = None) -> DataFrame:
     """Verified links (a, b) that connect whatever the verified pairs of all buckets (of :func:`crowded`) connect.
 
     ``fit`` says from two members' marks whether they may be similar; ``verify`` gets distinct pairs (a, b) and returns
@@ -66,7 +70,8 @@ def links(members: DataFrame, marks: list[str], fit: Fit, verify: Callable[[Data
     pairs = few.join(renamed(few, marks), "bucket").filter((F.col("id") < F.col("lead_id")) & fit(F.col, led)).select(*ordered("id", "lead_id"))
     many = members.filter(F.col("n") > SMALL)
     stars = many.filter((F.col("id") != F.col("lead_id")) & fit(F.col, led)).select(*ordered("id", "lead_id"))
-    found = cut(verify(pairs.unionByName(stars).distinct()))
+    pairs = pairs.unionByName(stars)
+    found = cut(verify((pairs if more is None else pairs.unionByName(more)).distinct()))
     return finish(many, found) if many.take(1) else found
 
 
@@ -82,14 +87,23 @@ def ordered(x: str, y: str) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
+#: Members of a bucket that an outlier meets in one task.
+BLOCK_MEMBERS = 2048
+
+
 def finish_inside(many: DataFrame, found: DataFrame, marks: list[str], fit: Fit, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Compares outliers with all other components' members of their bucket inside one join: for a ``fit`` that lets little pass."""
+    """Compares outliers with all other components' members of their bucket inside one join: for a ``fit`` that lets little pass.
+
+    A large bucket is cut into blocks of members, and each of its outliers goes to all of them: no task gets a whole bucket.
+    """
     state = cut(many.select("bucket", "id", *marks).join(components(found), "id", "left").withColumn("label", F.coalesce("label", "id")))
     parts = state.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("bucket", F.col("main.label").alias("main"))
-    open_ = state.join(main, "bucket")
-    outliers = renamed(open_.filter("label != main"), [*marks, "label"])
+    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members")).filter("parts > 1")
+    main = main.select("bucket", F.col("main.label").alias("main"), F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    open_ = state.join(main, "bucket").withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    outliers = open_.filter("label != main").select("bucket", every, *[F.col(c).alias(f"lead_{c}") for c in ["id", *marks, "label"]])
     if not outliers.take(1):
         return found
-    near = outliers.join(open_.drop("main"), "bucket").filter((F.col("label") != F.col("lead_label")) & fit(F.col, led))
+    near = outliers.join(open_.drop("main", "blocks"), ["bucket", "block"]).filter((F.col("label") != F.col("lead_label")) & fit(F.col, led))
     return cut(found.unionByName(verify(near.select(*ordered("id", "lead_id")).distinct())).distinct())

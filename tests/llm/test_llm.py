@@ -189,30 +189,55 @@ def distance(a, b):
 
 
 def test_fuzzy_lines(docs, corpus, empty, spark):
+    """Against all pairs of distinct lines by edit similarity alone: no group joins what isn't similar, few pairs are lost."""
     more = [(900 + i, f"Lines that differ in number {i} only, but are long enough to be taken as one by their words and signs", *corpus[0][2:]) for i in range(12)]
     frame = docs.unionByName(spark.createDataFrame(more, DOCS))
     got = {(r["doc_id"], r["line"]): (r["group_doc"], r["group_line"], r["kept"]) for r in lines.line_groups(frame).collect()}
-    norm = lines.normal_lines(frame).select("doc_id", "line", "norm").distinct().collect()
-    sims = {r["norm"]: r["sim"] for r in lines.simhashes(lines.normal_lines(frame)).join(lines.normal_lines(frame).select("norm", "h1").distinct(), "h1").select("norm", "sim").distinct().collect()}
-    names = sorted(sims)
-    parent = {n: n for n in names}
+    norms = {(r["doc_id"], r["line"]): r["norm"] for r in lines.normal_lines(frame).select("doc_id", "line", "norm").collect()}
+    assert set(got) == set(norms) and set(norms) == {(i, k) for i, t, *_ in corpus + more if i is not None for k, x in enumerate((t or "").split("\n")) if any(len(w) > 3 or any(c.isalnum() for c in w) for w in re.split(r"[ \t\r]+", x))}
+    classes = lines.line_classes(lines.normal_lines(frame))
+    sims = {r["norm"]: r["sim"] for r in lines.simhashes(classes).join(classes.select("id", "norm"), "id").collect()}
+    names = sorted(set(norms.values()))
+    assert sorted(sims) == names
+    parent, pairs = {n: n for n in names}, []
     for i, a in enumerate(names):
         for b in names[:i]:
-            if ((sims[a] ^ sims[b]) & (2**64 - 1)).bit_count() <= 2 and distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
                 union(parent, a, b)
+                pairs.append((a, b))
+    group = {norms[k]: v[:2] for k, v in got.items()}
     first = {}
-    for r in sorted(norm, key=lambda r: (r["doc_id"], r["line"])):
-        if r["norm"] in parent:
-            first.setdefault(find(parent, r["norm"]), (r["doc_id"], r["line"]))
-    want = {(r["doc_id"], r["line"]): first[find(parent, r["norm"])] for r in norm if r["norm"] in parent}
-    assert {k: v[:2] for k, v in got.items()} == want
-    assert all(v[2] == (k == v[:2]) for k, v in got.items())
+    for k in sorted(norms):
+        first.setdefault(group[norms[k]], k)
+    # a group is one set of linked lines, equal lines are in one, and its first line stands for it
+    assert all(group[norms[k]] == v[:2] and v[2] == (k == v[:2]) for k, v in got.items()) and all(first[g] == g for g in first)
+    assert all(find(parent, norms[k]) == find(parent, norms[v[:2]]) for k, v in got.items())
+    joined = [group[a] == group[b] for a, b in pairs]
+    assert len(pairs) > 60 and sum(joined) >= 0.95 * len(pairs)
+    near = [group[a] == group[b] for a, b in pairs if ((sims[a] ^ sims[b]) & (2**64 - 1)).bit_count() <= 3]
+    assert near and all(near)
     kept = lines.keep_first(frame)
     assert kept.columns == frame.columns and lines.keep_first(empty).count() == 0 and lines.line_groups(empty).count() == 0
     texts = {r["doc_id"]: r["text"] for r in kept.collect()}
     assert texts[0] == corpus[0][1] and texts.get(3) is not None and 31 not in texts
 
 
+def test_long_lines_use_all_their_words(spark):
+    """Lines on both sides of a part's size: the SimHash is the majority of all words, and near copies are linked."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randrange(5, 9)))
+    base = [word() for _ in range(lines.PART - 1)]
+    texts = [" ".join(base), " ".join([*base, word(), word(), word()]), " ".join(word() for _ in range(3 * lines.PART)), "one short line of words"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sims = {r["size"]: r["sim"] & (2**64 - 1) for r in lines.simhashes(lines.line_classes(lines.normal_lines(frame))).collect()}
+    for t in texts:
+        words = [w for w in t.split() if len(w) > 4]
+        hashes = [h & (2**64 - 1) for h in np.array(spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).toPandas()).ravel().tolist()]
+        want = sum(1 << b for b in range(64) if 2 * (n := sum(h >> b & 1 for h in hashes)) > len(hashes) and n > len(hashes) // 2)
+        assert sims[len(t)] == want
+    assert [r["group_doc"] for r in lines.line_groups(frame).orderBy("doc_id").collect()] == [0, 0, 2, 3]
+
+
 def test_fuzzy_lines_by_edit_similarity_alone(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randrange(2, 11)))
@@ -458,25 +483,46 @@ def test_quality_finds_signs_and_keeps_languages_apart(spark):
 
 def test_licenses(docs, corpus, empty, spark):
     templates = [(name, licenses.bigrams(text)) for name, text in licenses.TEMPLATES]
-    more = spark.createDataFrame([(700, licenses.TEMPLATES[0][1].replace(" ", "\n", 9), *corpus[0][2:]), (701, licenses.TEMPLATES[2][1].upper().replace("WARRANTY", "GUARANTEE"), *corpus[0][2:])], DOCS)
+    bsd, rest = licenses.TEMPLATES[9][1], corpus[0][2:]
+    wrapped = lambda t, n: "\n".join(" ".join(t.split()[k : k + n]) for k in range(0, len(t.split()), n))
+    rows = [(700, licenses.TEMPLATES[0][1].replace(" ", "\n", 9), *rest), (701, licenses.TEMPLATES[2][1].upper().replace("WARRANTY", "GUARANTEE"), *rest)]
+    rows += [(702, "some code\n" + wrapped(bsd, 7) + "\nmore code\nand more", *rest), (703, "x = 1\n\n  * " + wrapped(licenses.TEMPLATES[1][1], 3).replace("\n", "\n\n  * ") + "\ny = 2", *rest), (703, wrapped(bsd, 1), *rest)]
+    more = spark.createDataFrame(rows, DOCS)
     got = {(r["doc_id"], r["license"], r["n_units"], r["dice"]) for r in licenses.document_licenses(docs.unionByName(more)).collect()}
+    most = max(len(g) for _, g in templates) * 1.5 + 1
     want = Counter()
     best = {}
+
+    def scores(words):
+        grams = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
+        out = {}
+        for name, g in templates:
+            if grams and 2 * len(grams & g) / (len(grams) + len(g)) >= 0.8:
+                out[name] = max(out.get(name, 0), 2 * len(grams & g) / (len(grams) + len(g)))
+        return out
+
     for i, t, *_ in [*corpus, *map(tuple, more.collect())]:
         text = re.sub(r"(?:[^\w\n]|_)+", " ", (t or "").lower())
         units = text.split("\n") + [b.replace("\n", " ") for b in re.split(r"\n *\n[ \n]*", text) if "\n" in b.strip(" ")]
-        for u in units:
-            w = u.split()
-            grams = {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)}
-            scores = {}
-            for name, g in templates:
-                if grams and 2 * len(grams & g) / (len(grams) + len(g)) >= 0.8:
-                    scores[name] = max(scores.get(name, 0), 2 * len(grams & g) / (len(grams) + len(g)))
-            for name, s in scores.items():
+        mine = [scores(u.split()) for u in units]
+        lines = [x.split() for x in text.split("\n") if x.split()]
+        runs = {}
+        for a in range(len(lines)):
+            for b in range(a + 2, len(lines) + 1):
+                words = sum(lines[a:b], [])
+                if len(words) > most:
+                    break
+                for name, s in scores(words).items():
+                    runs[name] = max(runs.get(name, 0), s)
+        known = {name for s in mine for name in s}
+        for s in [*mine, {n: x for n, x in runs.items() if n not in known}]:
+            for name, x in s.items():
                 want[i, name] += 1
-                best[i, name] = max(best.get((i, name), 0), s)
-    assert got == {(*k, n, round(best[k], 6)) for k, n in want.items()} and {k[0] for k in got} >= {700, 701}
+                best[i, name] = max(best.get((i, name), 0), x)
+    assert got == {(*k, n, round(best[k], 6)) for k, n in want.items()} and {k[:2] for k in got} >= {(700, "MIT"), (701, "MIT"), (702, "BSD-3-Clause"), (703, "MIT"), (703, "BSD-3-Clause")}
     assert licenses.document_licenses(empty).count() == 0
+    with pytest.raises(ValueError, match="two words"):
+        licenses.document_licenses(docs, [("X", "word")])
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
