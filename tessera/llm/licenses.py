@@ -1,10 +1,12 @@
 """License scans: blocks of text compared to licence templates by the Dice coefficient over their sets of word bigrams.
 
 A unit is a line, or a paragraph of more than one line, of the normalised text (lower case; runs of anything but
-letters, digits and line ends become one space). A unit of ``a`` bigrams can reach a coefficient ``s`` with a
-template of ``b`` only if ``b * s / (2 - s) <= a <= b * (2 - s) / s``: units outside the bounds of every template
-are dropped before their bigrams are exploded, and pairs outside before they are counted. Bigrams meet the
-templates by an equi-join with a table that is part of this file, and so of fixed size. No text is shuffled.
+letters, digits and line ends become one space). Where no unit matches a licence, runs of lines are units too, so that a
+notice is found wherever it starts and however it is wrapped. A unit of ``a`` bigrams can reach a coefficient ``s`` with a
+template of ``b`` only if ``b * s / (2 - s) <= a <= b * (2 - s) / s``, and only if it holds ``b * s / (2 - s)`` of the
+template's bigrams: documents that hold fewer of every template's bigrams, and units outside the bounds of every template,
+are dropped before anything is exploded, and pairs outside before they are counted. Bigrams meet the templates by an
+equi-join with a table that is part of this file, and so of fixed size. No text is shuffled.
 
 Edge cases: null or empty text and units of one word have no bigrams and match nothing; repeated rows are scanned
 one by one and their matches add up; ties between templates of one licence count once for each unit; an empty table
@@ -13,9 +15,11 @@ gives an empty result; other columns aren't read.
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
@@ -64,46 +68,79 @@ def bounds(size: int, threshold: float) -> tuple[float, float]:
     return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, unit, words) of every line and of every paragraph of more than one line."""
+def _grams(words: Column) -> Column:
+    pairs = F.greatest(F.lit(0), F.size(words) - 1)
+    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)))
+
+
+def possible(text: Column, sets: list[set[str]], threshold: float) -> Column:
+    """Whether a text holds so much of a template's bigrams that a part of it may match."""
+    need = lambda g: math.ceil(bounds(len(g), threshold)[0] - 1e-9)
+    words = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+    known = F.array_intersect(_grams(words), F.array(*map(F.lit, sorted(set().union(*sets)))))
+    # most texts hold hardly any: the templates are looked at one by one for the rest alone
+    holds = lambda k: reduce(lambda x, y: x | y, (F.size(F.array_intersect(k, F.array(*map(F.lit, sorted(g))))) >= need(g) for g in sets))
+    return F.exists(F.filter(F.array(known), lambda k: F.size(k) >= min(map(need, sets))), holds)
+
+
+def units(docs: DataFrame, most_words: int) -> DataFrame:
+    """(doc_id, row, unit, run, words) of every line, every paragraph of more than one line, and every run of two or more
+    lines of up to ``most_words`` words that begins and ends with a word."""
     clean = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\n]+", " ")
-    blocks = F.filter(F.split("_text", r"\n *\n[ \n]*"), lambda b: F.contains(F.trim(b), F.lit("\n")))
-    both = F.concat(F.split("_text", "\n"), F.transform(blocks, lambda b: F.replace(b, F.lit("\n"), F.lit(" "))))
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), clean.alias("_text"))
-    parts = rows.select("doc_id", "row", F.posexplode(both).alias("unit", "_part"))
-    return parts.select("doc_id", "row", "unit", F.filter(F.split("_part", " "), lambda w: w != "").alias("words"))
+    words = lambda p: F.filter(F.split(p, " "), lambda w: w != "")
+    blocks = F.filter(F.split("_text", r"\n *\n[ \n]*"), lambda b: F.contains(F.trim(b), F.lit("\n")))
+    lines = F.transform(F.split("_text", "\n"), words)
+    rows = rows.select("doc_id", "row", lines.alias("lines"), F.transform(blocks, lambda b: words(F.replace(b, F.lit("\n"), F.lit(" ")))).alias("blocks"))
+    plain = rows.select("doc_id", "row", F.posexplode(F.concat("lines", "blocks")).alias("unit", "words")).withColumn("run", F.lit(False))
+    # blank lines part nothing here: runs are of the lines with words
+    full = rows.select("doc_id", "row", F.filter("lines", lambda w: F.size(w) > 0).alias("lines")).filter(F.size("lines") > 1)
+    sizes = F.aggregate("lines", F.array(F.lit(0)), lambda s, w: F.concat(s, F.array(F.element_at(s, -1) + F.size(w))))
+    starts = full.select("doc_id", "row", "lines", sizes.alias("to")).select("*", F.explode(F.sequence(F.lit(0), F.size("lines") - 2)).alias("at"))
+    last = F.least(F.size("lines"), F.col("at") + most_words)
+    ends = F.filter(F.sequence(F.col("at") + 2, F.greatest(last, F.col("at") + 2)), lambda e: F.get("to", e) - F.get("to", F.col("at")) <= most_words)
+    runs = starts.select("doc_id", "row", "lines", "at", F.explode(ends).alias("end"))
+    runs = runs.select("doc_id", "row", F.xxhash64("at", "end").alias("unit"), F.flatten(F.slice("lines", F.col("at") + 1, F.col("end") - F.col("at"))).alias("words"), F.lit(True).alias("run"))
+    return plain.select("doc_id", "row", F.col("unit").cast("long").alias("unit"), "run", "words").unionByName(runs)
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, row, unit, license, template, dice) of every unit that reaches the threshold with a template."""
-    rows = [(b, t, name, len(grams)) for t, (name, text) in enumerate(templates) if (grams := bigrams(text)) for b in sorted(grams)]
+    """(doc_id, row, unit, run, license, template, dice) of every unit that reaches the threshold with a template; ``run``
+    tells those that are runs of lines only."""
+    sets = [bigrams(text) for _, text in templates]
+    rows = [(b, t, templates[t][0], len(grams)) for t, grams in enumerate(sets) for b in sorted(grams)]
+    if not rows:
+        raise ValueError("no template has two words")
     # an inline table stays inside the JVM; bigrams hold letters, digits and spaces only
     values = ", ".join(f"('{b}', {t}, '{name}', {n})" for b, t, name, n in rows)
     table = docs.sparkSession.sql(f"SELECT * FROM VALUES {values} AS v(bigram, template, license, template_size)")
-    if not rows:
-        raise ValueError("no template has two words")
     sizes = sorted({r[3] for r in rows})
-    possible = F.lit(False)
+    fits = F.lit(False)
     for low, high in (bounds(s, threshold) for s in sizes):
-        possible |= F.col("size").between(low, high)
+        fits |= F.col("size").between(low, high)
     n = F.size("words")
-    pairs = F.greatest(F.lit(0), n - 1)
+    near = docs.select("doc_id", "text").filter(possible(F.col("text"), [g for g in sets if g], threshold))
+    # a run of more words than this has too many bigrams, unless words repeat: then a shorter run of them matches better
+    most_words = math.floor(bounds(sizes[-1], threshold)[1]) + 1
     # the number of words bounds the number of bigrams from above: a cheap test before the set is built
-    short = units(docs).filter((n >= 2) & (n - 1 >= bounds(sizes[0], threshold)[0]))
-    grams = F.array_distinct(F.zip_with(F.slice("words", F.lit(1), pairs), F.slice("words", F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)))
-    sets = short.select("doc_id", "row", "unit", grams.alias("grams")).withColumn("size", F.size("grams")).filter(possible)
-    met = sets.select("doc_id", "row", "unit", "size", F.explode("grams").alias("bigram")).join(F.broadcast(table), "bigram")
+    short = units(near, most_words).filter((n >= 2) & (n - 1 >= bounds(sizes[0], threshold)[0]))
+    keys = ["doc_id", "row", "unit", "run", "size"]
+    sized = short.select(*keys[:-1], _grams(F.col("words")).alias("grams")).withColumn("size", F.size("grams")).filter(fits)
+    met = sized.select(*keys, F.explode("grams").alias("bigram")).join(F.broadcast(table), "bigram")
     low, high = bounds(1, threshold)
     near = met.filter(F.col("size").between(F.col("template_size") * low, F.col("template_size") * high))
-    counted = near.groupBy("doc_id", "row", "unit", "size", "license", "template", "template_size").agg(F.count("*").alias("common"))
+    counted = near.groupBy(*keys, "license", "template", "template_size").agg(F.count("*").alias("common"))
     dice = 2.0 * F.col("common") / (F.col("size") + F.col("template_size"))
-    return counted.withColumn("dice", dice).filter(F.col("dice") >= threshold).select("doc_id", "row", "unit", "license", "template", "dice")
+    return counted.withColumn("dice", dice).filter(F.col("dice") >= threshold).select("doc_id", "row", "unit", "run", "license", "template", "dice")
 
 
 def document_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, license, n_units (units that match it), dice (the best): one row for each licence found in a document."""
-    best = scan(docs, templates, threshold).groupBy("doc_id", "row", "unit", "license").agg(F.max("dice").alias("dice"))
-    return best.groupBy("doc_id", "license").agg(F.count("*").alias("n_units"), F.round(F.max("dice"), 6).alias("dice"))
+    """doc_id, license, n_units (lines and paragraphs that match it, or 1 of a row in which only runs of lines do), dice
+    (the best of those): one row for each licence found in a document."""
+    best = scan(docs, templates, threshold).groupBy("doc_id", "row", "unit", "run", "license").agg(F.max("dice").alias("dice"))
+    found = best.groupBy("doc_id", "row", "license").agg(F.count_if(~F.col("run")).alias("n"), F.max(F.when(~F.col("run"), F.col("dice"))).alias("own"), F.max("dice").alias("any"))
+    found = found.select("doc_id", "license", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("own", "any").alias("dice"))
+    return found.groupBy("doc_id", "license").agg(F.sum("n").alias("n_units"), F.round(F.max("dice"), 6).alias("dice"))
 
 
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:
@@ -128,6 +165,27 @@ template_sets AS (
   SELECT doc_id, r, kind, i, license, max(2.0::DOUBLE * len(list_intersect(u.grams, t.grams)) / (len(u.grams) + len(t.grams))) AS dice
   FROM unit_sets u JOIN template_sets t ON 2.0 * least(len(u.grams), len(t.grams)) >= {threshold} * (len(u.grams) + len(t.grams)) - 1e-9
   GROUP BY ALL HAVING dice >= {threshold}::DOUBLE
+), doc_sets AS (
+  SELECT doc_id, r, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS grams
+  FROM (SELECT doc_id, r, list_filter(string_split(replace(t, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM clean) WHERE len(w) >= 2
+), may AS (
+  SELECT DISTINCT doc_id, r FROM doc_sets d, template_sets t WHERE len(list_intersect(d.grams, t.grams)) >= len(t.grams) * {threshold} / (2 - {threshold}) - 1e-9
+), full_lines AS (
+  SELECT doc_id, r, row_number() OVER (PARTITION BY r ORDER BY i) AS i, list_filter(string_split(p, ' '), lambda x: x <> '') AS w
+  FROM parts JOIN may USING (doc_id, r) WHERE kind = 'l' AND len(list_filter(string_split(p, ' '), lambda x: x <> '')) > 0
+), summed AS (SELECT *, sum(len(w)) OVER (PARTITION BY r ORDER BY i) AS upto FROM full_lines
+), runs AS (
+  SELECT a.doc_id, a.r, a.i, b.i AS j, flatten(list(c.w ORDER BY c.i)) AS w FROM summed a
+  JOIN summed b ON a.r = b.r AND b.i > a.i AND b.upto - a.upto + len(a.w) <= {math.floor(bounds(max(len(bigrams(t)) for _, t in templates), threshold)[1]) + 1}
+  JOIN summed c ON c.r = a.r AND c.i BETWEEN a.i AND b.i GROUP BY ALL
+), run_sets AS (SELECT doc_id, r, i, j, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS grams FROM runs
+), run_found AS (
+  SELECT doc_id, r, license, max(2.0::DOUBLE * len(list_intersect(u.grams, t.grams)) / (len(u.grams) + len(t.grams))) AS dice
+  FROM run_sets u JOIN template_sets t ON 2.0 * least(len(u.grams), len(t.grams)) >= {threshold} * (len(u.grams) + len(t.grams)) - 1e-9
+  GROUP BY ALL HAVING dice >= {threshold}::DOUBLE
+), both_ AS (
+  SELECT doc_id, license, dice FROM found UNION ALL
+  SELECT doc_id, license, dice FROM run_found x WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.r = x.r AND f.license = x.license)
 )
-SELECT doc_id, license, count(*) AS n_units, round(max(dice), 6) AS dice FROM found GROUP BY ALL
+SELECT doc_id, license, count(*) AS n_units, round(max(dice), 6) AS dice FROM both_ GROUP BY ALL
 """
