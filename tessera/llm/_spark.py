@@ -16,10 +16,13 @@ from pyspark.sql import types as T
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set a checkpoint folder where the cluster names none, and bound Arrow batches by bytes."""
+    """Set the checkpoint folder that the cluster names (one of its own only where driver and executors are one process),
+    and bound Arrow batches by bytes for the session."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-checkpoint-"))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
