@@ -346,6 +346,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
     else:
         top = coded
     held = spark.sparkContext.broadcast(Dictionary.of(top.select("hash", "ids").toArrow()))
+    tx.release()
     names, place = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *([T.StructField("round_trip", T.BooleanType())] if verify else [])])
     speller = spark.sparkContext.broadcast(Speller(model.spelled)) if verify else None
