@@ -11,8 +11,8 @@ A list and the queries that probe it meet in cells of at most ``CELL_VECTORS`` b
 neither a crowded list nor a popular one lands in one task.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose length
-isn't the most common one; rows with a query's vec_id are never its neighbours; equal scores go to the smaller vec_id;
-an empty table gives an empty result; other columns aren't read.
+isn't the most common one; rows with a query's vec_id are never its neighbours; repeated rows are one query, but a
+candidate each; equal scores go to the smaller vec_id; an empty table gives an empty result; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -155,7 +155,8 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, colu
                 which, where = np.nonzero(wanted)
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(which)), batch.column("v").take(pa.array(which)), pa.array(order[which, where].astype(np.int32))], ["query_id", "q", "list"])
 
-    queries = cut(rows.filter(is_query).mapInArrow(probe, f"query_id long, q {kind}, list int"))
+    # a repeated row is one query
+    queries = cut(rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(probe, f"query_id long, q {kind}, list int"))
     asked = {r["list"]: r["count"] for r in queries.groupBy("list").count().collect()}
     # at most MAX_LISTS entries
     plan = spark.createDataFrame(

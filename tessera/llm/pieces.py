@@ -269,18 +269,28 @@ def encode_words(counts: DataFrame, model: Model) -> DataFrame:
         spark.conf.set(name, before)
 
 
+#: Words whose ids are gathered at once while a dictionary is built, and ids that a word of it may have.
+GATHER, MOST_IDS = 1 << 17, 2**16 - 1
+
+
 class Dictionary:
     """Words by sorted hashes, with their ids one after the other: some 17 bytes a word."""
 
     def __init__(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
         order = np.argsort(hashes)
-        ends = np.cumsum(sizes)
-        firsts, sizes = (ends - sizes)[order], sizes[order]
-        at = np.cumsum(sizes)
         self.hashes = hashes[order]
-        self.bounds = np.concatenate([[0], at]).astype(np.int32 if len(ids) < 2**31 else np.int64)
-        ids = ids[np.repeat(firsts - at + sizes, sizes) + np.arange(len(ids))]
-        self.ids = ids.astype(np.uint16) if not len(ids) or ids.max() < 2**16 else ids
+        self.bounds = np.zeros(len(order) + 1, np.int64)
+        np.cumsum(sizes[order], out=self.bounds[1:])
+        firsts = np.cumsum(sizes, dtype=np.int64)
+        firsts = (firsts - sizes)[order]
+        ids = ids.astype(np.uint16, copy=False) if not len(ids) or ids.max() < 2**16 else ids
+        self.ids = np.empty(len(ids), ids.dtype)
+        for k in range(0, len(order), GATHER):
+            at = self.bounds[k : k + GATHER + 1]
+            n = np.diff(at)
+            self.ids[at[0] : at[-1]] = ids[np.repeat(firsts[k : k + GATHER] - at[:-1] + at[0], n) + np.arange(at[-1] - at[0])]
+        if len(ids) < 2**31:
+            self.bounds = self.bounds.astype(np.int32)
 
     def find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, whether found) of sorted hashes."""
@@ -298,6 +308,28 @@ class Dictionary:
         return cls(rows.column(hash_column).to_numpy().view(np.uint64), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64))
 
 
+def _collected(words: DataFrame) -> Dictionary:
+    """A dictionary of (hash, ids), which come to the driver as a few packed rows."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                lists = batch.column("ids")
+                parts = [batch.column("hash").to_numpy().tobytes(), lists.value_lengths().to_numpy().astype(np.uint16).tobytes(), lists.flatten().to_numpy().astype(np.int32)]
+                narrow = not len(parts[2]) or parts[2].max() < 2**16
+                parts[2] = parts[2].astype(np.uint16 if narrow else np.int32).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts] + [pa.array([narrow])], ["hashes", "sizes", "ids", "narrow"])
+
+    rows = words.select("hash", "ids").mapInArrow(pack, "hashes binary, sizes binary, ids binary, narrow boolean").collect()
+    put = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+    hashes = put([np.frombuffer(r["hashes"], np.uint64) for r in rows], np.uint64)
+    sizes = put([np.frombuffer(r["sizes"], np.uint16) for r in rows], np.uint16)
+    narrow = all(r["narrow"] for r in rows)
+    ids = put([np.frombuffer(r["ids"], np.uint16 if r["narrow"] else np.int32) for r in rows], np.uint16 if narrow else np.int32)
+    rows.clear()
+    return Dictionary(hashes, ids, sizes)
+
+
 def _tokens(data: np.ndarray, offsets: np.ndarray, *held: Dictionary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids, their bounds by text, missing words' texts, missing words' hashes); each distinct word is looked up once."""
     starts, bounds = word_starts(data, offsets)
@@ -341,11 +373,11 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
     spark = prepare(docs.sparkSession)
     model = Model(path)
     coded = encode_words(word_counts(docs), model).select("hash", "n", "ids")
-    if coded.count() > dictionary:
-        top = _frequent(coded, dictionary)
-    else:
-        top = coded
-    held = spark.sparkContext.broadcast(Dictionary.of(top.select("hash", "ids").toArrow()))
+    fits = F.size("ids") <= MOST_IDS
+    counted = coded.agg(F.count("*").alias("n"), F.coalesce(F.min(fits), F.lit(True)).alias("fits")).first()
+    whole = counted["n"] <= dictionary and counted["fits"]
+    top = coded if counted["n"] <= dictionary else _frequent(coded, dictionary)
+    held = spark.sparkContext.broadcast(_collected(top.filter(fits)))
     tx.release()
     names, place = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *([T.StructField("round_trip", T.BooleanType())] if verify else [])])
@@ -383,7 +415,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
                     yield with_ids(rows, ids, bounds)
 
     everything = docs.mapInArrow(common, schema)
-    if top is coded:
+    if whole:
         return everything
 
     key, rest = "_piece_row", "_piece_words"

@@ -173,6 +173,10 @@ def test_neighbours(spark):
         best = set(np.lexsort((np.arange(1500), -s))[:20].tolist())
         hit, total = hit + len(best & {r["vec_id"] for r in mine}), total + 20
     assert len(got) == 75 * 20 and hit / total >= 0.9
+    # repeated rows and clashing columns: a repeated query is asked once, a repeated candidate is found twice
+    wide = vectors.unionByName(vectors.filter("vec_id IN (0, 3)")).withColumns({c: F.lit("x") for c in ("list", "codes", "v", "score", "rank", "chunk", "block", "q")})
+    again = neighbours.search(wide.filter("vec_id < 5"), k=20).collect()
+    assert [r["rank"] for r in again if r["query_id"] == 0] == [1, 2, 3, 4, 5] and sorted(r["vec_id"] for r in again) == [1, 2, 3, 3, 4]
     few = neighbours.search(vectors.filter("vec_id < 5"), k=20)
     assert [r["vec_id"] for r in few.collect()] == np.argsort(-scores[0, 1:5]).__add__(1).tolist()
     assert neighbours.search(vectors.limit(0)).count() == 0
@@ -458,6 +462,52 @@ def test_kneser_ney_is_a_distribution():
         assert model.probability(context * quality.ALPHABET + np.arange(quality.ALPHABET)).sum() == pytest.approx(1.0)
 
 
+def test_quality_bits_by_brute_force(spark):
+    """Bits per character from a Kneser-Ney model of dictionaries, one n-gram at a time."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(2, 6))) for _ in range(25)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(12, 60))) for _ in range(40)]
+    order = quality.ORDER
+    padded = [[0] * (order - 1) + list(t.encode()) + [0] for t in texts]
+    grams = [[tuple(p[i : i + order]) for i in range(len(p) - order + 1)] for p in padded]
+    counts = {order: {g: n - 1 for g, n in Counter(g for x in grams for g in x).items() if n > 1}}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    discounts, totals, left = {}, {}, {}
+    for k, table in counts.items():
+        n = [max(sum(c == i for c in table.values()), 0.5) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        discounts[k] = [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.05), 0.95 * i) for i in range(1, 4)]
+        totals[k], left[k] = Counter(), Counter()
+        for g, c in table.items():
+            totals[k][g[:-1]] += c
+            left[k][g[:-1]] += discounts[k][min(c, 3) - 1]
+
+    def probability(g):
+        k = len(g)
+        if not k:
+            return 1 / quality.ALPHABET
+        total, c = totals[k][g[:-1]], counts[k].get(g, 0)
+        if not total:
+            return probability(g[1:])
+        return (c - discounts[k][min(c, 3) - 1] if c else 0) / total + left[k][g[:-1]] / total * probability(g[1:])
+
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    got = quality.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    for r in got:
+        own = grams[r["doc_id"]]
+        assert r["bits_per_char"] == pytest.approx(sum(-np.log2(probability(g)) for g in own) / len(own), rel=1e-4)
+        assert r["kept"] == (not r["base_failed"] and r["lowest_bits"] <= r["bits_per_char"] <= r["highest_bits"] and 10 * r["n_symbols"] <= r["n_words"])
+
+
+def test_quality_cuts_large_models(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["ab", "cd", "ef", "gh"]) for _ in range(30)) for _ in range(30)]
+    frame = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    sizes = [len(quality.fit_models(frame, ["en"], most).held[0].value.levels[0][0]) for most in (1 << 24, 60, 1)]
+    assert sizes[0] > 60 >= sizes[1] > 0 and sizes[2] > 0
+
+
 def test_quality_finds_noise(spark):
     rng = random.Random(1)
     words = "the of and to in is that it was for on are as with they be at one have this from by hot but some what there we can out other were all your when up use word how said an each she".split()
@@ -535,6 +585,16 @@ def test_against_sql(spark, sf, name):
     assert columns == sorted(want.columns) and rows(got) == rows(want)
 
 
+def test_pipeline_takes_odd_tables(corpus, spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows, ties and no rows, from end to end."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows in (("odd", [(*r[:4], len(r[1] or "")) for r in corpus]), ("none", [])):
+        spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / name / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert all(r["text"] and r["ids"] and r["n_chars"] == len(r["text"]) for r in out)
+        assert bool(out) == bool(rows) and len({r["doc_id"] for r in out}) <= len(rows)
+
+
 def test_pipeline(spark, sf):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "source_mixing", "encoding"]
     out = corpus_pipeline.run(spark, sf)
