@@ -50,7 +50,8 @@ _STORED: list[str] = []
 def store(df: DataFrame) -> DataFrame:
     """The frame as compressed Parquet in the shared checkpoint folder, for tables too wide for checkpoint().
 
-    The folder goes when the session's Python ends.
+    The folder goes when the session's Python ends. Shuffle files that led to the table aren't needed any more, but Spark
+    drops them only once the driver's JVM has found them unreachable: it is asked to look.
     """
     spark = prepare(df.sparkSession)
     jvm, context = spark.sparkContext._jvm, spark.sparkContext
@@ -59,6 +60,7 @@ def store(df: DataFrame) -> DataFrame:
         atexit.register(_drop_stored, jvm, context)
     _STORED.append(path)
     df.write.option("compression", "zstd").parquet(path)
+    jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
