@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -56,8 +57,12 @@ def as_text(value: Column) -> Column:
     return F.when(_kind(value).startswith("ARRAY"), F.array_join(F.filter(items, lambda x: x != ""), ", ")).otherwise(_scalar_text(value))
 
 
+#: Lists in lists are followed so many levels down.
+LEVELS = 6
+
+
 def names_of(value: Column) -> Column:
-    """The names in a field: of a text, an object, or a list of those (lists in lists too, one level down)."""
+    """The names in a field: of a text, an object, or a list of those (lists in lists too)."""
 
     def one(v: Column) -> Column:
         kind = _kind(v)
@@ -65,8 +70,12 @@ def names_of(value: Column) -> Column:
         return F.filter(F.array(name), lambda n: n != "")
 
     flat = lambda v, of: F.coalesce(F.flatten(F.transform(F.try_variant_get(v, "$", "array<variant>"), of)), F.array().cast("array<string>"))
-    inner = lambda v: F.when(_kind(v).startswith("ARRAY"), flat(v, one)).otherwise(one(v))
-    return F.when(_kind(value).startswith("ARRAY"), flat(value, inner)).otherwise(one(value))
+
+    def within(levels: int) -> Callable[[Column], Column]:
+        deeper = within(levels - 1) if levels else one
+        return lambda v: F.when(_kind(v).startswith("ARRAY"), flat(v, deeper)).otherwise(one(v)) if levels else one(v)
+
+    return within(LEVELS)(value)
 
 
 def stage_labels(fields: Column, stage_field: str = "") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -40,8 +41,15 @@ STOP_WORDS = ("the", "a", "an", "in", "of", "for", "and", "or", "to", "is", "are
 BOILERPLATE_TITLES = r"(?i)^(agenda|outline|table of contents|thank|questions|q&a|appendix|disclaimer|legal|confidential)$"
 AGENDA = r"(?i)^(agenda|outline|overview|introduction|background|problem|solution|approach|implementation|timeline|next steps|conclusion|summary|appendix)"
 
-#: White space as str.split() has it.
-SPACES = r"[\s\x1c-\x1f\x85   -     　]+"
+#: White space as str.split() has it: what patterns have as \\s, and the rest, which is rare.
+RARE_SPACES = "\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = rf"[\s{RARE_SPACES}]+"
+WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def trimmed(text: Column) -> Column:
+    """Without white space at both ends, as str.strip() has it."""
+    return F.btrim(text, F.lit(WHITE))
 
 
 def split_words(text: Column) -> Column:
@@ -50,8 +58,9 @@ def split_words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words, by counting matches rather than making an array."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(SPACES.replace("[", "[^", 1)))
+    """Number of words, by counting matches rather than making an array; rare white space costs a slower pattern."""
+    rare = F.regexp_count(text, F.lit(SPACES.replace("[", "[^", 1)))
+    return F.when(text.isNull(), 0).when(text.rlike(f"[{RARE_SPACES}]"), rare).otherwise(F.regexp_count(text, F.lit(r"\S+")))
 
 
 def simple_words(text: Column) -> Column:
@@ -78,29 +87,41 @@ def template_hits(text: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Plain text of wiki markup, in a fixed order of steps; ``snake_case`` loses its underscores too."""
+    """Plain text of wiki markup, in a fixed order of steps; ``snake_case`` loses its underscores too.
+
+    A step is tried only where one of its signs stands in the text: most texts have none.
+    """
     steps = [
-        (r"(?is)\{code.*?\}.*?\{code\}|\{panel.*?\}.*?\{panel\}|\{noformat.*?\}.*?\{noformat\}|\{[a-z]+[^}]*\}", ""),
-        (r"(?md)^h[1-6]\.", ""),
-        (r"(?d)\|\|.*?\|\||\|.*?\|", " "),
-        (r"(?d)[*_]{1,2}(.+?)[*_]{1,2}", "$1"),
-        (r"\n{3,}", "\n\n"),
+        (("{",), r"(?is)\{code.*?\}.*?\{code\}|\{panel.*?\}.*?\{panel\}|\{noformat.*?\}.*?\{noformat\}|\{[a-z]+[^}]*\}", ""),
+        (tuple(f"h{i}." for i in range(1, 7)), r"(?md)^h[1-6]\.", ""),
+        (("|",), r"(?d)\|\|.*?\|\||\|.*?\|", " "),
+        (("*", "_"), r"(?d)[*_]{1,2}(.+?)[*_]{1,2}", "$1"),
+        (("\n\n\n",), r"\n{3,}", "\n\n"),
     ]
-    out = reduce(lambda t, s: F.regexp_replace(t, s[0], s[1]), steps, F.coalesce(text, F.lit("")))
-    return F.regexp_replace(out, f"^{SPACES}|{SPACES}$", "")
+
+    def step(signs: tuple[str, ...], pattern: str, by: str) -> Callable[[Column], Column]:
+        has = lambda out: reduce(lambda a, b: a | b, (F.contains(out, F.lit(s)) for s in signs))
+        return lambda out: F.when(has(out), F.regexp_replace(out, pattern, by)).otherwise(out)
+
+    # each step reads the one before it several times: as an array's only item, it is made once
+    out = F.array(F.coalesce(text, F.lit("")))
+    for signs, pattern, by in steps:
+        out = F.transform(out, step(signs, pattern, by))
+    return trimmed(F.get(out, F.lit(0)))
 
 
-def is_junk(cleaned: Column, settings: Settings = DEFAULT) -> Column:
+def is_junk(cleaned: Column, words: Column, settings: Settings = DEFAULT) -> Column:
     starts = "|".join([*JUNK_STARTS, *(f"(?:{w})$" for w in JUNK_WHOLE)])
-    return (word_count(cleaned) < settings.junk_below) | F.lower(cleaned).rlike(f"^(?:{starts})")
+    # how a text starts is seen without lowering all of it; whole texts that are junk are short
+    return (words < settings.junk_below) | cleaned.rlike(f"(?i)^(?:{starts})")
 
 
-def description_class(cleaned: Column, settings: Settings = DEFAULT) -> Column:
-    """empty, junk, thin, usable or rich, by the cleaned text."""
-    n = word_count(cleaned)
+def description_class(cleaned: Column, words: Column | None = None, settings: Settings = DEFAULT) -> Column:
+    """empty, junk, thin, usable or rich, by the cleaned text; ``words`` is its number of words, if that is a column already."""
+    n = word_count(cleaned) if words is None else words
     return (
         F.when(F.coalesce(cleaned, F.lit("")) == "", "empty")
-        .when(is_junk(cleaned, settings), "junk")
+        .when(is_junk(cleaned, n, settings), "junk")
         .when(n < settings.thin_below, "thin")
         .when(n < settings.usable_below, "usable")
         .otherwise("rich")
@@ -122,8 +143,8 @@ def is_substantive(raw: Column, cleaned: Column, settings: Settings = DEFAULT) -
 
 def key_sentences(cleaned: Column, most: int = 2, least_words: int = 8) -> Column:
     """The first sentences (between full stops) of at least eight words."""
-    trimmed = F.transform(F.split(cleaned, r"\."), lambda s: F.regexp_replace(s, f"^{SPACES}|{SPACES}$", ""))
-    return F.slice(F.filter(trimmed, lambda s: word_count(s) >= least_words), 1, most)
+    sentences = F.transform(F.split(cleaned, r"\."), trimmed)
+    return F.slice(F.filter(sentences, lambda s: word_count(s) >= least_words), 1, most)
 
 
 def key_phrases(text: Column, most: int = 5) -> Column:
@@ -134,7 +155,7 @@ def key_phrases(text: Column, most: int = 5) -> Column:
 
 def slide_title(text: Column) -> Column:
     """The first line with content, without leading number signs; null if none."""
-    lines = F.transform(F.split(text, r"\r?\n"), lambda s: F.trim(F.regexp_replace(F.trim(s), "^#+", "")))
+    lines = F.transform(F.split(text, r"\r?\n"), lambda s: trimmed(F.regexp_replace(trimmed(s), "^#+", "")))
     return F.get(F.filter(lines, lambda s: s != ""), F.lit(0))
 
 
@@ -154,7 +175,7 @@ def is_section_start(title: Column, layout: Column | None = None) -> Column:
 
 def merge_texts(native: Column, ocr: Column) -> Column:
     """Text layer and OCR text: the one that holds the other, or both."""
-    a, b = (F.trim(F.coalesce(c, F.lit(""))) for c in (native, ocr))
+    a, b = (trimmed(F.coalesce(c, F.lit(""))) for c in (native, ocr))
     return F.when(a == "", b).when(b == "", a).when(F.contains(a, b), a).when(F.contains(b, a), b).otherwise(F.concat(a, F.lit("\n\n[OCR]\n"), b))
 
 

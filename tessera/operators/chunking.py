@@ -29,13 +29,13 @@ def slides(documents: DataFrame, text: str = "text", settings: Settings = DEFAUL
     marker = r"<!--\s*Slide number:\s*(\d+)\s*-->"
     numbers = F.transform(F.regexp_extract_all(text, F.lit(marker), F.lit(1)), lambda x: x.cast("int"))
     parts = F.slice(F.split(text, marker), 2, 2**30)
-    pairs = F.arrays_zip(numbers.alias("number"), F.transform(parts, F.trim).alias("body"))
+    pairs = F.arrays_zip(numbers.alias("number"), F.transform(parts, tx.trimmed).alias("body"))
     over = F.array_position(F.transform(numbers, lambda n: n > settings.max_slides), True)
     pairs = F.when(over > 0, F.slice(pairs, F.lit(1), F.greatest(F.lit(0), (over - 1).cast("int")))).otherwise(pairs)
     pairs = F.filter(pairs, lambda p: p["body"] != "")
-    whole = F.array(F.struct(F.lit(1).alias("number"), F.trim(text).alias("body")))
+    whole = F.array(F.struct(F.lit(1).alias("number"), tx.trimmed(F.col(text)).alias("body")))
     kind = "array<struct<number:int,body:string>>"
-    found = F.when(F.size(pairs) > 0, pairs.cast(kind)).when(F.trim(text) != "", whole.cast(kind)).otherwise(F.array().cast(kind))
+    found = F.when(F.size(pairs) > 0, pairs.cast(kind)).when(tx.trimmed(F.col(text)) != "", whole.cast(kind)).otherwise(F.array().cast(kind))
     rows = documents.select(*keep, F.posexplode(found).alias("pos", "s")).select(*keep, "pos", F.col("s.number").alias("slide_num"), F.col("s.body").alias("text"))
     rows = rows.withColumn("slide_title", F.coalesce(tx.slide_title(F.col("text")), F.lit("")))
     boring = tx.is_boilerplate_slide(F.col("slide_num"), F.col("slide_title"), F.col("text"))
@@ -49,7 +49,7 @@ def slides(documents: DataFrame, text: str = "text", settings: Settings = DEFAUL
 def packed(documents: DataFrame, text: str = "text", separator: str = r"\n{2,}", settings: Settings = DEFAULT) -> DataFrame:
     """Paragraphs packed greedily up to a number of words; small packs are dropped without using up a number."""
     keep = [c for c in documents.columns if c != text]
-    paragraphs = F.filter(F.transform(F.split(text, separator), F.trim), lambda p: p != "")
+    paragraphs = F.filter(F.transform(F.split(text, separator), tx.trimmed), lambda p: p != "")
     sized = F.transform(paragraphs, lambda p: F.struct(p.alias("p"), tx.word_count(p).alias("n")))
     kind = "struct<done:array<struct<text:string,n:int>>,text:string,n:int>"
     start = F.struct(F.array().cast("array<struct<text:string,n:int>>").alias("done"), F.lit(None).cast("string").alias("text"), F.lit(0).alias("n")).cast(kind)
@@ -72,11 +72,10 @@ def heading_sections(documents: DataFrame, text: str = "text", settings: Setting
     """Sections between Markdown headings, numbered by heading; what is before the first one is number -1."""
     keep = [c for c in documents.columns if c != text]
     heading = r"(?m)^#{1,6}\s+(.+)$"
-    has = F.col(text).rlike(heading)
-    rows = documents.select(*keep, has.alias("_has"), F.posexplode(F.split(text, r"(?m)(?=^#{1,6}\s+.+$)")).alias("pos", "text"))
     # a text that starts with its first heading has no part before it
-    leads = F.max(F.when(F.col("pos") == 0, F.col("text").rlike(r"^#{1,6}\s+.+"))).over(Window.partitionBy(*keep)) if keep else F.lit(False)
-    rows = rows.withColumn("_leads", leads).withColumn("text", F.trim(F.regexp_replace("text", f"^{tx.SPACES}|{tx.SPACES}$", "")))
+    marks = [F.col(text).rlike(heading).alias("_has"), F.coalesce(F.col(text).rlike(r"^#{1,6}\s+.+"), F.lit(False)).alias("_leads")]
+    rows = documents.select(*keep, *marks, F.posexplode(F.split(text, r"(?m)(?=^#{1,6}\s+.+$)")).alias("pos", "text"))
+    rows = rows.withColumn("text", tx.trimmed(F.col("text")))
     number = F.when(~F.col("_has"), 0).otherwise(F.col("pos") - F.when(F.col("_leads"), 0).otherwise(1))
     title = F.when(F.col("_has") & (number >= 0), F.trim(F.regexp_extract("text", heading, 1))).otherwise("")
     rows = rows.withColumns({"section_num": number, "section_title": title, "word_count": tx.word_count(F.col("text"))}).filter(F.col("word_count") >= settings.section_min_words)
@@ -90,25 +89,30 @@ def description_chunks(records: DataFrame, separator: str = "\n\n", settings: Se
     With an attachment: usable and rich texts count 0.7, others nothing. Without: rich texts by paragraphs of ten words
     or more, usable ones whole, thin ones with a scaffold of metadata, titles in front.
     """
-    kind = "array<struct<text:string,weight:double>>"
-    title, text = F.coalesce("summary", F.lit("")), F.col("text")
+    kind = "array<struct<text:string,n:int,weight:double>>"
+    title, text, label, attached = F.coalesce("summary", F.lit("")), F.col("text"), F.col("desc_class"), F.col("has_attachment")
     titled = lambda t: F.when(title == "", t).otherwise(F.concat(title, F.lit("\n\n"), t))
-    one = lambda t, w: F.array(F.struct(t.alias("text"), F.lit(w).alias("weight"))).cast(kind)
-    paragraphs = F.filter(F.transform(F.split(text, separator), F.trim), lambda p: tx.word_count(p) >= 10)
-    split = F.transform(paragraphs, lambda p, i: F.struct(F.when(i == 0, titled(p)).otherwise(p).alias("text"), F.lit(1.0).alias("weight"))).cast(kind)
+    part = lambda t, n, w: F.struct(t.alias("text"), n.cast("int").alias("n"), F.lit(w).alias("weight"))
+    one = lambda t, w: F.array(part(t, F.lit(None), w)).cast(kind)
+    # paragraphs are made and counted only for texts of which they become chunks
+    counted = F.transform(F.transform(F.split(text, separator), tx.trimmed), lambda p: part(p, tx.word_count(p), 1.0))
+    rows = records.withColumn("_parts", F.when(~attached & (label == "rich"), F.filter(counted, lambda p: p["n"] >= 10)).cast(kind))
+    # the title's words, unless it joins up with the paragraph's
+    first = lambda p: part(titled(p["text"]), p["n"] + tx.word_count(title), 1.0)
+    split = F.transform("_parts", lambda p, i: F.when(i == 0, first(p)).otherwise(p)).cast(kind)
     scaffold = tx.non_empty(F.coalesce("scaffold", F.lit(""))) if "scaffold" in records.columns else F.lit(None).cast("string")
     thin = F.concat_ws("\n\n", F.concat(title, F.lit("\n\n"), text), scaffold)
-    label, attached = F.col("desc_class"), F.col("has_attachment")
     found = (
         F.when(attached & label.isin("usable", "rich"), one(text, 0.7))
         .when(attached, F.array().cast(kind))
-        .when((label == "rich") & (F.size(paragraphs) > 0), split)
+        .when((label == "rich") & (F.size("_parts") > 0), split)
         .when(label.isin("rich", "usable"), one(titled(text), 1.0))
         .when(label == "thin", one(thin, 0.8))
         .otherwise(F.array().cast(kind))
     )
-    rows = records.select("ticket_key", F.posexplode(found).alias("pos", "c"))
-    rows = rows.select("ticket_key", "pos", F.concat(F.lit("description-"), F.col("pos").cast("string")).alias("chunk_id"), F.col("c.text").alias("text"), tx.word_count(F.col("c.text")).alias("word_count"), F.lit(False).alias("is_boilerplate"), F.col("c.weight").alias("_w"))
+    rows = rows.select("ticket_key", F.posexplode(found).alias("pos", "c"))
+    words = F.coalesce("c.n", tx.word_count(F.col("c.text")))
+    rows = rows.select("ticket_key", "pos", F.concat(F.lit("description-"), F.col("pos").cast("string")).alias("chunk_id"), F.col("c.text").alias("text"), words.alias("word_count"), F.lit(False).alias("is_boilerplate"), F.col("c.weight").alias("_w"))
     return rows.select("*", *_common("description", F.col("_w"), 0.90, "description")).drop("_w")
 
 
@@ -146,7 +150,7 @@ def sections(chunks: DataFrame, key: list[str], settings: Settings = DEFAULT) ->
     header = F.get(F.filter(F.transform("c", lambda c: c["title"]), lambda t: t != ""), F.lit(0))
     counted = F.concat(F.lit("Section "), (F.col("section") + 1).cast("string"))
     title = F.when(F.col("_fallback"), F.coalesce(first["slide_title"], counted)).otherwise(F.coalesce(header, F.lit("Untitled Section")))
-    texts = F.filter(F.transform("c", lambda c: F.trim(c["text"])), lambda t: t != "")
+    texts = F.filter(F.transform("c", lambda c: tx.trimmed(c["text"])), lambda t: t != "")
     got = got.withColumns({"section_title": title, "start": first["number"], "stop": last["number"]})
     got = got.withColumn("text", F.array_join(F.concat(F.array(F.concat(F.lit("## Section: "), F.col("section_title"))), texts), "\n\n"))
     rows = got.select(*key, "section", F.concat(F.lit("section-"), F.coalesce(F.col("start").cast("string"), F.lit("None"))).alias("chunk_id"), "text", "section_title", F.array("start", "stop").alias("slide_range"), F.size("c").alias("child_slide_count"), tx.word_count(F.col("text")).alias("word_count"), F.lit(False).alias("is_boilerplate"), F.array_min(F.transform("c", lambda c: c["confidence"])).alias("extraction_confidence"))
@@ -157,6 +161,6 @@ def supplementary(chunks: DataFrame, key: list[str], ext: str = "ext", settings:
     """One chunk of each secondary document: its texts in order (no boilerplate), cut, if it has thirty words."""
     boring = F.coalesce("is_boilerplate", F.lit(False)) if "is_boilerplate" in chunks.columns else F.lit(False)
     texts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda c: c["text"])
-    got = chunks.filter(~boring).groupBy(*key, ext).agg(F.substring(F.trim(F.array_join(texts, " ")), 1, settings.supplementary_chars).alias("text"))
+    got = chunks.filter(~boring).groupBy(*key, ext).agg(F.substring(tx.trimmed(F.array_join(texts, " ")), 1, settings.supplementary_chars).alias("text"))
     got = got.withColumn("word_count", tx.word_count(F.col("text"))).filter(F.col("word_count") >= settings.supplementary_words)
     return got.select("*", F.concat_ws("-", F.lit("supp"), ext, F.col(key[-1]).cast("string")).alias("chunk_id"), F.concat(F.lit("supplementary_"), ext).alias("source"), F.lit(False).alias("is_boilerplate"), F.lit(0.7).alias("weight_multiplier"), F.lit(0.8).alias("extraction_confidence"), F.concat(F.col(ext), F.lit("_native")).alias("extraction_method"))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TYPES = ("products", "systems", "capabilities", "platforms", "business_units")
 #: Up to so many dictionary rows (under 1 kB each) are broadcast.
 BROADCAST_TERMS = 50_000
-#: A term is looked up by so many of its first words.
-PREFIX = 3
+#: Terms without a letter or digit that a dictionary may have.
+BARE_TERMS = 100
 
 
 def dictionary(entries: DataFrame) -> DataFrame:
@@ -23,32 +23,31 @@ def dictionary(entries: DataFrame) -> DataFrame:
 def text_mentions(texts: DataFrame, terms: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Mentions of terms between word boundaries in texts, confidence 0.8.
 
-    Terms and texts meet by an equi-join: each text gives its different runs of up to ``PREFIX`` words (of letters, digits
-    and underscores), and a term is looked up by its first words; that it stands in the text literally, between
-    boundaries, is checked on the few pairs that meet. Terms without words are compared with every text; there can be few.
+    Terms and texts meet by an equi-join on words: of a term its longest one (the first of equals), of a text all its
+    different ones, without the text. Only the pairs that meet fetch their texts, in which the term is looked for
+    literally, between boundaries. Terms without words are compared with every text; more than ``BARE_TERMS`` of them are
+    an error.
     """
-    word = r"(?U)\w+"
-    of = lambda c: F.regexp_extract_all(F.lower(c), F.lit(word), F.lit(0))
-    terms = terms.withColumn("_words", of(F.col("term"))).withColumn("_n", F.size("_words"))
-    terms = terms.withColumn("_gram", F.array_join(F.slice("_words", 1, PREFIX), " ")).drop("_words")
-    bare = terms.filter("_n = 0")
+    of = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\w+"), F.lit(0))
+    place, named = [*key, *order], ["etype", "term", "canonical"]
+    longest = F.array_max(F.transform(of(F.col("term")), lambda w, i: F.struct(F.length(w).alias("n"), (-i).alias("at"), w.alias("word"))))["word"]
+    terms = terms.select(*named, longest.alias("_word"))
+    bare = terms.filter("_word IS NULL")
+    terms = terms.filter("_word IS NOT NULL")
     terms = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
-    lowered = texts.withColumn("_lower", F.lower("text"))
-    grams = lowered.withColumn("_words", of(F.col("text")))
-
-    def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size("_words") - (n - 1))
-        found = F.transform(starts, lambda i: F.array_join(F.slice("_words", i, F.lit(n)), " "))
-        return F.when(F.size("_words") >= n, found).otherwise(F.array().cast("array<string>"))
-
-    lists = [runs(n) for n in range(1, PREFIX + 1)]
-    met = grams.select(*key, *order, "_lower", F.explode(F.array_distinct(F.concat(*lists))).alias("_gram")).join(terms.filter("_n > 0"), "_gram")
-    pairs = met.select(*key, *order, "_lower", "etype", "term", "canonical")
-    if bare.limit(1).count():
-        signs = lowered.select(*key, *order, "_lower").join(F.broadcast(bare), F.contains("_lower", F.col("term")))
-        pairs = pairs.unionByName(signs.select(*key, *order, "_lower", "etype", "term", "canonical"))
+    words = texts.select(*place, F.explode(F.array_distinct(of(F.col("text")))).alias("_word"))
+    met = words.join(terms, "_word").select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(place)], *named).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(place)]
+    lowered = texts.select(*place, F.lower("text").alias("_lower"))
+    pairs = lowered.join(met, same).select(*place, "_lower", *named)
+    few = bare.limit(BARE_TERMS + 1).count()
+    if few > BARE_TERMS:
+        raise ValueError(f"more than {BARE_TERMS} terms without a letter or digit")
+    if few:
+        signs = lowered.join(F.broadcast(bare), F.contains("_lower", F.col("term")))
+        pairs = pairs.unionByName(signs.select(*place, "_lower", *named))
     inside = F.contains("_lower", F.col("term")) & F.regexp_like("_lower", F.concat(F.lit(r"(?U)\b\Q"), "term", F.lit(r"\E\b")))
-    return pairs.filter(inside).select(*key, *order, "etype", F.col("canonical").alias("term"), F.lit(0.8).alias("confidence"))
+    return pairs.filter(inside).select(*place, "etype", F.col("canonical").alias("term"), F.lit(0.8).alias("confidence"))
 
 
 def component_mentions(components: DataFrame, terms: DataFrame, key: list[str]) -> DataFrame:

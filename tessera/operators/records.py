@@ -99,7 +99,7 @@ def comments(records: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     # the tree goes through Arrow only where there is one
     tree = fd.rich_text(F.when(is_tree, F.to_json("c.body")))
     body = F.when(is_tree, tree).otherwise(F.coalesce(F.try_variant_get("c.body", "$", "string"), F.lit("")))
-    raw = every.filter(~tx.is_bot(author)).select("ticket_key", "pos", F.col("c.id").alias("comment_id"), author.alias("author"), F.col("c.created").alias("created"), F.regexp_replace(body, f"^{tx.SPACES}|{tx.SPACES}$", "").alias("body_raw"))
+    raw = every.filter(~tx.is_bot(author)).select("ticket_key", "pos", F.col("c.id").alias("comment_id"), author.alias("author"), F.col("c.created").alias("created"), tx.trimmed(body).alias("body_raw"))
     return comment_flags(raw, settings)
 
 

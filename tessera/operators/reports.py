@@ -58,7 +58,8 @@ def record_stats(chunks: DataFrame, mentions: DataFrame, comments: DataFrame, ke
 
 
 def store_summary(documents: DataFrame, key: str = "ticket_key") -> DataFrame:
-    return documents.agg(F.count("*").alias("total"), F.array_sort(F.collect_set(key)).alias("keys"))
+    """(key, documents): one row a key, and one of a null key with the total."""
+    return documents.rollup(key).agg(F.count("*").alias("documents"), F.grouping(key).alias("_all")).filter((F.col("_all") == 1) | F.col(key).isNotNull()).drop("_all")
 
 
 def size_totals(attachments: DataFrame, links: DataFrame, key: str = "ticket_key") -> DataFrame:

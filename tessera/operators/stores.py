@@ -1,22 +1,25 @@
 """Upsert tables on plain Parquet: a coarse, a fine and a metadata index, and labels kept apart from all of them.
 
-A table is a folder of snapshots and a pointer to the current one. An upsert merges a batch into a new snapshot in one
-job (latest wins) and then moves the pointer: a failed job leaves the old snapshot in place, and running one again gives
-the same table.
+A table is dealt in ``BUCKETS`` folders by a hash of the id. An upsert reads and writes the folders that its ids fall in
+and no others, with Spark's dynamic partition overwrite: files move into place once the whole job has succeeded. Latest wins
+by the given order, so that running an upsert again gives the same table. One writer at a time may upsert into a table.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
 from tessera.operators.records import latest
+from tessera.sources import files
 
 BACKENDS = ("parquet", "memory")
+#: Folders of a table, and the column that names them.
+BUCKETS, BUCKET = 64, "_bucket"
 #: Columns of labels: none of them may be in a retrieval table.
 LABELS = ("vs_labels", "vs_label_source", "linked_value_stream_ids", "linked_value_stream_names", "linked_value_stream_statuses", "impacted_products", "impacted_it_products", "product_stage_labels", "trainability")
 
@@ -24,52 +27,59 @@ LABELS = ("vs_labels", "vs_label_source", "linked_value_stream_ids", "linked_val
 class Store:
     """Rows by id. The memory backend keeps a DataFrame, for tests."""
 
-    def __init__(self, spark: SparkSession, path: str | None, backend: str = "parquet"):
+    def __init__(self, spark: SparkSession, path: str | None, backend: str = "parquet", buckets: int = BUCKETS):
         if backend not in BACKENDS:
             raise ValueError(f"unknown backend {backend!r}; one of {', '.join(BACKENDS)}")
-        self.spark, self.path, self.backend = spark, path, backend
+        self.spark, self.path, self.backend, self.buckets = spark, path, backend, buckets
         self._rows: DataFrame | None = None
 
-    def _file(self, name: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.buckets)).cast("int")
 
-    def _current(self) -> str | None:
-        path, fs = self._file("CURRENT")
-        if not fs.exists(path):
+    def _stored(self) -> DataFrame | None:
+        """All rows with their bucket; null if nothing was stored."""
+        if not files.has_folders(self.spark, self.path, BUCKET):
             return None
-        row = self.spark.read.text(f"{self.path}/CURRENT").first()
-        return row[0] if row else None
+        # tables may gain columns from one batch to the next
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
     def read(self) -> DataFrame | None:
-        """All rows; null if nothing was stored, or the pointer leads nowhere."""
         if self.backend == "memory":
             return self._rows
-        at = self._current()
-        if at is None or not self._file(at)[1].exists(self._file(f"{at}/_SUCCESS")[0]):
-            return None
-        return self.spark.read.parquet(f"{self.path}/{at}")
+        rows = self._stored()
+        return None if rows is None else rows.drop(BUCKET)
 
     def get(self, key: str) -> dict | None:
-        rows = self.read()
-        row = rows.filter(F.col("id") == key).first() if rows is not None else None
+        rows = self._rows if self.backend == "memory" else self._stored()
+        if rows is None:
+            return None
+        if BUCKET in rows.columns:
+            rows = rows.filter(F.col(BUCKET) == self._bucket(F.lit(key))).drop(BUCKET)
+        row = rows.filter(F.col("id") == key).first()
         return row.asDict(recursive=True) if row else None
 
-    def upsert(self, batch: DataFrame, order: list[str] | None = None) -> None:
-        """Rows of the batch replace those of the same id; of several in the batch, the last by ``order``."""
-        fresh = latest(batch, ["id"], order) if order else batch.dropDuplicates(["id"])
-        old = self.read()
-        merged = fresh if old is None else old.join(fresh.select("id"), "id", "left_anti").unionByName(fresh, allowMissingColumns=True)
+    def upsert(self, batch: DataFrame, order: list[str]) -> None:
+        """Rows of the batch replace those of the same id; of several in the batch, the last by ``order`` counts."""
+        fresh = latest(batch, ["id"], order)
         if self.backend == "memory":
-            self._rows = merged
+            old = self._rows
+            self._rows = fresh if old is None else old.join(fresh.select("id"), "id", "left_anti").unionByName(fresh, allowMissingColumns=True)
             return
-        name = f"snapshot-{uuid.uuid4().hex}"
-        merged.write.parquet(f"{self.path}/{name}")
-        path, fs = self._file("CURRENT")
-        out = fs.create(path, True)
-        out.write(bytearray(name.encode()))
-        out.close()
+        # a batch is often the end of a long graph: it isn't computed anew for each of its uses
+        fresh = fresh.withColumn(BUCKET, self._bucket(F.col("id"))).persist(StorageLevel.DISK_ONLY)
+        try:
+            old = self._stored()
+            if old is None and fresh.isEmpty():
+                return
+            merged = fresh
+            if old is not None:
+                # the old rows of the folders that the batch falls in, found while Spark runs; at most BUCKETS of them
+                touched = fresh.select(F.col(BUCKET).alias("_touched")).distinct()
+                old = old.join(F.broadcast(touched), F.col(BUCKET) == F.col("_touched"), "left_semi")
+                merged = old.join(fresh.select("id"), "id", "left_anti").unionByName(fresh, allowMissingColumns=True)
+            merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+        finally:
+            fresh.unpersist()
 
 
 @dataclass

@@ -67,7 +67,8 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
     ranked = triage.triage(files, settings=settings)
     artifacts = triage.artifact(ranked)
 
-    described = meta.withColumn("cleaned", tx.strip_markup(F.col("description"))).withColumn("desc_class", tx.description_class(F.col("cleaned"), settings))
+    described = meta.withColumn("cleaned", tx.strip_markup(F.col("description"))).withColumn("desc_words", tx.word_count(F.col("cleaned")))
+    described = described.withColumn("desc_class", tx.description_class(F.col("cleaned"), F.col("desc_words"), settings)).drop("desc_words")
     described = described.join(artifacts.select("ticket_key", "att_quality", "triage_tier", "primary_attachment", "primary_attachment_id", "triage_score"), "ticket_key", "left")
     described = described.withColumn("has_attachment", F.col("primary_attachment_id").isNotNull())
     own = chunking.description_chunks(described.select("ticket_key", "summary", F.col("cleaned").alias("text"), "desc_class", "has_attachment", chunking.scaffold().alias("scaffold")), settings=settings)
@@ -137,10 +138,10 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
 
 def index(stages: Stages, tables: stores.Tables) -> None:
     """Upserts the document, chunk and metadata rows, and the labels, each into its own table."""
-    tables.coarse.upsert(stores.coarse_rows(stages.documents))
-    tables.fine.upsert(stores.fine_rows(stages.chunks))
-    tables.metadata.upsert(stores.metadata_rows(stages.documents))
-    tables.supervision.upsert(stages.supervision)
+    tables.coarse.upsert(stores.coarse_rows(stages.documents), ["updated_at", "text"])
+    tables.fine.upsert(stores.fine_rows(stages.chunks), ["text"])
+    tables.metadata.upsert(stores.metadata_rows(stages.documents), ["metadata_text"])
+    tables.supervision.upsert(stages.supervision, ["vs_label_source"])
 
 
 def content_type(source: Column) -> Column:

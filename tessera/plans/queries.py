@@ -47,7 +47,8 @@ DESCRIBED = f"""described AS (SELECT *, {CLASS} AS desc_class FROM (SELECT *, {W
 
 def described(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text").withColumn("cleaned", tx.strip_markup(F.col("text")))
-    return rows.withColumns({"words": tx.word_count(F.col("cleaned")), "desc_class": tx.description_class(F.col("cleaned"))})
+    rows = rows.withColumn("words", tx.word_count(F.col("cleaned")))
+    return rows.withColumn("desc_class", tx.description_class(F.col("cleaned"), F.col("words")))
 
 
 @query(f"WITH {DESCRIBED} SELECT doc_id, words, desc_class, md5(cleaned) AS cleaned_md5 FROM described")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +16,36 @@ DEAD_LETTER = (
 FORMATS = ("json", "jsonl", "parquet")
 
 
+#: The folder level of each key that :func:`write_documents` makes.
+KEY = "_key"
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share: under the checkpoint folder, or the warehouse where none is named."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{named or spark.conf.get('spark.sql.warehouse.dir')}/tessera-{uuid.uuid4().hex}"
+
+
+def has_folders(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether a table that is dealt in folders by a column has any."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*")
+    return len(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []) > 0
+
+
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, key: str | None = None) -> DataFrame:
-    """One document a file, but for vector files; all of a folder, or that of one key."""
+    """Landed files of one document each, but for vector files; all of a folder, or the one named after a key."""
     reader = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", f"{key or '*'}.json")
     return reader.json(path).filter(~F.endswith(F.input_file_name(), F.lit(".embeddings.json")))
 
 
+def read_documents(spark: SparkSession, path: str, schema: str | T.StructType, key: str | None = None) -> DataFrame:
+    """What ``write_documents(..., "json")`` has stored: all of it, or one key's document, of which only the folder is read."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    # a key is text, whatever it looks like
+    rows = spark.read.schema(T.StructType([*fields, T.StructField(KEY, T.StringType())])).json(path)
+    return (rows if key is None else rows.filter(F.col(KEY) == key)).drop(KEY)
+
+
 def read_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """One document a line; blank and malformed lines are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -53,9 +79,12 @@ def sync_dictionary(spark: SparkSession, url: str, query: str, etype: str, prope
 
 
 def write_documents(documents: DataFrame, path: str, fmt: str, key: str = "ticket_key", mode: str = "append") -> None:
-    """json: one folder a key; jsonl: appended lines; parquet: flat columns. An unknown format is an error."""
+    """json: one folder a key, of which those of the given keys alone are replaced; jsonl: appended lines; parquet: flat
+    columns. An unknown format is an error."""
     if fmt == "json":
-        documents.withColumn("_key", F.col(key)).write.mode("overwrite").partitionBy("_key").json(path)
+        # one task writes a key, so that it is one file
+        dealt = documents.withColumn(KEY, F.col(key)).repartition(KEY)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).json(path)
     elif fmt == "jsonl":
         documents.write.mode(mode).json(path)
     elif fmt == "parquet":
@@ -87,6 +116,14 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path, DEAD_LETTER)
 
 
+def clear_dead_letters(spark: SparkSession, path: str) -> None:
+    """Leaves a table without rows; one that isn't there stays away."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(context._jsc.hadoopConfiguration()).exists(at):
+        spark.createDataFrame([], DEAD_LETTER).write.mode("overwrite").json(path)
+
+
 def list_keys(documents: DataFrame, key: str = "ticket_key") -> DataFrame:
     return documents.select(key).distinct().orderBy(key)
 

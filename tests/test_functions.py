@@ -48,6 +48,18 @@ def test_sparse_rows_go_and_full_rows_stay():
     assert cleaning.clean("| a | | | |\n|---|---|\n| a | b | c |") == "a | b | c"
 
 
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        ("SSTTOOPP nnoonn Aabb mmm aaaa aabbc", "STOP non Aabb m aa aabbc"), ("abc \\x00 def\\r\\nghi\\tjkl\\u0000", "abc def\nghi jkl"), ("“a” – ‘b’ `c` \u00a0d\u200be\x07f", "\"a\" - 'b' 'c' de f"),
+        ("|||||||\nx", "x"), ("| |\nx", "x"), ("a\n||\nb", "a\n\nb"), ("| a | b |\n| a | |  | |\n|x|", "a | b\nx"), ("=====\n----------\n#!?#!?#\nok\n***", "ok\n***"), ("Slide Number: 4\nFor internal use only!\npages", "pages"),
+        ("a , b ; c !\n\n\n\n d\t\te", "a, b; c!\n\nd e"), ("a\n/\nb", "a / b"), ("&lt;b&gt; ﬁne", "<b> fine"), ("   ", ""), ("P & C 1 2 and", "P&C12 and"), ("\uf0b7 x", "- x"),
+    ],
+)
+def test_cleaning_steps(raw, want):
+    assert cleaning.clean(raw) == want
+
+
 def test_tables_need_their_rule():
     rows = "\n".join(f"| {i} | v |" for i in range(17))
     (got,) = markdown.tables(f"| h | k |\n|---|---|\n{rows}\n")
