@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extract, licenses, lines, minhash, mixing, neighbours, phrases, pieces, quality, suffixes
+from tessera.llm import chat, html_extract, infill, licenses, lines, minhash, mixing, neighbours, phrases, pieces, quality, repair, suffixes
 from tessera.llm._spark import table
 
 
@@ -50,6 +50,19 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.document_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.digest(repair.damage(conversations), conversations)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.with_adversarial(table(spark, sf_dir, "conversations")))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -61,8 +74,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scans": op10_license_scans,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_chat_format": op12_chat_format,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_source_mixing": mixing.ORACLE_SQL,
     "op10_license_scans": licenses.oracle_sql(),
+    "op11_structure_repair": repair.ORACLE_SQL,
+    "op12_chat_format": chat.ORACLE_SQL,
+    "op13_fill_in_middle": infill.ORACLE_SQL,
 }

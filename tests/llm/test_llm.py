@@ -577,12 +577,13 @@ def test_licenses(docs, corpus, empty, spark):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_sql(spark, sf, name):
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    got, want = queries.QUERIES[name](spark, sf).toPandas(), duckdb.sql(queries.ORACLE_SQL[name]).df()
+    got, want = queries.QUERIES[name](spark, sf), duckdb.sql(queries.ORACLE_SQL[name])
     columns = sorted(got.columns)
-    rows = lambda f: sorted(map(str, f[columns].round(9).itertuples(index=False, name=None)))
-    assert columns == sorted(want.columns) and rows(got) == rows(want)
+    rows = lambda found: sorted(str([round(x, 9) if isinstance(x, float) else x for x in r]) for r in found)
+    assert columns == sorted(want.columns)
+    assert rows([[r[c] for c in columns] for r in got.collect()]) == rows(want.project(", ".join(columns)).fetchall())
 
 
 def run_odd(spark, tmp_path, rows):
@@ -607,7 +608,7 @@ def test_pipeline(spark, sf):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "source_mixing", "encoding"]
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids"] and out.count() > 50
-    assert all(f"op{i}_" in " ".join(entry.queries()) for i in range(1, 11)) and "pipeline" in entry.queries()
+    assert all(f"op{i}_" in " ".join(entry.queries()) for i in range(1, 14)) and "pipeline" in entry.queries()
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     first = corpus_pipeline.STAGES[0][1](spark, docs, sf)
     labels = spark.read.parquet(f"{sf}/labels.parquet")
