@@ -207,7 +207,7 @@ def plans(rows: DataFrame) -> DataFrame:
 
 def _edited(rows: DataFrame, made: DataFrame) -> DataFrame:
     edits = made.select(F.explode("edits").alias("e")).select(F.col("e.seq").alias("seq"), "e.before", F.col("e.role").alias("new"), "e.edit", "e.after")
-    met = rows.select("seq", "conv_id", "turn", "role", "text").join(edits, "seq")
+    met = rows.select("seq", "conv_id", "turn", "role", "text").join(edits.hint("merge"), "seq")  # edits are stored so compressed that Spark would take them for small
     row = lambda role, text, edit: F.struct(role.alias("role"), text.alias("text"), edit.alias("edit"))
     inserted = lambda c: F.transform(c, lambda r: row(r, F.lit(""), F.lit("I")))
     own = F.when(F.col("edit") == "D", F.expr("array()")).otherwise(F.array(row(F.coalesce("new", "role"), F.col("text"), F.col("edit"))))
@@ -245,7 +245,7 @@ def digest(conversations: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     rows = ordered(conversations)
     made = plans(rows)
     names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
-    sums = made.filter("audit IS NOT NULL").select("conv_id", *names)
+    sums = made.filter("audit IS NOT NULL").select("conv_id", *names).hint("merge")
     hashed = _edited(rows, made).select("conv_id", "seq", "sub", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "seq", "sub")
     hashes = hashed.mapInArrow(_hashes, T.StructType([rows.schema["conv_id"], T.StructField("repaired_sha256", T.StringType())]))
     all_ids = (conversations if ids is None else ids).select(F.col("conv_id").alias("id")).distinct()
