@@ -43,19 +43,22 @@ def _view(pattern: str) -> Column:
     return F.array_join(paragraphs, "\n\n")
 
 
-def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: DataFrame | None = None, embedder: Callable[[], vectors.Embedder] | None = None, settings: Settings = DEFAULT, ingested_at: Column | None = None) -> Stages:
+def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: DataFrame | None = None, embedder: Callable[[], vectors.Embedder] | None = None, settings: Settings = DEFAULT, ingested_at: Column | None = None, keep: Callable[[str, DataFrame], DataFrame] = lambda _, rows: rows) -> Stages:
     """All stages of records (key, fields, attachments).
 
+    ``keep`` may store a stage by its name and give the stored one back: later stages then have short plans, which are analysed
+    and run once. Without it all stages are one plan, which takes longer to plan than a small batch takes to run.
+
     ``attachment_chunks`` holds the chunks of attachments (ticket_key, attachment_id, ext, pos, chunk_id, text, ...), as
     extraction gave them; without them, triage ranks by name alone.
     """
     checked = records.validate(incoming)
-    valid = checked.filter("validation_error IS NULL").drop("validation_error")
+    valid = keep("valid", checked.filter("validation_error IS NULL").drop("validation_error"))
     bad = checked.filter("validation_error IS NOT NULL")
     dead = records.to_dead_letters(bad, "validation", "SchemaError", F.col("validation_error"))
-    meta = records.metadata(valid, settings)
-    classified = records.links(valid)
-    remarks = records.comments(valid, settings)
+    meta = keep("metadata", records.metadata(valid, settings))
+    classified = keep("links", records.links(valid))
+    remarks = keep("comments", records.comments(valid, settings))
 
     files = valid.select(F.col("key").alias("ticket_key"), F.posexplode("attachments").alias("pos", "a")).select("ticket_key", "pos", "a.*")
     files = files.join(meta.select("ticket_key", "summary"), "ticket_key", "left")
@@ -64,13 +67,13 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
 
         features = extract_features(attachment_chunks, ["ticket_key", "attachment_id"])
         files = files.withColumn("attachment_id", triage.attachment_id(files)).join(features, ["ticket_key", "attachment_id"], "left")
-    ranked = triage.triage(files, settings=settings)
+    ranked = keep("triage", triage.triage(files, settings=settings))
     artifacts = triage.artifact(ranked)
 
     described = meta.withColumn("cleaned", tx.strip_markup(F.col("description"))).withColumn("desc_words", tx.word_count(F.col("cleaned")))
     described = described.withColumn("desc_class", tx.description_class(F.col("cleaned"), F.col("desc_words"), settings)).drop("desc_words")
     described = described.join(artifacts.select("ticket_key", "att_quality", "triage_tier", "primary_attachment", "primary_attachment_id", "triage_score"), "ticket_key", "left")
-    described = described.withColumn("has_attachment", F.col("primary_attachment_id").isNotNull())
+    described = keep("described", described.withColumn("has_attachment", F.col("primary_attachment_id").isNotNull()))
     own = chunking.description_chunks(described.select("ticket_key", "summary", F.col("cleaned").alias("text"), "desc_class", "has_attachment", chunking.scaffold().alias("scaffold")), settings=settings)
     own = own.withColumn("attachment_id", F.lit(None).cast("string"))
     parts = own
@@ -83,7 +86,7 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
         parts = own
         for other in (first, groups, more):
             parts = parts.unionByName(other, allowMissingColumns=True)
-    chunks = chunking.chunk_uid(parts)
+    chunks = keep("parts", chunking.chunk_uid(parts))
 
     terms = entities.dictionary(dictionary)
     key = ["ticket_key"]
@@ -96,7 +99,7 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
     names = ["ticket_key", "order", "source", "chunk_id", "etype", "term", "confidence"]
     direct = entities.component_mentions(components, terms, key).withColumn("order", place(0)).select(*names)
     linked = entities.link_mentions(classified, key).withColumn("order", place(1)).select(*names)
-    mentions = entities.best_mentions(direct.unionByName(linked).unionByName(found.select(*names)), key, ["order", "etype", "term"])
+    mentions = keep("mentions", entities.best_mentions(direct.unionByName(linked).unionByName(found.select(*names)), key, ["order", "etype", "term"]))
 
     stats = reports.record_stats(chunks, mentions, remarks)
     document = described.join(stats, "ticket_key", "left").fillna(0, [c for c, t in stats.dtypes if t in ("bigint", "int")])
@@ -106,7 +109,7 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
     primary = chunks.filter("attachment_id IS NOT NULL").groupBy("ticket_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda c: c["text"]), "\n").alias("attachment_text"))
     document = document.join(primary, "ticket_key", "left")
     terms_of = mentions.groupBy("ticket_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("etype", "first_seen", "term"))), lambda m: m["term"]).alias("entity_terms"))
-    document = document.join(terms_of, "ticket_key", "left")
+    document = keep("joined", document.join(terms_of, "ticket_key", "left"))
     document = document.withColumns({
         "schema_version": F.lit(SCHEMA_VERSION), "ingested_at": (F.current_timestamp() if ingested_at is None else ingested_at).cast("string"),
         "content_source": F.when(F.col("has_attachment"), "attachment").when(~F.col("desc_class").isin("empty", "junk"), "description").otherwise("metadata"),
@@ -136,12 +139,19 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
     return Stages(valid, dead, meta, classified, remarks, ranked, artifacts, chunks, mentions, document, supervision)
 
 
+#: What decides which of several rows of an id is the latest, for each table.
+ORDERS = {"coarse": ["updated_at", "text"], "fine": ["text"], "metadata": ["metadata_text"], "supervision": ["vs_label_source"]}
+
+
+def index_rows(stages: Stages) -> dict[str, DataFrame]:
+    """The document, chunk and metadata rows, and the labels, each for its own table."""
+    return {"coarse": stores.coarse_rows(stages.documents), "fine": stores.fine_rows(stages.chunks), "metadata": stores.metadata_rows(stages.documents), "supervision": stages.supervision}
+
+
 def index(stages: Stages, tables: stores.Tables) -> None:
-    """Upserts the document, chunk and metadata rows, and the labels, each into its own table."""
-    tables.coarse.upsert(stores.coarse_rows(stages.documents), ["updated_at", "text"])
-    tables.fine.upsert(stores.fine_rows(stages.chunks), ["text"])
-    tables.metadata.upsert(stores.metadata_rows(stages.documents), ["metadata_text"])
-    tables.supervision.upsert(stages.supervision, ["vs_label_source"])
+    """Upserts the rows of each table."""
+    for name, rows in index_rows(stages).items():
+        getattr(tables, name).upsert(rows, ORDERS[name])
 
 
 def content_type(source: Column) -> Column:

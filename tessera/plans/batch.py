@@ -2,7 +2,8 @@
 
 Outputs of a record are replaced by the next run for it: JSON by key for its chunks and its labels, tables for all of a
 batch. A record that can't be fetched or isn't valid gives an error row and doesn't hold up the others; without ``force``,
-records whose outputs exist already are left out.
+records whose outputs exist already are left out. All outputs of a batch are staged, committed together and then applied; what
+an earlier run left half done is mended first (:mod:`tessera.sources.commits`). Errors and totals stay, by batch.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +20,11 @@ from tessera.functions import text as tx
 from tessera.operators import chunking, extract, records, reports, stores, triage, vectors
 from tessera.plans import assembly
 from tessera.settings import DEFAULT, Settings
-from tessera.sources import files
+from tessera.sources import commits, documents, files
 from tessera.sources.tracker import TrackerClient
 
 #: Folders of a batch's outputs.
-CHUNKS, STREAMS, ERRORS = "07_chunks", "08_valuestream_map", "_errors"
+CHUNKS, STREAMS, ERRORS, TOTALS = "07_chunks", "08_valuestream_map", "_errors", "_totals"
 #: How the text of a file becomes chunks, by its extension.
 CUTTERS = {("pptx", "ppt"): chunking.slides, ("pdf",): chunking.packed, ("docx", "doc"): chunking.heading_sections}
 
@@ -80,6 +80,7 @@ def attachment_chunks(valid: DataFrame, factory: Callable[[], TrackerClient], co
 class Batch:
     """What a run has written; ``totals`` is one row."""
 
+    number: int
     chunks: DataFrame
     streams: DataFrame
     errors: DataFrame
@@ -88,14 +89,22 @@ class Batch:
 
 def not_yet(spark: SparkSession, incoming: DataFrame, out: str) -> DataFrame:
     """Incoming records of which the chunks or the labels aren't stored yet."""
-    done = [_stored_keys(spark, f"{out}/{name}") for name in (CHUNKS, STREAMS)]
-    return incoming if None in done else records.not_done(incoming, *done)
+    return records.not_done(incoming, *[documents.keys(spark, f"{out}/{name}") for name in (CHUNKS, STREAMS)])
 
 
-def _stored_keys(spark: SparkSession, path: str) -> DataFrame | None:
-    if not files.has_folders(spark, path, files.KEY):
-        return None
-    return files.read_documents(spark, path, "ticket_id string").select(F.col("ticket_id").alias("key"))
+def sinks(out: str, number: int, tables: stores.Tables | None = None) -> dict[str, commits.Sink]:
+    """Where each output of a batch goes. All of them may run again."""
+    by_key = lambda name: lambda rows: files.write_documents(rows, f"{out}/{name}", "json", "ticket_id")
+    by_batch = lambda name: lambda rows: rows.write.mode("overwrite").json(f"{out}/{name}/batch={number}")
+    found: dict[str, commits.Sink] = {"chunks": by_key(CHUNKS), "streams": by_key(STREAMS), "errors": by_batch(ERRORS), "totals": by_batch(TOTALS)}
+    if tables is not None:
+        found |= {name: lambda rows, name=name: getattr(tables, name).upsert(rows, assembly.ORDERS[name]) for name in assembly.ORDERS}
+    return found
+
+
+def recover(spark: SparkSession, out: str, tables: stores.Tables | None = None) -> dict[int, str]:
+    """Drops or applies what a crash has left; gives what happened to which batch."""
+    return commits.BatchLog(spark, out).recover(lambda number: sinks(out, number, tables))
 
 
 def run(incoming: DataFrame, dictionary: DataFrame, out: str, tables: stores.Tables | None = None, chunks: Callable[[DataFrame], DataFrame] | None = None, embedder: Callable[[], vectors.Embedder] | None = None, settings: Settings = DEFAULT, force: bool = True, base_url: str = "") -> Batch:
@@ -104,30 +113,32 @@ def run(incoming: DataFrame, dictionary: DataFrame, out: str, tables: stores.Tab
     ``chunks`` makes the chunks of the attachments of valid records, as :func:`attachment_chunks` does.
     """
     spark = incoming.sparkSession
-    todo = incoming if force else not_yet(spark, incoming, out)
+    recover(spark, out, tables)
+    log = commits.BatchLog(spark, out)
+    batch = log.begin()
+    # records are fetched once
+    todo = batch.keep("incoming", incoming if force else not_yet(spark, incoming, out))
     lost = todo.filter(F.col("error").isNotNull()).select(F.col("key").alias("ticket_id"), "error") if "error" in todo.columns else None
     sound = todo if lost is None else todo.filter(F.col("error").isNull()).drop("error")
     checked = records.validate(sound)
     wrong = checked.filter("validation_error IS NOT NULL").select(F.col("key").alias("ticket_id"), F.col("validation_error").alias("error"))
-    valid = checked.filter("validation_error IS NULL").drop("validation_error")
-    cut = None if chunks is None else chunks(valid).persist(StorageLevel.DISK_ONLY)
-    stages = assembly.assemble(sound, dictionary, cut, embedder, settings)
-    # four indexes and two outputs read these: the long graph before them runs once
-    kept = {name: getattr(stages, name).persist(StorageLevel.DISK_ONLY) for name in ("documents", "chunks", "supervision")}
-    stages = replace(stages, **kept)
+    errors = batch.stage("errors", wrong if lost is None else wrong.unionByName(lost))
+    cut = None if chunks is None else batch.keep("attachment_chunks", chunks(checked.filter("validation_error IS NULL").drop("validation_error")))
+    stages = assembly.assemble(sound, dictionary, cut, embedder, settings, keep=batch.keep)
+    stages = replace(stages, **{name: batch.keep(name, getattr(stages, name)) for name in ("documents", "chunks", "supervision")})
     if tables is not None:
-        assembly.index(stages, tables)
+        for name, rows in assembly.index_rows(stages).items():
+            batch.stage(name, rows)
 
-    own = assembly.chunk_records(stages.chunks, stages.documents, base_url).persist(StorageLevel.DISK_ONLY)
-    streams = assembly.value_stream_records(stages.documents, stages.supervision).persist(StorageLevel.DISK_ONLY)
+    own = batch.keep("chunk_records", assembly.chunk_records(stages.chunks, stages.documents, base_url))
+    streams = batch.stage("streams", assembly.value_stream_records(stages.documents, stages.supervision).withColumnRenamed("id", "ticket_id"))
     # a record's chunks are few: one document holds them
     listed = own.groupBy(F.col("sourceId").alias("ticket_id")).agg(F.count("*").alias("chunk_count"), F.collect_list(F.struct(*own.columns)).alias("chunks"))
-    mapped = streams.select(F.col("id").alias("ticket_id"), F.col("valueStreamIds").alias("mapped_value_stream_ids"), F.col("valueStreamNames").alias("mapped_value_stream_names"))
-    files.write_documents(mapped.join(listed, "ticket_id", "left").fillna(0, ["chunk_count"]), f"{out}/{CHUNKS}", "json", "ticket_id")
-    files.write_documents(streams.withColumnRenamed("id", "ticket_id"), f"{out}/{STREAMS}", "json", "ticket_id")
-    errors = wrong if lost is None else wrong.unionByName(lost)
-    errors.write.mode("overwrite").json(f"{out}/{ERRORS}")
-    errors = spark.read.schema(errors.schema).json(f"{out}/{ERRORS}")
-    ended = streams.select(F.col("id").alias("ticket_id"), F.lit(None).cast("string").alias("error"), F.col("valueStreamIds").alias("value_stream_ids"), F.col("impactedProductIds").alias("product_ids"))
-    results = ended.join(listed.select("ticket_id", "chunk_count"), "ticket_id", "left").unionByName(errors, allowMissingColumns=True)
-    return Batch(own, streams, errors, reports.batch_totals(results))
+    mapped = streams.select("ticket_id", F.col("valueStreamIds").alias("mapped_value_stream_ids"), F.col("valueStreamNames").alias("mapped_value_stream_names"))
+    written = batch.stage("chunks", mapped.join(listed, "ticket_id", "left").fillna(0, ["chunk_count"]))
+    ended = streams.select("ticket_id", F.lit(None).cast("string").alias("error"), F.col("valueStreamIds").alias("value_stream_ids"), F.col("impactedProductIds").alias("product_ids"))
+    results = ended.join(written.select("ticket_id", "chunk_count"), "ticket_id", "left").unionByName(errors, allowMissingColumns=True)
+    totals = batch.stage("totals", reports.batch_totals(results))
+    batch.commit()
+    log.apply(batch.number, sinks(out, batch.number, tables))
+    return Batch(batch.number, written.select(F.explode("chunks").alias("c")).select("c.*"), streams.withColumnRenamed("ticket_id", "id"), errors, totals)

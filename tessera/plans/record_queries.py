@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tessera.functions import text as tx
 from tessera.operators import chunking, entities, records, reports, stores, summaries, triage, vectors
 from tessera.plans import assembly
 from tessera.plans.queries import ATTACHMENTS, COMMENTS, DESCRIBED, TIERED, TRIAGED, WORDS, attachments, query, table, tiered
-from tessera.sources import files
+from tessera.sources import commits, files
 
 
 def fields_from(*pairs: tuple[str, Column]) -> Column:
@@ -221,6 +223,39 @@ def stored_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_documents(spark, path, rows.schema).join(one, "key", "left").select("n_nationkey", "n_name", "n_regionkey", F.coalesce("asked", F.lit(False)).alias("asked"))
 
 
+@query("""SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS stored_version, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS document_version, 'applied applied' AS states,
+  (SELECT count(*) FROM customer WHERE c_custkey % 3 <> 2) AS first_rows, (SELECT count(*) FROM customer WHERE c_custkey % 3 <> 0) AS second_rows FROM customer""")
+def committed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches into a table and documents by key: the second one stops between the two and is applied again, the third
+    one stops before it is committed and is never seen."""
+    path = files.scratch(spark)
+    log, store = commits.BatchLog(spark, path), stores.Store(spark, f"{path}/table")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), "c_custkey", "c_name")
+
+    def stopped(_: DataFrame) -> None:
+        raise InterruptedError
+
+    def sinks(documents: commits.Sink) -> dict[str, commits.Sink]:
+        return {"table": lambda r: store.upsert(r, ["version"]), "documents": documents}
+
+    whole = sinks(lambda r: files.write_documents(r, f"{path}/documents", "json", "id"))
+    for version, part in ((1, "c_custkey % 3 <> 2"), (2, "c_custkey % 3 <> 0"), (3, "true")):
+        batch = log.begin()
+        for name in whole:
+            batch.stage(name, rows.filter(part).withColumn("version", F.lit(version)))
+        if version < 3:
+            batch.commit()
+        if version == 1:
+            log.apply(batch.number, whole)
+        elif version == 2:
+            with contextlib.suppress(InterruptedError):
+                log.apply(batch.number, sinks(stopped))
+        log.recover(lambda _: whole)
+    told = log.rows().groupBy("batch", "state").agg(F.max("rows").alias("rows")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("batch", "state"))), lambda b: b["state"]), " ").alias("states"), F.max(F.when(F.col("batch") == 1, F.col("rows"))).alias("first_rows"), F.max(F.when(F.col("batch") == 2, F.col("rows"))).alias("second_rows"))
+    documents = files.read_documents(spark, f"{path}/documents", "id string, version int").withColumnRenamed("version", "document_version")
+    return store.read().withColumnRenamed("version", "stored_version").join(documents, "id", "full").drop("id").crossJoin(F.broadcast(told))
+
+
 @query("""SELECT vec_id::VARCHAR AS id, label::VARCHAR AS text, CASE WHEN vec_id % 2 = 0 THEN 'pdf_page' ELSE '' END AS source, 1.0::DOUBLE AS weight_multiplier, 0.9::DOUBLE AS extraction_confidence,
   CASE WHEN vec_id % 3 <> 0 THEN vec_id % 3 WHEN vec_id % 5 <> 0 THEN vec_id % 5 END::INT AS slide_num, vec_id % 7 = 0 AS has_table, 'T-' || (vec_id % 10) AS parent_ticket, 'A' AS parent_quality_tier, len(embedding)::INT AS dim FROM embeddings WHERE vec_id % 4 <> 0""")
 def fine_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources import documents
+
 ENTRY = "array<struct<canonical:string,aliases:array<string>>>"
 DEAD_LETTER = (
     "ticket_key string, stage string, error_type string, error_message string, timestamp string, trigger string, "
@@ -16,10 +18,6 @@ DEAD_LETTER = (
 FORMATS = ("json", "jsonl", "parquet")
 
 
-#: The folder level of each key that :func:`write_documents` makes.
-KEY = "_key"
-
-
 def scratch(spark: SparkSession) -> str:
     """A new folder that all executors share: under the checkpoint folder, or the warehouse where none is named."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -39,11 +37,8 @@ def read_json(spark: SparkSession, path: str, schema: str | T.StructType, key: s
 
 
 def read_documents(spark: SparkSession, path: str, schema: str | T.StructType, key: str | None = None) -> DataFrame:
-    """What ``write_documents(..., "json")`` has stored: all of it, or one key's document, of which only the folder is read."""
-    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
-    # a key is text, whatever it looks like
-    rows = spark.read.schema(T.StructType([*fields, T.StructField(KEY, T.StringType())])).json(path)
-    return (rows if key is None else rows.filter(F.col(KEY) == key)).drop(KEY)
+    """What ``write_documents(..., "json")`` has stored: all of it, or one key's document, of which only the file is read."""
+    return documents.read(spark, path, schema, key)
 
 
 def read_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -78,30 +73,28 @@ def sync_dictionary(spark: SparkSession, url: str, query: str, etype: str, prope
     return rows.select(F.lit(etype).alias("etype"), "canonical", aliases.alias("aliases"), F.monotonically_increasing_id().alias("ord"))
 
 
-def write_documents(documents: DataFrame, path: str, fmt: str, key: str = "ticket_key", mode: str = "append") -> None:
-    """json: one folder a key, of which those of the given keys alone are replaced; jsonl: appended lines; parquet: flat
+def write_documents(rows: DataFrame, path: str, fmt: str, key: str = "ticket_key", mode: str = "append") -> None:
+    """json: one file a key, of which those of the given keys alone are replaced; jsonl: appended lines; parquet: flat
     columns. An unknown format is an error."""
     if fmt == "json":
-        # one task writes a key, so that it is one file
-        dealt = documents.withColumn(KEY, F.col(key)).repartition(KEY)
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).json(path)
+        documents.write(rows, path, key)
     elif fmt == "jsonl":
-        documents.write.mode(mode).json(path)
+        rows.write.mode(mode).json(path)
     elif fmt == "parquet":
-        documents.write.mode(mode).parquet(path)
+        rows.write.mode(mode).parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}; one of {', '.join(FORMATS)}")
 
 
-def flatten(documents: DataFrame, lists: list[str]) -> DataFrame:
+def flatten(rows: DataFrame, lists: list[str]) -> DataFrame:
     """List and struct columns as JSON text, for one flat row a document."""
-    return documents.withColumns({c: F.to_json(c) for c in lists})
+    return rows.withColumns({c: F.to_json(c) for c in lists})
 
 
-def shorten(documents: DataFrame, most: int = 2000, without: tuple[str, ...] = ("attachment", "comment", "worklog")) -> DataFrame:
+def shorten(rows: DataFrame, most: int = 2000, without: tuple[str, ...] = ("attachment", "comment", "worklog")) -> DataFrame:
     """Long texts cut, bulky fields dropped: for looking at."""
-    kept = [f for f in documents.schema.fields if f.name not in without]
-    return documents.select(*[F.substring(f.name, 1, most).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in kept])
+    kept = [f for f in rows.schema.fields if f.name not in without]
+    return rows.select(*[F.substring(f.name, 1, most).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in kept])
 
 
 def stage_artifact(rows: DataFrame, path: str, number: int, name: str) -> None:
@@ -124,9 +117,9 @@ def clear_dead_letters(spark: SparkSession, path: str) -> None:
         spark.createDataFrame([], DEAD_LETTER).write.mode("overwrite").json(path)
 
 
-def list_keys(documents: DataFrame, key: str = "ticket_key") -> DataFrame:
-    return documents.select(key).distinct().orderBy(key)
+def list_keys(rows: DataFrame, key: str = "ticket_key") -> DataFrame:
+    return rows.select(key).distinct().orderBy(key)
 
 
-def exists(documents: DataFrame, key: str, value: str) -> bool:
-    return not documents.filter(F.col(key) == value).limit(1).isEmpty()
+def exists(rows: DataFrame, key: str, value: str) -> bool:
+    return not rows.filter(F.col(key) == value).limit(1).isEmpty()

@@ -248,6 +248,7 @@ def test_batch(spark, tmp_path):
     files.write_documents(valid.select(F.col("key").alias("ticket_id")), f"{tmp_path}/{batch.STREAMS}", "json", "ticket_id")
     # only what has all of its outputs is left out
     assert [r["key"] for r in batch.not_yet(spark, valid, str(tmp_path)).collect()] == ["A-1"]
+    assert batch.not_yet(spark, valid, f"{tmp_path}/none").count() == 2
 
 
 def test_derived_fields():
