@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TYPES = ("products", "systems", "capabilities", "platforms", "business_units")
 #: Up to so many dictionary rows (under 1 kB each) are broadcast.
 BROADCAST_TERMS = 50_000
-#: Terms without a letter or digit that a dictionary may have.
-BARE_TERMS = 100
 
 
 def dictionary(entries: DataFrame) -> DataFrame:
@@ -20,34 +18,61 @@ def dictionary(entries: DataFrame) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(last)).filter("_r = 1").select("etype", "term", "canonical")
 
 
+#: Words, and what is between them, of a lowered text.
+TOKENS = r"(?U)\w+|\W+"
+
+
+def _broadcast_if(rows: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(rows) if small else rows
+
+
+def _tokens(lowered: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(TOKENS), F.lit(0)))
+
+
+def rarest_words(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """The terms, each with its word that the fewest texts hold (``word``, ``texts``; the first by code point of equals).
+
+    A term without words is its own word: between boundaries it can only be the whole of what is between two words. Terms
+    of which a word stands in no text are left out, as they can't occur.
+    """
+    named = ["etype", "term", "canonical"]
+    words = F.filter(_tokens(F.col("term")), lambda t: F.regexp_like(t, F.lit(r"(?U)\w")))
+    own = terms.select(*named, F.when(F.size(words) > 0, words).otherwise(F.array("term")).alias("_words"))
+    each = own.select(*named, F.size("_words").alias("_n"), F.explode("_words").alias("word"))
+    small = terms.count() <= BROADCAST_TERMS
+    known = each.select("word").distinct()
+    held = texts.select(F.explode(_tokens(F.lower("text"))).alias("word")).join(_broadcast_if(known, small), "word", "left_semi")
+    counted = each.join(held.groupBy("word").agg(F.count("*").alias("texts")), "word")
+    best = counted.groupBy(*named, "_n").agg(F.min(F.struct("texts", "word")).alias("best"), F.count("*").alias("_found"))
+    return best.filter("_found = _n").select(*named, "best.word", "best.texts")
+
+
+def candidates(texts: DataFrame, terms: DataFrame, place: list[str]) -> DataFrame:
+    """(place, terms) of each text that holds the rarest word of a term: the terms that have to be looked for in it."""
+    named = ["etype", "term", "canonical"]
+    small = terms.count() <= BROADCAST_TERMS
+    keyed = rarest_words(texts, terms).select(*named, "word")
+    words = texts.select(*place, F.explode(_tokens(F.lower("text"))).alias("word"))
+    met = words.join(_broadcast_if(keyed, small), "word")
+    # a text has as many terms here as the dictionary has for its rare words
+    return met.groupBy(*place).agg(F.collect_set(F.struct(*named)).alias("terms"))
+
+
 def text_mentions(texts: DataFrame, terms: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Mentions of terms between word boundaries in texts, confidence 0.8.
 
-    Terms and texts meet by an equi-join on words: of a term its longest one (the first of equals), of a text all its
-    different ones, without the text. Only the pairs that meet fetch their texts, in which the term is looked for
-    literally, between boundaries. Terms without words are compared with every text; more than ``BARE_TERMS`` of them are
-    an error.
+    Terms and texts meet by an equi-join on each term's rarest word, without the texts: how many texts hold a word is
+    counted first, so that a word that stands everywhere brings no pairs unless a term has no other. Only texts with
+    candidates are looked into, each once for all of its terms, literally and between boundaries.
     """
-    of = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\w+"), F.lit(0))
-    place, named = [*key, *order], ["etype", "term", "canonical"]
-    longest = F.array_max(F.transform(of(F.col("term")), lambda w, i: F.struct(F.length(w).alias("n"), (-i).alias("at"), w.alias("word"))))["word"]
-    terms = terms.select(*named, longest.alias("_word"))
-    bare = terms.filter("_word IS NULL")
-    terms = terms.filter("_word IS NOT NULL")
-    terms = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
-    words = texts.select(*place, F.explode(F.array_distinct(of(F.col("text")))).alias("_word"))
-    met = words.join(terms, "_word").select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(place)], *named).distinct()
+    place = [*key, *order]
+    met = candidates(texts, terms, place).select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(place)], "terms")
     same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(place)]
-    lowered = texts.select(*place, F.lower("text").alias("_lower"))
-    pairs = lowered.join(met, same).select(*place, "_lower", *named)
-    few = bare.limit(BARE_TERMS + 1).count()
-    if few > BARE_TERMS:
-        raise ValueError(f"more than {BARE_TERMS} terms without a letter or digit")
-    if few:
-        signs = lowered.join(F.broadcast(bare), F.contains("_lower", F.col("term")))
-        pairs = pairs.unionByName(signs.select(*place, "_lower", *named))
-    inside = F.contains("_lower", F.col("term")) & F.regexp_like("_lower", F.concat(F.lit(r"(?U)\b\Q"), "term", F.lit(r"\E\b")))
-    return pairs.filter(inside).select(*place, "etype", F.col("canonical").alias("term"), F.lit(0.8).alias("confidence"))
+    found = texts.select(*place, "text").join(met, same).select(*place, F.lower("text").alias("_lower"), "terms")
+    literal = lambda t: F.concat(F.lit(r"(?U)\b\Q"), F.replace(t, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E\b"))
+    inside = F.filter("terms", lambda t: F.contains(F.col("_lower"), t["term"]) & F.regexp_like(F.col("_lower"), literal(t["term"])))
+    return found.select(*place, F.explode(inside).alias("t")).select(*place, "t.etype", F.col("t.canonical").alias("term"), F.lit(0.8).alias("confidence"))
 
 
 def component_mentions(components: DataFrame, terms: DataFrame, key: list[str]) -> DataFrame:

@@ -171,6 +171,14 @@ def dictionary_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.best_mentions(found, ["doc_id"], ["pos"]).select("doc_id", "etype", "term", "confidence")
 
 
+@query(r"""WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\pL\pM\pN\p{Pc}]+')) AS word FROM documents), df AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+t AS (SELECT DISTINCT lower(string_split(text, '.')[1]) AS term FROM benchmark WHERE length(string_split(text, '.')[1]) > 8), tw AS (SELECT DISTINCT term, unnest(regexp_extract_all(term, '[\pL\pM\pN\p{Pc}]+')) AS word FROM t)
+SELECT term, arg_min(word, (n, word)) AS word, min(n) AS texts FROM tw LEFT JOIN df USING (word) GROUP BY term HAVING count(n) = count(*)""")
+def rarest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word of each term by which it meets the documents: the one that the fewest hold."""
+    return entities.rarest_words(table(spark, sf_dir, "documents").select("text"), phrases(spark, sf_dir)).select("term", "word", "texts")
+
+
 @query("""WITH dict AS (SELECT DISTINCT lower(p_type) AS term, p_type AS canonical FROM part UNION SELECT DISTINCT lower(split_part(p_name, ' ', 2)), upper(split_part(p_name, ' ', 2)) FROM part)
 SELECT p_partkey, i::INT AS pos, d.canonical AS term, 1.0::DOUBLE AS confidence FROM (SELECT p_partkey, unnest([p_type, split_part(p_name, ' ', 2)]) AS c, generate_subscripts([1, 2], 1) - 1 AS i FROM part) x JOIN dict d ON lower(x.c) = d.term""")
 def component_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:

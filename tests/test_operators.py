@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,9 +199,26 @@ def test_mentions_of_signs_and_repeated_texts(spark):
     texts = spark.createDataFrame([("d", 0, "a&&b"), ("d", 0, "a&&b"), ("e", 1, "The Long PLATFORM."), (None, None, "the long platform"), ("f", 0, None)], "key string, pos int, text string")
     found = entities.text_mentions(texts, terms, ["key"], ["pos"]).collect()
     assert sorted((str(r["key"]), r["term"]) for r in found) == [("None", "S"), ("d", "S"), ("d", "S"), ("e", "S")]
-    many = spark.createDataFrame([("systems", c, c, 0) for c in map(chr, range(0x2500, 0x2500 + 101))], "etype string, term string, canonical string, ord int")
-    with pytest.raises(ValueError, match="letter or digit"):
-        entities.text_mentions(texts, many, ["key"], ["pos"])
+    # any number of terms without a word, met by what stands between two words
+    many = spark.createDataFrame([("systems", c, c) for c in [*map(chr, range(0x2500, 0x2600)), "&&", "& &", "a\\Eb"]], "etype string, term string, canonical string")
+    signs = spark.createDataFrame([("x", 0, "a\u2501b c\u2502 \u2503d"), ("y", 0, "a&&b & &c"), ("z", 0, "x a\\Eb y"), ("z", 1, "a\\eb")], "key string, pos int, text string")
+    found = entities.text_mentions(signs, many.withColumn("term", F.lower("term")), ["key"], ["pos"]).collect()
+    assert sorted((r["key"], r["pos"], r["term"]) for r in found) == [("x", 0, "\u2501"), ("y", 0, "&&"), ("z", 0, "a\\Eb"), ("z", 1, "a\\Eb")]
+
+
+def test_candidates_of_a_skewed_dictionary(spark):
+    """A long word that stands in every text and in every term brings no pairs; mentions are those of a plain search."""
+    n = 200
+    texts = spark.createDataFrame([(str(i), 0, f"The internationalization of q{i}, q{i + 1} internationalization") for i in range(n)], "key string, pos int, text string")
+    named = [("products", f"q{i} internationalization" if i % 2 else f"internationalization of q{i}", f"P{i}") for i in range(n)]
+    terms = spark.createDataFrame([*named, ("products", "internationalization", "all"), ("products", "nowhere internationalization", "none")], "etype string, term string, canonical string")
+    keyed = {r["term"]: (r["word"], r["texts"]) for r in entities.rarest_words(texts, terms).collect()}
+    assert keyed["internationalization of q4"] == ("q4", 2) and keyed["internationalization"] == ("internationalization", n) and "nowhere internationalization" not in keyed
+    met = entities.candidates(texts, terms, ["key", "pos"]).select("key", F.size("terms").alias("n")).collect()
+    assert len(met) == n and max(r["n"] for r in met) == 3
+    found = {(r["key"], r["term"]) for r in entities.text_mentions(texts, terms, ["key"], ["pos"]).collect()}
+    rows = [(r["key"], r["text"].lower()) for r in texts.collect()]
+    assert found == {(k, c) for k, t in rows for _, term, c in [*named, ("", "internationalization", "all")] if re.search(rf"\b{term}\b", t)}
 
 
 def test_assembly(spark):
