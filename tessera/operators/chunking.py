@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import text as tx
 from tessera.settings import DEFAULT, Settings
+from tessera.sources import files
 
 
 def _common(source: str, weight: Column | float, confidence: float, method: str) -> list[Column]:
@@ -68,6 +72,82 @@ def packed(documents: DataFrame, text: str = "text", separator: str = r"\n{2,}",
     return rows.withColumn("has_table", F.contains("text", F.lit("|"))).select("*", *_common("pdf_page", 1.0, 0.90, "markitdown"))
 
 
+#: Paragraphs of a block when long documents are packed; no less than a page may hold.
+PACK_BLOCK = 4096
+
+
+def packed_long(documents: DataFrame, key: list[str], text: str = "text", separator: str = r"\n{2,}", settings: Settings = DEFAULT) -> DataFrame:
+    """As :func:`packed`, for documents of any length: paragraphs are rows, and no task needs all of a document's.
+
+    Where a page that begins at a paragraph ends depends on the next few paragraphs only: a jump. A block of paragraphs turns
+    each of the places where a page may enter it into the place where the next block is entered; these tables, of as many
+    numbers as a page has words, are composed by pointer doubling over a document's blocks. Then each block knows its
+    entrance and marks its pages. Documents have a unique ``key`` without nulls; their other columns are left out.
+    """
+    spark, size = documents.sparkSession, max(settings.page_words, 1)
+    block = max(PACK_BLOCK, size)
+    paragraphs = F.filter(F.transform(F.split(text, separator), tx.trimmed), lambda p: p != "")
+    at = files.scratch(spark)
+    documents.select(*key, F.posexplode(paragraphs).alias("at", "p")).withColumn("n", tx.word_count(F.col("p"))).write.parquet(f"{at}/paragraphs")
+    rows = spark.read.parquet(f"{at}/paragraphs")
+    own = F.expr(f"CAST(at DIV {block} AS INT)")
+    # a block sees as many paragraphs of the next one as a page may reach into it
+    seen = F.when((own > 0) & (F.col("at") % block <= size), F.array(own, own - 1)).otherwise(F.array(own))
+    light = rows.select(*key, "at", "n", F.explode(seen).alias("block"))
+    kinds = [rows.schema[c] for c in key]
+
+    def jumps(table: pa.Table) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """Places, where a page that begins at each ends, the block's first place and how many are its own."""
+        table = table.sort_by("at")
+        place, words = table.column("at").to_numpy(), table.column("n").to_numpy().astype(np.int64)
+        first = table.column("block")[0].as_py() * block
+        ends = np.cumsum(words)
+        nexts = np.searchsorted(ends, ends - words + size, side="right")
+        return place, np.maximum(nexts, np.arange(len(place)) + 1), first, int((place < first + block).sum())
+
+    def exits(table: pa.Table) -> pa.Table:
+        _, nexts, _, mine = jumps(table)
+        out = np.zeros(max(mine, size), dtype=np.int32)
+        for i in reversed(range(mine)):
+            out[i] = nexts[i] - block if nexts[i] >= block else out[nexts[i]] if nexts[i] < mine else 0
+        return pa.table([table.column(c)[:1] for c in [*key, "block"]] + [pa.array([out[:size]], pa.list_(pa.int32()))], names=[*key, "block", "f"])
+
+    by = [*key, "block"]
+    keyed = T.StructType([*kinds, T.StructField("block", T.IntegerType())])
+    found = light.groupBy(*by).applyInArrow(exits, T.StructType([*keyed, T.StructField("f", T.ArrayType(T.IntegerType()))]))
+    step = 0
+    while True:
+        found.write.parquet(f"{at}/jumps{step}")
+        found = spark.read.schema(found.schema).parquet(f"{at}/jumps{step}")
+        if step == 0:
+            blocks = (found.agg(F.max("block")).first()[0] or 0) + 1
+        if 1 << step >= blocks:
+            break
+        before = found.select(*key, (F.col("block") + (1 << step)).alias("block"), F.col("f").alias("g"))
+        composed = F.when(F.col("g").isNull(), F.col("f")).otherwise(F.transform("g", lambda x: F.get("f", x)))
+        found = found.join(before, by, "left").select(*by, composed.alias("f"))
+        step += 1
+    entrances = found.select(*key, (F.col("block") + 1).alias("block"), F.get("f", F.lit(0)).alias("enter"))
+
+    def pages(table: pa.Table) -> pa.Table:
+        enter = table.column("enter")[0].as_py()
+        place, nexts, first, mine = jumps(table)
+        starts, i = [], enter or 0
+        while i < mine:
+            starts.append(i)
+            i = int(nexts[i])
+        within = np.arange(starts[0], i) if starts else np.zeros(0, np.int64)
+        start = place[np.array(starts, dtype=np.int64)[np.searchsorted(starts, within, side="right") - 1]] if starts else place[:0]
+        return pa.table([table.column(c)[:1].combine_chunks().take(pa.array(np.zeros(len(within), np.int64))) for c in key] + [pa.array(place[within]), pa.array(start)], names=[*key, "at", "start"])
+
+    dealt = light.join(entrances, by, "left").groupBy(*by).applyInArrow(pages, T.StructType([*kinds, *T._parse_datatype_string("at int, start int").fields]))
+    packs = rows.join(dealt, [*key, "at"]).groupBy(*key, "start").agg(F.sum("n").cast("int").alias("word_count"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "p"))), lambda x: x["p"]), "\n\n").alias("text"))
+    number = F.row_number().over(Window.partitionBy(*key).orderBy("start"))  # a row a page, at most
+    kept = packs.filter(F.col("word_count") >= settings.page_min_words).withColumn("page_num", number)
+    kept = kept.select(*key, (F.col("page_num") - 1).alias("pos"), "page_num", F.concat(F.lit("page-"), F.col("page_num").cast("string")).alias("chunk_id"), "text", "word_count", F.lit(False).alias("is_boilerplate"))
+    return kept.withColumn("has_table", F.contains("text", F.lit("|"))).select("*", *_common("pdf_page", 1.0, 0.90, "markitdown"))
+
+
 def heading_sections(documents: DataFrame, text: str = "text", settings: Settings = DEFAULT) -> DataFrame:
     """Sections between Markdown headings, numbered by heading; what is before the first one is number -1."""
     keep = [c for c in documents.columns if c != text]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import cleaning, markdown
 from tessera.functions import fields as fd
 from tessera.functions import text as tx
-from tessera.operators import chunking, entities, extract, records, reports, stores, summaries, triage, vectors
+from tessera.operators import chunking, entities, extract, nearest, records, reports, stores, summaries, triage, vectors
 from tessera.sources import files
 from tessera.streaming import incremental
 
@@ -89,18 +89,28 @@ def description_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.description_chunks(rows, separator="\n").select(F.col("ticket_key").alias("doc_id"), "pos", F.md5("text").alias("text_md5"), "word_count", "weight_multiplier")
 
 
-@query(f"""WITH ps AS (
+PACKED = f"""WITH ps AS (
   SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda p: trim(p)), lambda p: p <> '') AS p FROM documents),
 state AS (SELECT doc_id, list_reduce(list_transform(p, lambda x: {{'done': []::STRUCT(t VARCHAR, n BIGINT)[], 't': x, 'n': {WORDS("x")}}}),
   lambda a, b: CASE WHEN a.n + b.n > 400 THEN {{'done': list_append(a.done, {{'t': a.t, 'n': a.n}}), 't': b.t, 'n': b.n}}
     ELSE {{'done': a.done, 't': a.t || chr(10) || chr(10) || b.t, 'n': a.n + b.n}} END) AS s FROM ps WHERE len(p) > 0),
 packs AS (SELECT doc_id, list_filter(list_append(s.done, {{'t': s.t, 'n': s.n}}), lambda c: c.n >= 40) AS c FROM state)
-SELECT doc_id, i::INT AS page_num, u.n::INT AS word_count, md5(u.t) AS text_md5 FROM (SELECT doc_id, unnest(c) AS u, generate_subscripts(c, 1) AS i FROM packs)""")
+SELECT doc_id, i::INT AS page_num, u.n::INT AS word_count, md5(u.t) AS text_md5 FROM (SELECT doc_id, unnest(c) AS u, generate_subscripts(c, 1) AS i FROM packs)"""
+
+
+@query(PACKED)
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chunking.packed(table(spark, sf_dir, "documents").select("doc_id", "text"), separator="\n")
     return rows.select("doc_id", "page_num", "word_count", F.md5("text").alias("text_md5"))
 
 
+@query(PACKED)
+def packed_long_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages by jumps over blocks of paragraphs."""
+    rows = chunking.packed_long(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], separator="\n")
+    return rows.select("doc_id", "page_num", "word_count", F.md5("text").alias("text_md5"))
+
+
 AGENDA = "agenda|outline|overview|introduction|background|problem|solution|approach|implementation|timeline|next steps|conclusion|summary|appendix"
 SECTIONS = lambda key, source: rf"""WITH slides AS ({source}),
 flags AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY pos) AS rn,
@@ -309,6 +319,16 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(index, list(asked["embedding"]), 20, "vec_id").select("vec_id", F.round("score", 6).alias("score"))
 
 
+@query("""WITH v AS (SELECT vec_id, embedding AS e, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) + 1e-9 AS n FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_sum(list_transform(list_zip(v.e, q.e), lambda p: p[1]::DOUBLE * p[2]::DOUBLE)) / (v.n * q.n), 12) AS score FROM v, v AS q WHERE q.vec_id % 10 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id DESC)::INT AS rank, vec_id, round(score, 6) AS score FROM s QUALIFY rank <= 5""")
+def cosine_topk_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest of all vectors to every tenth one, itself among them, by cells and bounds."""
+    index = table(spark, sf_dir, "embeddings")
+    asked = index.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    return nearest.search(index, asked, 5, "vec_id").withColumn("score", F.round("score", 6))
+
+
 @query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id")
 def latest_wins_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.latest(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")

@@ -1,4 +1,5 @@
 import json
+import random
 import re
 
 import pytest
@@ -32,6 +33,42 @@ def test_packing_drops_without_renumbering(spark):
     assert [(r["page_num"], r["word_count"]) for r in got] == [(1, 300), (2, 250), (3, 390)]
 
 
+def pages_by_hand(counts, most=400, least=40):
+    """The greedy fold: [first paragraph, words] of each page that is kept."""
+    pages = []
+    for i, n in enumerate(counts):
+        if pages and pages[-1][1] + n <= most:
+            pages[-1][1] += n
+        else:
+            pages.append([i, n])
+    return [p for p in pages if p[1] >= least]
+
+
+@pytest.mark.parametrize("block", [400, 4096])
+def test_packing_by_jumps(spark, monkeypatch, block):
+    """Documents of one block, of many, of one word a paragraph, of paragraphs above a page, without text: as the fold gives them."""
+    monkeypatch.setattr(chunking, "PACK_BLOCK", block)
+    rng = random.Random(8)
+    sizes = {"many": [rng.choice([1, 5, 80, 399, 400, 401, 900]) for _ in range(2500)], "small": [1] * 3000, "one": [500], "few": [3], "mixed": [rng.randint(1, 60) for _ in range(900)]}
+    docs = [(k, "\n\n".join(" ".join([f"w{i}"] * n) for i, n in enumerate(v)), "x") for k, v in sizes.items()] + [("empty", "", "x"), ("null", None, "x"), ("blank", " \n\n ", "x")]
+    frame = spark.createDataFrame(docs, "id string, text string, page_num string")
+    names = ["pos", "page_num", "chunk_id", "text", "word_count", "has_table", "source", "weight_multiplier"]
+    jumped = chunking.packed_long(frame, ["id"])
+    folded = chunking.packed(frame.drop("page_num"))
+    assert sorted(map(tuple, jumped.select("id", *names).collect())) == sorted(map(tuple, folded.select("id", *names).collect()))
+    got = sorted((r["page_num"], r["word_count"]) for r in jumped.filter("id = 'many'").collect())
+    assert [n for _, n in got] == [n for _, n in pages_by_hand(sizes["many"])]
+    assert chunking.packed_long(frame.filter("false"), ["id"]).count() == 0
+
+
+def test_packing_ten_million_words(spark):
+    rows = spark.range(330_000).select("id", (F.col("id") * 7919 % 59 + 1).cast("int").alias("n"))
+    text = spark.createDataFrame([("\n\n".join("w " * (i * 7919 % 59 + 1) for i in range(330_000)),)], "text string").withColumn("id", F.lit(1))
+    got = chunking.packed_long(text, ["id"]).select("page_num", "word_count").collect()
+    counts = [r["n"] for r in rows.orderBy("id").collect()]
+    assert sum(counts) > 9_800_000 and [r["word_count"] for r in sorted(got)] == [n for _, n in pages_by_hand(counts)]
+
+
 def test_slides(spark):
     text = "".join(f"<!-- Slide number: {n} -->\n# Title {n}\n" + "word " * 30 for n in (1, 2, 61, 3))
     got = chunking.slides(spark.createDataFrame([("k", text), ("p", "just text")], "k string, text string")).collect()
