@@ -10,8 +10,9 @@ from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 from typing import Any, TypeVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 R = TypeVar("R")
 #: HTTP answers that may be tried again.
@@ -123,6 +124,23 @@ class RetryPolicy:
                 await asyncio.sleep(self.delay(attempt - 1))
 
 
+class TokenBucket:
+    """At most ``rate`` calls a second in the long run, ``burst`` at once; one for each task."""
+
+    def __init__(self, rate: float, burst: float = 1.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        if rate <= 0 or burst < 1:
+            raise ValueError("a rate above 0 and a burst of at least 1")
+        self.rate, self.burst, self.clock, self.sleep = rate, burst, clock, sleep
+        self.tokens, self.at = burst, clock()
+
+    def take(self) -> None:
+        now = self.clock()
+        self.tokens, self.at = min(self.burst, self.tokens + (now - self.at) * self.rate), now
+        self.tokens -= 1
+        if self.tokens < 0:  # what is owed is paid by waiting
+            self.sleep(-self.tokens / self.rate)
+
+
 @dataclass
 class Event:
     """A telemetry event: ingest, skip, failure, stage_start or stage_end."""
@@ -155,6 +173,38 @@ def events_frame(spark: SparkSession, events: list[Event]) -> DataFrame:
     return spark.createDataFrame([asdict(e) for e in events], EVENT_SCHEMA)
 
 
+def count_of(rows: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """The rows, and counts that Spark fills in as they run for whatever they are meant for: no pass of their own."""
+    observed = Observation(name)
+    return rows.observe(observed, *[c.alias(n) for n, c in {"rows": F.count(F.lit(1)), **counts}.items()]), observed
+
+
+class StreamEvents(StreamingQueryListener):
+    """Tells each micro-batch of a running stream: rows, milliseconds by phase, and what it observes.
+
+    ``spark.streams.addListener(StreamEvents(sink))``; the event's key is the name of the query.
+    """
+
+    def __init__(self, sink: Callable[[Event], None]):
+        self.sink = sink
+
+    def onQueryStarted(self, event: Any) -> None:
+        self.sink(Event("stage_start", event.name or str(event.id), stage="stream"))
+
+    def onQueryProgress(self, event: Any) -> None:
+        p = event.progress
+        seen = {f"{name}.{k}": str(v) for name, row in p.observedMetrics.items() for k, v in row.asDict().items()}
+        spent = {f"ms.{k}": str(v) for k, v in p.durationMs.items()}
+        took = p.durationMs.get("triggerExecution")
+        self.sink(Event("ingest", p.name or str(p.id), stage="stream", ingest_ms=None if took is None else float(took), extra={"batch": str(p.batchId), "rows": str(p.numInputRows), **seen, **spent}))
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        self.sink(Event("failure" if event.exception else "stage_end", str(event.id), stage="stream", error_message=event.exception))
+
+
 @contextmanager
 def stage_timer(sink: Callable[[Event], None], ticket_key: str, stage: str) -> Iterator[dict[str, float]]:
     """Times a stage in milliseconds; a failure is told and passed on."""

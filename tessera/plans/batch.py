@@ -12,19 +12,21 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import text as tx
-from tessera.operators import chunking, extract, records, reports, stores, triage, vectors
+from tessera.operators import chunking, extract, faults, records, reports, stores, triage, vectors
+from tessera.operators.faults import TokenBucket
 from tessera.plans import assembly
 from tessera.settings import DEFAULT, Settings
 from tessera.sources import commits, documents, files
 from tessera.sources.tracker import TrackerClient
 
 #: Folders of a batch's outputs.
-CHUNKS, STREAMS, ERRORS, TOTALS = "07_chunks", "08_valuestream_map", "_errors", "_totals"
+CHUNKS, STREAMS, ERRORS, TOTALS, EVENTS = "07_chunks", "08_valuestream_map", "_errors", "_totals", "_events"
 #: How the text of a file becomes chunks, by its extension.
 CUTTERS = {("pptx", "ppt"): chunking.slides, ("pdf",): chunking.packed, ("docx", "doc"): chunking.heading_sections}
 
@@ -35,16 +37,26 @@ def attached(valid: DataFrame) -> DataFrame:
     return rows.withColumns({"attachment_id": triage.attachment_id(rows), "ext": tx.extension(F.col("filename"))})
 
 
-def fetched(rows: DataFrame, factory: Callable[[], TrackerClient]) -> DataFrame:
-    """The rows with file_bytes, null where the download failed, and why (fetch_error). One client a partition."""
+def fetched(rows: DataFrame, factory: Callable[[], TrackerClient], calls: int | None = None, rate: float | None = None, profile: ResourceProfile | None = None) -> DataFrame:
+    """The rows with file_bytes, null where the download failed, and why (fetch_error). One client a partition.
+
+    ``calls``: at most so many downloads at once, on the whole cluster: the rows are dealt to so many tasks. ``rate``: at most
+    so many a second, of which each of the ``calls`` tasks has its share. ``profile``: what a fetching task asks of its
+    executor, where the cluster schedules by stage.
+    """
+    if rate is not None and calls is None:
+        raise ValueError("a rate needs a number of calls to share it")
+    dealt = rows if calls is None else rows.repartition(calls)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client = factory()
+        client, bucket = factory(), None if rate is None else TokenBucket(rate / calls)
         client.authenticate()
         try:
             for batch in batches:
                 data, errors = [], []
                 for url in batch.column("content").to_pylist():
+                    if bucket is not None:
+                        bucket.take()
                     try:
                         data.append(client.download(url))
                         errors.append(None)
@@ -56,7 +68,8 @@ def fetched(rows: DataFrame, factory: Callable[[], TrackerClient]) -> DataFrame:
         finally:
             client.close()
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("file_bytes", T.BinaryType()), T.StructField("fetch_error", T.StringType())]))
+    schema = T.StructType([*rows.schema.fields, T.StructField("file_bytes", T.BinaryType()), T.StructField("fetch_error", T.StringType())])
+    return dealt.mapInArrow(run, schema) if profile is None else dealt.mapInArrow(run, schema, profile=profile)
 
 
 def cut_by_kind(texts: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -69,22 +82,23 @@ def cut_by_kind(texts: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     return out
 
 
-def attachment_chunks(valid: DataFrame, factory: Callable[[], TrackerClient], convert: Callable[[bytes, str], str], ocr: Callable[[bytes, str], str] | None = None, settings: Settings = DEFAULT) -> DataFrame:
+def attachment_chunks(valid: DataFrame, factory: Callable[[], TrackerClient], convert: Callable[[bytes, str], str], ocr: Callable[[bytes, str], str] | None = None, settings: Settings = DEFAULT, calls: int | None = None, rate: float | None = None) -> DataFrame:
     """Chunks of all attachments that triage doesn't exclude by name and size: downloaded, converted, cut by kind."""
     wanted = triage.prefilter(attached(valid), settings).filter("excluded_reason IS NULL")
-    texts = extract.contents(fetched(wanted, factory), ["ticket_key", "attachment_id", "ext"], convert, ocr)
+    texts = extract.contents(fetched(wanted, factory, calls, rate), ["ticket_key", "attachment_id", "ext"], convert, ocr)
     return cut_by_kind(texts.filter(F.col("error").isNull()).withColumnRenamed("text_content", "text"), settings)
 
 
 @dataclass
 class Batch:
-    """What a run has written; ``totals`` is one row."""
+    """What a run has written; ``totals`` is one row, ``events`` one for each stage, with what was observed as it ran."""
 
     number: int
     chunks: DataFrame
     streams: DataFrame
     errors: DataFrame
     totals: DataFrame
+    events: DataFrame
 
 
 def not_yet(spark: SparkSession, incoming: DataFrame, out: str) -> DataFrame:
@@ -96,7 +110,7 @@ def sinks(out: str, number: int, tables: stores.Tables | None = None) -> dict[st
     """Where each output of a batch goes. All of them may run again."""
     by_key = lambda name: lambda rows: files.write_documents(rows, f"{out}/{name}", "json", "ticket_id")
     by_batch = lambda name: lambda rows: rows.write.mode("overwrite").json(f"{out}/{name}/batch={number}")
-    found: dict[str, commits.Sink] = {"chunks": by_key(CHUNKS), "streams": by_key(STREAMS), "errors": by_batch(ERRORS), "totals": by_batch(TOTALS)}
+    found: dict[str, commits.Sink] = {"chunks": by_key(CHUNKS), "streams": by_key(STREAMS), "errors": by_batch(ERRORS), "totals": by_batch(TOTALS), "events": by_batch(EVENTS)}
     if tables is not None:
         found |= {name: lambda rows, name=name: getattr(tables, name).upsert(rows, assembly.ORDERS[name]) for name in assembly.ORDERS}
     return found
@@ -130,8 +144,8 @@ def run(incoming: DataFrame, dictionary: DataFrame, out: str, tables: stores.Tab
         for name, rows in assembly.index_rows(stages).items():
             batch.stage(name, rows)
 
-    own = batch.keep("chunk_records", assembly.chunk_records(stages.chunks, stages.documents, base_url))
-    streams = batch.stage("streams", assembly.value_stream_records(stages.documents, stages.supervision).withColumnRenamed("id", "ticket_id"))
+    own = batch.keep("chunk_records", assembly.chunk_records(stages.chunks, stages.documents, base_url), with_vector=F.count_if(F.col("content_vector").isNotNull()))
+    streams = batch.stage("streams", assembly.value_stream_records(stages.documents, stages.supervision).withColumnRenamed("id", "ticket_id"), with_value_streams=F.count_if(F.size("valueStreamIds") > 0))
     # a record's chunks are few: one document holds them
     listed = own.groupBy(F.col("sourceId").alias("ticket_id")).agg(F.count("*").alias("chunk_count"), F.collect_list(F.struct(*own.columns)).alias("chunks"))
     mapped = streams.select("ticket_id", F.col("valueStreamIds").alias("mapped_value_stream_ids"), F.col("valueStreamNames").alias("mapped_value_stream_names"))
@@ -139,6 +153,7 @@ def run(incoming: DataFrame, dictionary: DataFrame, out: str, tables: stores.Tab
     ended = streams.select("ticket_id", F.lit(None).cast("string").alias("error"), F.col("valueStreamIds").alias("value_stream_ids"), F.col("impactedProductIds").alias("product_ids"))
     results = ended.join(written.select("ticket_id", "chunk_count"), "ticket_id", "left").unionByName(errors, allowMissingColumns=True)
     totals = batch.stage("totals", reports.batch_totals(results))
+    events = batch.stage("events", faults.events_frame(spark, batch.events))
     batch.commit()
     log.apply(batch.number, sinks(out, batch.number, tables))
-    return Batch(batch.number, written.select(F.explode("chunks").alias("c")).select("c.*"), streams.withColumnRenamed("ticket_id", "id"), errors, totals)
+    return Batch(batch.number, written.select(F.explode("chunks").alias("c")).select("c.*"), streams.withColumnRenamed("ticket_id", "id"), errors, totals, events)

@@ -1,6 +1,6 @@
 """Batches over several sinks: every output is staged first, one rename commits all of them, and a crash is mended from the log.
 
-A batch has a folder of its own under ``_batches``. Its outputs are written there as Parquet, and counted as they are written.
+A batch has a folder of its own under ``_batches``. Its outputs are written there as Parquet, counted and timed as they are written.
 Renaming ``manifest.tmp`` to ``manifest.json`` commits the batch: before, it never happened; from then on each output will
 reach its sink. Sinks are then brought up to date one after the other from the staged tables, by functions that may run again
 (upserts, replaced documents, replaced folders), and a second rename marks the batch as applied. :meth:`BatchLog.recover`
@@ -12,11 +12,14 @@ Renaming one file has to be atomic, as it is on HDFS and local disks.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tessera.operators.faults import Event, count_of
 
 FOLDER, MANIFEST, APPLIED = "_batches", "manifest.json", "applied.json"
 Sink = Callable[[DataFrame], None]
@@ -28,17 +31,25 @@ class Batch:
     def __init__(self, log: BatchLog, number: int):
         self.log, self.number, self.path = log, number, log.folder(number)
         self.outputs: dict[str, dict[str, Any]] = {}
-
-    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        self.events: list[Event] = []
+
+    def _write(self, name: str, rows: DataFrame, path: str, counts: dict[str, Column]) -> dict[str, Any]:
+        counted, seen = count_of(rows, f"{name}-{self.number}", **counts)
+        began = time.perf_counter()
+        counted.write.mode("overwrite").parquet(path)
+        found = seen.get
+        ms = (time.perf_counter() - began) * 1000
+        self.events.append(Event("stage_end", f"batch {self.number}", trigger="batch", stage=name, ingest_ms=ms, extra={k: str(v) for k, v in found.items()}))
+        return found
+
+    def keep(self, name: str, rows: DataFrame, **counts: Column) -> DataFrame:
         """Working tables: later steps read them, and they go with the batch's folder."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/_work/{name}")
+        self._write(name, rows, f"{self.path}/_work/{name}", counts)
         return self.log.spark.read.schema(rows.schema).parquet(f"{self.path}/_work/{name}")
 
-    def stage(self, name: str, rows: DataFrame) -> DataFrame:
-        """An output, with its rows counted as they are written."""
-        counted = Observation(f"{name}-{self.number}")
-        rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/{name}")
-        self.outputs[name] = {"rows": counted.get["rows"], "schema": rows.schema.json()}
+    def stage(self, name: str, rows: DataFrame, **counts: Column) -> DataFrame:
+        """An output, with its rows (and other ``counts``) taken as it is written."""
+        self.outputs[name] = {**self._write(name, rows, f"{self.path}/{name}", counts), "schema": rows.schema.json()}
         return self.log.table(self.number, name, rows.schema)
 
     def commit(self) -> None:
@@ -94,8 +105,6 @@ class BatchLog:
 
     def apply(self, number: int, sinks: dict[str, Sink]) -> None:
         """Brings each output of a committed batch to its sink. An output without a sink is an error before anything is written."""
-        from pyspark.sql import types as T
-
         manifest = self.manifest(number)
         if manifest is None:
             raise RuntimeError(f"batch {number} isn't committed")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,8 @@ DEAD_LETTER = (
     "ticket_key string, stage string, error_type string, error_message string, timestamp string, trigger string, "
     "raw_summary struct<key:string,fields_keys:array<string>,attachment_count:int>, extra map<string,string>"
 )
+#: Where a line goes that isn't a document.
+CORRUPT = "_corrupt_record"
 FORMATS = ("json", "jsonl", "parquet")
 
 
@@ -42,10 +44,41 @@ def read_documents(spark: SparkSession, path: str, schema: str | T.StructType, k
 
 
 def read_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """One document a line; blank and malformed lines are left out."""
+    """One document a line; blank and malformed lines are left out (:func:`parted_lines` gives those too)."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def parted_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(documents, malformed lines): one document a line; blank lines are neither.
+
+    A malformed line comes with its file and its number in it, from 1. Files may be read in many blocks: a line's number is
+    its place in its block, after the counted lines of the blocks before. Only those counts and the bad lines are gathered.
+    """
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
+    )
+    wanted = T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = text.filter(F.trim("value") != "").withColumn("d", F.from_json("value", wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    bad = F.col(f"d.{CORRUPT}").isNotNull()
+    blocks = text.groupBy("file", "block").agg(F.count("*").alias("lines"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "block", "first", before.alias("before"))
+    wrong = parsed.filter(bad).select("file", "block", "at", F.col("value").alias("text")).join(blocks, ["file", "block"])
+    return parsed.filter(~bad).select(*[F.col(f"d.`{f.name}`") for f in kind.fields]), wrong.select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "text")
+
+
+def quarantine(malformed: DataFrame, path: str, stage: str = "read") -> None:
+    """Appends malformed lines to the dead letters, with file, line number and what they hold."""
+    extra = F.create_map(F.lit("file"), F.col("file"), F.lit("line"), F.col("line").cast("string"), F.lit("text"), F.col("text"))
+    summary = F.lit(None).cast("struct<key:string,fields_keys:array<string>,attachment_count:int>")
+    message = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(" isn't a document"))
+    append_dead_letters(malformed.select(
+        F.lit("").alias("ticket_key"), F.lit(stage).alias("stage"), F.lit("MalformedLine").alias("error_type"), message.alias("error_message"), F.current_timestamp().alias("timestamp"),
+        F.lit("read").alias("trigger"), summary.alias("raw_summary"), extra.alias("extra"),
+    ), path)
+
+
 def read_binary(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Landed attachments: filename, size and file_bytes."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)

@@ -135,6 +135,11 @@ def test_a_batch_stops_between_two_sinks(spark, tmp_path, monkeypatch):
     assert seen() == first
     done = batch.run(changed, dictionary, str(out), tables)
     assert done.number == 2 and done.streams.first()["valueStreamIds"] == ["VS-2"] and done.errors.count() == 0 and done.totals.first()["processed"] == 1
+    # what was observed as the plans ran is what the reports count afterwards
+    observed = {r["stage"]: r["extra"] for r in done.events.collect()}
+    assert (observed["streams"]["rows"], observed["streams"]["with_value_streams"]) == ("1", str(done.totals.first()["with_value_streams"])) and observed["errors"]["rows"] == "0"
+    assert int(observed["chunk_records"]["rows"]) == done.totals.first()["total_chunks"] and observed["chunk_records"]["with_vector"] == "0"
+    assert all(r["ingest_ms"] > 0 for r in done.events.collect()) and (out / batch.EVENTS / "batch=2").exists()
     after = seen()
     assert after[:3] == (keys, keys, keys) and after[3][1][2] == ["VS-2"] and after[3][0] == first[3][0] and after[4] == first[4]
     # without force, records with all of their outputs are left out
