@@ -84,12 +84,10 @@ def packed_long(documents: DataFrame, key: list[str], text: str = "text", separa
     numbers as a page has words, are composed by pointer doubling over a document's blocks. Then each block knows its
     entrance and marks its pages. Documents have a unique ``key`` without nulls; their other columns are left out.
     """
-    spark, size = documents.sparkSession, max(settings.page_words, 1)
+    size = max(settings.page_words, 1)
     block = max(PACK_BLOCK, size)
     paragraphs = F.filter(F.transform(F.split(text, separator), tx.trimmed), lambda p: p != "")
-    at = files.scratch(spark)
-    documents.select(*key, F.posexplode(paragraphs).alias("at", "p")).withColumn("n", tx.word_count(F.col("p"))).write.parquet(f"{at}/paragraphs")
-    rows = spark.read.parquet(f"{at}/paragraphs")
+    rows = files.stored(documents.select(*key, F.posexplode(paragraphs).alias("at", "p")).withColumn("n", tx.word_count(F.col("p"))))
     own = F.expr(f"CAST(at DIV {block} AS INT)")
     # a block sees as many paragraphs of the next one as a page may reach into it
     seen = F.when((own > 0) & (F.col("at") % block <= size), F.array(own, own - 1)).otherwise(F.array(own))
@@ -117,8 +115,7 @@ def packed_long(documents: DataFrame, key: list[str], text: str = "text", separa
     found = light.groupBy(*by).applyInArrow(exits, T.StructType([*keyed, T.StructField("f", T.ArrayType(T.IntegerType()))]))
     step = 0
     while True:
-        found.write.parquet(f"{at}/jumps{step}")
-        found = spark.read.schema(found.schema).parquet(f"{at}/jumps{step}")
+        found = files.stored(found)
         if step == 0:
             blocks = (found.agg(F.max("block")).first()[0] or 0) + 1
         if 1 << step >= blocks:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources import files
+
 TYPES = ("products", "systems", "capabilities", "platforms", "business_units")
 #: Up to so many dictionary rows (under 1 kB each) are broadcast.
 BROADCAST_TERMS = 50_000
@@ -19,44 +21,54 @@ def dictionary(entries: DataFrame) -> DataFrame:
 
 
 #: Words, and what is between them, of a lowered text.
-TOKENS = r"(?U)\w+|\W+"
+WORDS, TOKENS = r"(?U)\w+", r"(?U)\w+|\W+"
+_NAMED = ("etype", "term", "canonical")
 
 
 def _broadcast_if(rows: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(rows) if small else rows
 
 
-def _tokens(lowered: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(TOKENS), F.lit(0)))
+def _words_of(terms: DataFrame) -> DataFrame:
+    """The terms with their different words; a term without any is its own word: between boundaries it can only be the whole
+    of what is between two words."""
+    words = F.array_distinct(F.regexp_extract_all("term", F.lit(WORDS), F.lit(0)))
+    return terms.select(*_NAMED, F.when(F.size(words) > 0, words).otherwise(F.array("term")).alias("_words"), (F.size(words) == 0).alias("_bare"))
+
+
+def _held(texts: DataFrame, own: DataFrame, place: list[str]) -> tuple[DataFrame, bool]:
+    """(place, word) of each text and each of the dictionary's words in it, and whether the dictionary may be broadcast."""
+    n, bare = own.agg(F.count("*"), F.bool_or("_bare")).first()
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TOKENS if bare else WORDS), F.lit(0)))
+    known = own.select(F.explode("_words").alias("word")).distinct()
+    small = n <= BROADCAST_TERMS
+    return texts.select(*place, F.explode(found).alias("word")).join(_broadcast_if(known, small), "word", "left_semi"), small
+
+
+def _rarest(own: DataFrame, held: DataFrame) -> DataFrame:
+    each = own.select(*_NAMED, F.size("_words").alias("_n"), F.explode("_words").alias("word"))
+    counted = each.join(held.groupBy("word").agg(F.count("*").alias("texts")), "word")
+    best = counted.groupBy(*_NAMED, "_n").agg(F.min(F.struct("texts", "word")).alias("best"), F.count("*").alias("_found"))
+    return best.filter("_found = _n").select(*_NAMED, "best.word", "best.texts")
 
 
 def rarest_words(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """The terms, each with its word that the fewest texts hold (``word``, ``texts``; the first by code point of equals).
 
-    A term without words is its own word: between boundaries it can only be the whole of what is between two words. Terms
-    of which a word stands in no text are left out, as they can't occur.
+    Terms of which a word stands in no text are left out, as they can't occur.
     """
-    named = ["etype", "term", "canonical"]
-    words = F.filter(_tokens(F.col("term")), lambda t: F.regexp_like(t, F.lit(r"(?U)\w")))
-    own = terms.select(*named, F.when(F.size(words) > 0, words).otherwise(F.array("term")).alias("_words"))
-    each = own.select(*named, F.size("_words").alias("_n"), F.explode("_words").alias("word"))
-    small = terms.count() <= BROADCAST_TERMS
-    known = each.select("word").distinct()
-    held = texts.select(F.explode(_tokens(F.lower("text"))).alias("word")).join(_broadcast_if(known, small), "word", "left_semi")
-    counted = each.join(held.groupBy("word").agg(F.count("*").alias("texts")), "word")
-    best = counted.groupBy(*named, "_n").agg(F.min(F.struct("texts", "word")).alias("best"), F.count("*").alias("_found"))
-    return best.filter("_found = _n").select(*named, "best.word", "best.texts")
+    own = _words_of(terms)
+    return _rarest(own, _held(texts, own, [])[0])
 
 
 def candidates(texts: DataFrame, terms: DataFrame, place: list[str]) -> DataFrame:
     """(place, terms) of each text that holds the rarest word of a term: the terms that have to be looked for in it."""
-    named = ["etype", "term", "canonical"]
-    small = terms.count() <= BROADCAST_TERMS
-    keyed = rarest_words(texts, terms).select(*named, "word")
-    words = texts.select(*place, F.explode(_tokens(F.lower("text"))).alias("word"))
-    met = words.join(_broadcast_if(keyed, small), "word")
+    own = _words_of(terms)
+    held, small = _held(texts, own, place)
+    held = files.stored(held)  # texts are cut into words once, for the counts and for the pairs
+    met = held.join(_broadcast_if(_rarest(own, held).select(*_NAMED, "word"), small), "word")
     # a text has as many terms here as the dictionary has for its rare words
-    return met.groupBy(*place).agg(F.collect_set(F.struct(*named)).alias("terms"))
+    return met.groupBy(*place).agg(F.collect_set(F.struct(*_NAMED)).alias("terms"))
 
 
 def text_mentions(texts: DataFrame, terms: DataFrame, key: list[str], order: list[str]) -> DataFrame:

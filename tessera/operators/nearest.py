@@ -60,7 +60,6 @@ def _sound(vector: str, n: int | None = None) -> Column:
 
 def build(index: DataFrame, n: int, id_column: str, vector: str, pivots: int) -> tuple[DataFrame, Cells] | None:
     """Cells of the vectors of n components. Vectors without a direction have a cell of their own, the last one, that no bound holds for."""
-    spark = index.sparkSession
     own = index.filter(_sound(vector, n)).select(F.col(id_column).alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     sample = own.filter(length > ROOM).orderBy(F.xxhash64("v"), "v").limit(pivots).select("v").toArrow()
@@ -75,9 +74,7 @@ def build(index: DataFrame, n: int, id_column: str, vector: str, pivots: int) ->
             cell = np.where(flat, last, _angles(x, p).argmin(axis=1) if last else last)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32))], names=["id", "v", "cell"])
 
-    path = files.scratch(spark)
-    own.mapInArrow(assign, T.StructType([*own.schema.fields, T.StructField("cell", T.IntegerType())])).write.parquet(path)
-    rows = spark.read.schema(T.StructType([*own.schema.fields, T.StructField("cell", T.IntegerType())])).parquet(path)
+    rows = files.stored(own.mapInArrow(assign, T.StructType([*own.schema.fields, T.StructField("cell", T.IntegerType())])))
 
     def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, low, high = np.zeros(last + 1, np.int64), np.full((last + 1, last), np.pi), np.zeros((last + 1, last))
@@ -168,19 +165,13 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def _of_length(index: DataFrame, queries: DataFrame, n: int, k: int, id_column: str, vector: str, pivots: int) -> tuple[DataFrame, DataFrame] | None:
-    spark = index.sparkSession
     built = build(index, n, id_column, vector, pivots)
     if built is None:
         return None
     rows, cells = built
     asked = queries.filter(_sound("q", n)).select("query_id", F.col("q").cast("array<double>").alias("q"))
-    at = files.scratch(spark)
-    pairs = wanted(cells, asked, n, k)
-    pairs.write.parquet(f"{at}/pairs")
-    pairs = spark.read.schema(pairs.schema).parquet(f"{at}/pairs")
-    first = _best(_scan(rows, cells, pairs.filter("first"), asked, n, k), k)
-    first.write.parquet(f"{at}/first")
-    first = spark.read.schema(first.schema).parquet(f"{at}/first")
+    pairs = files.stored(wanted(cells, asked, n, k))
+    first = files.stored(_best(_scan(rows, cells, pairs.filter("first"), asked, n, k), k))
     # a query that hasn't found k yet has no cell left to search
     reached = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))
     more = pairs.filter("NOT first").join(reached, "query_id").filter(F.col("bound") >= F.col("reached")).select("query_id", "cell", "bound", "first")

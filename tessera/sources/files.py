@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +34,27 @@ def has_folders(spark: SparkSession, path: str, column: str) -> bool:
     return len(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []) > 0
 
 
+_STORED: list[str] = []
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows, written once to a folder of their own that all executors share; it goes when the session's Python ends."""
+    spark = rows.sparkSession
+    path = scratch(spark)
+    if not _STORED:
+        atexit.register(_drop, spark.sparkContext._jvm, spark.sparkContext)
+    _STORED.append(path)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _drop(jvm: object, context: object) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        for path in _STORED:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, key: str | None = None) -> DataFrame:
     """Landed files of one document each, but for vector files; all of a folder, or the one named after a key."""
     reader = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", f"{key or '*'}.json")

@@ -1,4 +1,8 @@
+import html
 import json
+import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +92,55 @@ def test_density(spark):
 def test_chatter(spark):
     assert one(spark, tx.is_chatter(F.col("t")), "Updated " + "word " * 60) is True
     assert one(spark, tx.is_chatter(F.col("t")), "plain " * 60) is False
+
+
+WORD = re.compile(r"\w")
+
+
+def slow_clean(text):
+    """Cleaning rule by rule, none of them skipped, letters word by word and signs one by one."""
+    text = unicodedata.normalize("NFKC", re.sub(r"\\t", " ", re.sub(r"\\r\\n|\\n|\\r", "\n", re.sub(r"(?i)\\x00|\\u0000", " ", html.unescape(text or "")))))
+    text = "".join(cleaning.SIGNS.get(c, c) for c in text)
+    words = re.split(r"(\W+)", text)
+    for i, w in enumerate(words):
+        letters = bool(re.fullmatch("[A-Za-z]+", w))
+        if letters and len(w) % 2 == 0 and len(w) >= 4 and w[::2] == w[1::2]:
+            words[i] = w = w[::2]
+        if letters and len(w) >= 3 and len(set(w)) == 1:
+            words[i] = w[0]
+    # pieces of one or two signs, apart by white space only: from each place where one may begin, as far as they go
+    text, at = "".join(words), 0
+    while at < len(text):
+        ends, end = [], at
+        while (at == 0 or not WORD.match(text[at - 1])) and (piece := re.compile("[A-Za-z0-9&]{1,2}").match(text, end)):
+            for stop in {piece.end(), piece.start() + 1}:
+                if stop == len(text) or not WORD.match(text[stop]):
+                    ends.append((len(text[at:stop].split()), stop))
+            space = re.compile(r"\s+").match(text, piece.end())
+            if space is None:
+                break
+            end = space.end()
+        last = max((stop for n, stop in ends if n >= 4), default=None)
+        if last is not None:
+            joined = "".join(text[at:last].split())
+            text = text[:at] + joined + text[last:]
+            at += len(joined)
+        else:
+            at += 1
+    lines = [cleaning.kept_line(x) for x in text.splitlines()]
+    text = "\n".join(x for x in lines if x is not None)
+    for pattern, by in ((r" +(?=[,;:.!?])", ""), (r"\s*/\s*", " / "), (r"[ \t]{2,}", " "), (r"\n{3,}", "\n\n")):
+        text = re.sub(pattern, by, text)
+    return text.strip()
+
+
+def test_cleaning_against_a_slow_version(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("text", cleaning.clean_text(F.col("text")).alias("cleaned")).collect()
+    assert len(rows) > 100 and all(r["cleaned"] == slow_clean(r["text"]) for r in rows)
+    rng = random.Random(1)
+    parts = [*"aabSTTO1 |,;.!?-_=*", "\t", "\n\n\n", "/", "“", "–", "\u200b", "\x00", "\x0b", "é", "ﬁ", "&amp;", "\\x00", "\\n", "page ", "| a | |", "|---|---|", "Slide number: 3", "aaa ", "SSTTOOPP ", " go to my pc ", " S t o p "]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))
+        # rules whose pieces touch other signs are those of the patterns alone
+        if not re.search(r"[^\s\w][A-Za-z0-9&]{1,2}\s|\s[A-Za-z0-9&]{1,2}[^\s\w]|&", html.unescape(text)):
+            assert cleaning.clean(text) == slow_clean(text), text
