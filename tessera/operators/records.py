@@ -31,6 +31,30 @@ def validate(records: DataFrame, strict: bool = False) -> DataFrame:
     return records.withColumn("validation_error", validation_error(strict))
 
 
+#: What strict validation keeps of an attachment.
+ATTACHMENT = "struct<id:string,filename:string,mimeType:string,size:bigint,content:string>"
+THEMES = "array<map<string,string>>"
+
+
+def strict_model(records: DataFrame) -> DataFrame:
+    """Strictly validated records as a model of fixed columns: key, fields, attachments of five members, themes, and
+    validation_error. What is missing is null, or an empty list; other columns and members are left out."""
+    checked = validate(records, strict=True)
+    present = set()
+    if "attachments" in records.columns:
+        present = set(records.schema["attachments"].dataType.elementType.names)
+    member = lambda a, n, kind: (a[n] if n in present else F.lit(None)).cast(kind).alias(n)
+    kinds = (("id", "string"), ("filename", "string"), ("mimeType", "string"), ("size", "bigint"), ("content", "string"))
+    files = F.transform("attachments", lambda a: F.struct(*[member(a, n, kind) for n, kind in kinds]))
+    themes = F.col("themes") if "themes" in records.columns else F.lit(None).cast(THEMES)
+    none = F.array()
+    return checked.select("key", "fields", F.coalesce(files, none.cast(f"array<{ATTACHMENT}>")).alias("attachments"), F.coalesce(themes, none.cast(themes_kind(records))).alias("themes"), "validation_error")
+
+
+def themes_kind(records: DataFrame) -> str:
+    return records.schema["themes"].dataType.simpleString() if "themes" in records.columns else THEMES
+
+
 def to_dead_letters(bad: DataFrame, stage: str, error_type: str, message: Column, trigger: str = "unknown", at: Column | None = None, extra: Column | None = None) -> DataFrame:
     """Dead letters of failed records: what failed and where, and a light summary of the record."""
     names = F.json_object_keys("fields")

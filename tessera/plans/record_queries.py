@@ -377,7 +377,7 @@ def record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records through the whole assembly: what their documents say of themselves, and their labels, which are apart."""
     from tessera.plans.queries import document_record, phrases_raw
 
-    stages = assembly.assemble(document_record(spark, sf_dir), phrases_raw(spark, sf_dir), ingested_at=F.lit("2024-04-01T00:00:00Z"))
+    stages = assembly.assemble(document_record(spark, sf_dir), phrases_raw(spark, sf_dir), ingested_at=F.lit("2024-04-01T00:00:00Z"), keep=lambda _, rows: files.stored(rows))
     labels = stages.supervision.select(F.col("id").alias("ticket_key"), F.array_join(F.transform(F.col("linked_value_stream_ids"), lambda x: x), "|").alias("stream"))
     classified = stages.links.filter("category = 'vs'").select("ticket_key", F.col("key").alias("stream"), F.col("summary").alias("stream_name"))
     rows = stages.documents.select("ticket_key", "desc_class", "comment_count", "title", F.md5("metadata_text").alias("metadata_md5"))

@@ -288,7 +288,7 @@ def test_assembly(spark):
     fields = {"summary": "Pay", "description": "value " * 60, "components": [{"name": "Core"}], "issuelinks": [{"type": {"name": "Value Stream"}, "outwardIssue": {"key": "VS-1", "fields": {"summary": "Stream", "status": {"name": "Open"}}}}]}
     frame = spark.createDataFrame([("A-1", json.dumps(fields), []), ("", "{}", [])], RECORD)
     entries = spark.createDataFrame([("systems", "Core", [], 0)], "etype string, canonical string, aliases array<string>, ord int")
-    stages = assembly.assemble(frame, entries, embedder=lambda: vectors.HashingEmbedder(8))
+    stages = assembly.assemble(frame, entries, embedder=lambda: vectors.HashingEmbedder(8), keep=lambda _, rows: files.stored(rows))
     document = stages.documents.first()
     assert (document["ticket_key"], document["quality_tier"], document["chunk_count"]) == ("A-1", "C", 1)
     assert not set(stages.documents.columns) & set(stores.LABELS) and not set(stages.chunks.columns) & set(stores.LABELS)

@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tessera.plans import queries, record_queries  # noqa: F401
+from tessera.plans import output_queries, queries, record_queries  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
