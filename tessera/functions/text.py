@@ -41,9 +41,8 @@ STOP_WORDS = ("the", "a", "an", "in", "of", "for", "and", "or", "to", "is", "are
 BOILERPLATE_TITLES = r"(?i)^(agenda|outline|table of contents|thank|questions|q&a|appendix|disclaimer|legal|confidential)$"
 AGENDA = r"(?i)^(agenda|outline|overview|introduction|background|problem|solution|approach|implementation|timeline|next steps|conclusion|summary|appendix)"
 
-#: White space as str.split() has it: what patterns have as \\s, and the rest, which is rare.
-RARE_SPACES = "\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACES = rf"[\s{RARE_SPACES}]+"
+#: White space as str.split() has it: Unicode's, and four separators.
+SPACES = r"(?U)[\s\x1c-\x1f]+"
 WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
@@ -58,9 +57,9 @@ def split_words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words, by counting matches rather than making an array; rare white space costs a slower pattern."""
-    rare = F.regexp_count(text, F.lit(SPACES.replace("[", "[^", 1)))
-    return F.when(text.isNull(), 0).when(text.rlike(f"[{RARE_SPACES}]"), rare).otherwise(F.regexp_count(text, F.lit(r"\S+")))
+    """Number of words: pieces of the trimmed text."""
+    inner = trimmed(text)
+    return F.when(F.coalesce(inner == "", F.lit(True)), 0).otherwise(F.size(F.split(inner, SPACES)))
 
 
 def simple_words(text: Column) -> Column:
@@ -181,8 +180,8 @@ def merge_texts(native: Column, ocr: Column) -> Column:
 
 def looks_weak(cleaned: Column, least_words: int = 25) -> Column:
     """Few words, few letters and digits, or short lines: worth another extraction."""
-    n, lines = word_count(cleaned), F.greatest(F.lit(1), F.regexp_count(cleaned, F.lit("\n")) + 1)
-    letters = F.length(F.regexp_replace(cleaned, r"[^\p{L}\p{N}]", "")) / F.greatest(F.lit(1), F.length(cleaned))
+    n, lines = word_count(cleaned), F.greatest(F.lit(1), F.length(cleaned) - F.length(F.replace(cleaned, F.lit("\n"), F.lit(""))) + 1)
+    letters = F.length(F.regexp_replace(cleaned, r"[^\p{L}\p{N}]+", "")) / F.greatest(F.lit(1), F.length(cleaned))
     return (n < least_words) | (letters < 0.45) | (n / lines < 2.0)
 
 

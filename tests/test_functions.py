@@ -144,3 +144,11 @@ def test_cleaning_against_a_slow_version(spark, sf):
         # rules whose pieces touch other signs are those of the patterns alone
         if not re.search(r"[^\s\w][A-Za-z0-9&]{1,2}\s|\s[A-Za-z0-9&]{1,2}[^\s\w]|&", html.unescape(text)):
             assert cleaning.clean(text) == slow_clean(text), text
+
+
+def test_words_are_those_of_python(spark):
+    rng = random.Random(7)
+    signs = [*"ab é😀.", *" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000", "\u200b", "\u180e", "\x00"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(500)] + ["", " ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.word_count(F.col("t")).alias("n"), tx.split_words(F.col("t")).alias("w")).collect()
+    assert all((r["n"], r["w"]) == (len((r["t"] or "").split()), (r["t"] or "").split()) for r in rows)
