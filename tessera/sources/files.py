@@ -120,11 +120,19 @@ def seed_dictionary(entries: DataFrame, path: str) -> None:
     entries.write.mode("ignore").parquet(path)
 
 
-def sync_dictionary(spark: SparkSession, url: str, query: str, etype: str, properties: dict[str, str] | None = None) -> DataFrame:
-    """Entries from a database: ``query`` gives canonical and, if it can, description, of which aliases are made."""
+def sync_dictionary(spark: SparkSession, url: str, query: str, etype: str, properties: dict[str, str] | None = None, bounds: tuple[str, int, int, int] | None = None) -> DataFrame:
+    """Entries from a database: ``query`` gives canonical and, if it can, description, of which aliases are made.
+
+    ``bounds``: a numeric column of the query, its least and greatest value, and in how many parts to read it at once.
+    """
     from tessera.functions.text import key_phrases
 
-    rows = spark.read.jdbc(url, f"({query}) q", properties=properties or {})
+    asked = f"({query}) q"
+    if bounds is None:
+        rows = spark.read.jdbc(url, asked, properties=properties or {})
+    else:
+        column, low, high, parts = bounds
+        rows = spark.read.jdbc(url, asked, column=column, lowerBound=low, upperBound=high, numPartitions=parts, properties=properties or {})
     aliases: Column = key_phrases(F.col("description")) if "description" in rows.columns else F.array().cast("array<string>")
     return rows.select(F.lit(etype).alias("etype"), "canonical", aliases.alias("aliases"), F.monotonically_increasing_id().alias("ord"))
 
