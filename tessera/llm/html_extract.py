@@ -12,10 +12,11 @@ kind each is in there), and text blocks, told apart by element and text. The tem
    order of a class never changes and classes nest, each in one gap of those around it.
 
 Valid classes are the template, and what lies between its tokens are slots. Slots inside navigation, forms, notices,
-adverts and the like don't count. Of the others, those in an ``article`` or ``main`` element are the article. On
-pages without, the article is the deepest template element that holds at least ``MASS`` of all slots' text, without the
-template's text before its first and after its last part that has a slot, and with the headline before it if it has none;
-template text between slots is kept.
+adverts and the like don't count. The article is the deepest template element that holds at least ``MASS`` of all slots'
+text, without the template's text before its first and after its last part that has a slot, and with the headline before
+it if it has none; template text between slots is kept. Tags decide where the template can't: on pages of hosts without a
+template or without that element, and where it holds no slot or none of the page's ``article`` and ``main`` elements, the
+article is what is in those elements or, without any, all that isn't set aside.
 
 A host's template has at most ``1 / SUPPORT`` tokens for each token of an average page. Templates are broadcast only if
 they have at most ``BROADCAST_TOKENS`` tokens in all; else they are joined to the pages by host.
@@ -354,11 +355,9 @@ def article(page: Page, table: dict[int, tuple[bool, int, bool]] | None) -> str:
     """The article's text: blocks joined by an empty line. ``table`` has, for each template token, element, mass and main."""
     left = [i for i, (_, _, _, aside) in enumerate(page.blocks) if not aside]
     named = [i for i in left if page.blocks[i][2]]
-    if named or not table:
-        return "\n\n".join(page.blocks[i][1] for i in named or left)
-    main = next((i for i, token in enumerate(page.ids) if token in table and table[token][2]), None)
+    main = next((i for i, token in enumerate(page.ids) if token in table and table[token][2]), None) if table else None
     if main is None:
-        return "\n\n".join(page.blocks[i][1] for i in left)
+        return "\n\n".join(page.blocks[i][1] for i in named or left)
     # of each element, the one right below the main element that it is in: itself 0 if not inside, main if it's the main one
     part = [0] * len(page.ids)
     part[main] = main
@@ -374,8 +373,8 @@ def article(page: Page, table: dict[int, tuple[bool, int, bool]] | None) -> str:
         return texts[i] not in table or (at != main and (page.ids[at] not in table or table[page.ids[at]][1] > 0))
 
     slots = [k for k, i in enumerate(inside) if is_slot(i)]
-    if not slots:
-        return ""
+    if not slots or (named and set(named).isdisjoint(inside)):
+        return "\n\n".join(page.blocks[i][1] for i in named)
     inside = inside[slots[0] : slots[-1] + 1]
     # a text without its headline: the last one before it, with what stands between
     for heading in ("h1", "h2"):

@@ -393,6 +393,19 @@ def test_html_by_template_alone(spark):
     assert all(r["text"] != rows[r["page_id"]][3] and rows[r["page_id"]][3] in r["text"] for r in got)
 
 
+def test_html_template_before_tags(spark):
+    """Pages whose ``main`` has the menu, the advert and the foot too: the template parts them, tags alone wouldn't."""
+    rows = bare_site(random.Random(11), "c.example", 20)
+    whole = [(i, u, h.replace("<body>", "<body><main>").replace("</body>", "</main></body>")) for i, (u, h, _) in enumerate(rows)]
+    # one page is made otherwise: what the template takes for the article isn't there, and its tags tell
+    odd = (99, "https://c.example/odd", "<html><body><section>Login</section><article><p>Alone here.</p></article></body></html>")
+    frame = spark.createDataFrame([*whole, odd], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(frame).collect()}
+    assert got == {i: r[2] for i, r in enumerate(rows)} | {99: "Alone here."}
+    tags = {r["page_id"]: r["text"] for r in html_extract.extract(frame, least_pages=1000).collect()}
+    assert tags[99] == got[99] and all(tags[i] != got[i] and got[i] in tags[i] for i in range(len(rows)))
+
+
 def test_html_classes_by_brute_force(spark):
     """The tokens on most pages, their vectors and gaps, from the pages' trees one by one."""
     rng = random.Random(10)
