@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -128,6 +129,8 @@ def attachment_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLIDE = '<p:sld xmlns:p="p" xmlns:a="{ns}"><a:t>{name}</a:t>{table}{pad}</p:sld>'
 PAGE = '<w:document xmlns:w="{ns}"><w:p><w:pPr><w:pStyle w:val="Heading1"/></w:pPr><w:r><w:t>{name}</w:t></w:r></w:p>{table}{pad}</w:document>'
 #: Bytes of a slide and of a page without name, table and padding.
+#: Of a cut archive, fewer bytes are left than an empty one has.
+CUT_BYTES = 20
 SLIDE_BYTES, PAGE_BYTES = (len(x.format(ns=ns.strip("{}"), name="", table="", pad="")) for x, ns in ((SLIDE, extract.DRAWING), (PAGE, extract.WORDS)))
 
 
@@ -136,7 +139,9 @@ def office_file(key: int, size: int, name: str) -> tuple[str, bytes]:
     kind, out = ("pptx", "docx", "pdf")[key % 3], io.BytesIO()
     if kind == "pdf":
         return kind, b"%PDF-1.4 /Type /Pages " + b"/Type /Page\n" * size
-    pad = " " * (size * 50)
+    # what escapes and encodes a name comes off the padding, so that sizes count its characters
+    escaped = escape(name)
+    pad, name = " " * (size * 50 - len(escaped.encode()) + len(name)), escaped
     with zipfile.ZipFile(out, "w") as z:
         if kind == "docx":
             z.writestr("word/document.xml", PAGE.format(ns=extract.WORDS.strip("{}"), name=name, table="<w:tbl/>" if size % 2 else "", pad=pad))
@@ -145,7 +150,7 @@ def office_file(key: int, size: int, name: str) -> tuple[str, bytes]:
                 z.writestr(f"ppt/slides/slide{i + 1}.xml", SLIDE.format(ns=extract.DRAWING.strip("{}"), name=name, table="<a:tbl/>" if i == 0 and size % 2 else "", pad=pad))
             if size % 4 == 0:
                 z.writestr("ppt/notesSlides/notesSlide1.xml", "<x/>")
-    return kind, out.getvalue()[: 30 if key % 7 == 0 else None]
+    return kind, out.getvalue()[: CUT_BYTES if key % 7 == 0 else None]
 
 
 @query(f"""WITH p AS (SELECT p_partkey, p_name, p_size, p_partkey % 3 AS k, p_partkey % 7 = 0 AND p_partkey % 3 < 2 AS failed, (p_size % 6)::INT AS n, p_size % 2 = 1 AS odd FROM part),
