@@ -2,10 +2,12 @@
 
 Fitted on a bounded sample (``SAMPLE`` vectors, those with the least hashes of their ids): coarse centroids by
 k-means, and for every pair of dimensions a codebook of up to 256 residuals. Every vector is indexed: its list and its
-codes. A query probes the lists whose centroids have the largest inner product with it; in each it scores all codes
-from a table of its own (asymmetric distances), keeps the best ``RERANK * k`` and scores those exactly, in double
-precision, on the original vectors. How many lists are probed is calibrated on the sample: the fewest that find
-``RECALL`` of the sample's own nearest neighbours.
+codes, and how far they are from its own components. A query probes the lists whose centroids have the largest inner
+product with it; in each it scores all codes from a table of its own (asymmetric distances), and scores exactly, in double
+precision, on the original vectors, those whose distance from their codes lets them be among its ``k`` nearest. How many
+lists are probed at first is calibrated on the sample: the fewest that find ``RECALL`` of the sample's own nearest
+neighbours. Then every further list is probed whose radius lets one of its vectors reach the k-th score found so far:
+whatever rows the sample stands for, the nearest are found.
 
 A list and the queries that probe it meet in cells of at most ``CELL_VECTORS`` by ``CELL_QUERIES`` (in the mean), so that
 neither a crowded list nor a popular one lands in one task.
@@ -30,9 +32,12 @@ from tessera.llm._spark import cut, prepare
 SAMPLE = 20_000
 MAX_LISTS = 512
 RECALL = 0.98
-RERANK = 10
 CELL_VECTORS = 4096
 CELL_QUERIES = 1024
+#: Queries that are scored together, and pairs that are scored exactly together.
+TOGETHER, PAIRS = 128, 1 << 16
+#: What rounding may add to a score of codes (single precision) and to one of vectors (double), in parts of the lengths.
+ROUGH, FINE = 1e-5, 1e-9
 SEED = 5
 
 
@@ -43,11 +48,25 @@ class Index:
     centroids: np.ndarray  # lists x d
     codebooks: np.ndarray  # parts x words x width
     probes: int
+    #: The vectors' largest component: inside, all are divided by it.
+    scale: float = 1.0
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each vector: its list, its codes, how far its score may be from its codes', and its distance from the centroid."""
+        x = x / self.scale
         lists = nearest(x, self.centroids)
         rest = self._parts(x - self.centroids[lists])
-        return lists, np.stack([nearest(rest[:, m], self.codebooks[m]) for m in range(len(self.codebooks))], axis=1).astype(np.uint8)
+        codes = np.stack([nearest(rest[:, m], self.codebooks[m]) for m in range(len(self.codebooks))], axis=1)
+        told = self.codebooks[np.arange(len(self.codebooks)), codes]
+        length = lambda a: np.sqrt((a**2).reshape(len(a), -1).sum(axis=1))
+        whole = length(self.centroids[lists])
+        return lists, codes.astype(np.uint8), length(rest - told) + ROUGH * (whole + length(told)), length(rest) + FINE * (whole + length(rest))
+
+    def units(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Queries of length one, and what their scores with scaled vectors are to be multiplied by."""
+        top = np.abs(q).max(axis=1)
+        length = np.sqrt(((q / top[:, None]) ** 2).sum(axis=1))
+        return q / top[:, None] / length[:, None], top * length * self.scale
 
     def _parts(self, x: np.ndarray) -> np.ndarray:
         parts, _, width = self.codebooks.shape
@@ -119,6 +138,11 @@ def valid(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     return rows.filter(F.size("v") == (lengths[0]["n"] if lengths else 0))
 
 
+def _least(score: np.ndarray) -> np.ndarray:
+    """The score, with unit queries and scaled vectors, below which nothing rounds to it."""
+    return score - FINE * (1 + np.abs(score))
+
+
 def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, column: str = "embedding", recall: float = RECALL, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row for which ``is_query`` (default: every 20th id)."""
     spark = prepare(vectors.sparkSession)
@@ -128,46 +152,45 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, colu
     n = rows.count()
     if not n:
         return spark.createDataFrame([], schema)
+    top = rows.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double")))))).first()[0]
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").toArrow()
-    index = fit(_matrix(picked.column("v")), n, k, recall)
+    index = fit(_matrix(picked.column("v")) / top, n, k, recall)
+    index.scale = top
     held = spark.sparkContext.broadcast(index)
     kind = rows.schema["v"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                lists, codes = held.value.encode(_matrix(batch.column("v")))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary())], ["vec_id", "v", "list", "codes"])
+                lists, codes, off, far = held.value.encode(_matrix(batch.column("v")))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off), pa.array(far)], ["vec_id", "v", "list", "codes", "off", "far"])
 
-    coded = cut(rows.mapInArrow(encode, f"vec_id long, v {kind}, list int, codes binary"))
-    sizes = np.zeros(len(index.centroids), dtype=np.int64)
-    for r in coded.groupBy("list").count().collect():
-        sizes[r["list"]] = r["count"]
+    coded = cut(rows.mapInArrow(encode, f"vec_id long, v {kind}, list int, codes binary, off double, far double"))
+    # at most MAX_LISTS entries
+    sizes, radius = np.zeros(len(index.centroids), dtype=np.int64), np.zeros(len(index.centroids))
+    for r in coded.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
+        sizes[r["list"]], radius[r["list"]] = r["n"], r["far"]
+    # a repeated row is one query
+    own = cut(rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The lists that a query probes at first (``reach`` null), or those others that may hold a score of ``reach``."""
         at = held.value
         for batch in batches:
             if batch.num_rows:
-                order = np.argsort(-(_matrix(batch.column("v")) @ at.centroids.T), axis=1, kind="stable")
+                q, unit = at.units(_matrix(batch.column("v")))
+                scores = q @ at.centroids.T
+                order = np.argsort(-scores, axis=1, kind="stable")
                 # further lists are probed while those so far hold too few vectors
                 held_before = np.cumsum(sizes[order], axis=1) - sizes[order]
                 wanted = (np.arange(order.shape[1]) < at.probes) | (held_before < 2 * k + 1)
+                reach = batch.column("reach").to_numpy(zero_copy_only=False)
+                later = ~np.isnan(reach)
+                # in the place of an order: what its list's closest vector may score
+                most = np.take_along_axis(scores, order, axis=1) + radius[order]
+                wanted[later] = ~wanted[later] & (sizes[order[later]] > 0) & ~(most[later] < _least(reach[later] / unit[later])[:, None])
                 which, where = np.nonzero(wanted)
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(which)), batch.column("v").take(pa.array(which)), pa.array(order[which, where].astype(np.int32))], ["query_id", "q", "list"])
-
-    # a repeated row is one query
-    queries = cut(rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(probe, f"query_id long, q {kind}, list int"))
-    asked = {r["list"]: r["count"] for r in queries.groupBy("list").count().collect()}
-    # at most MAX_LISTS entries
-    plan = spark.createDataFrame(
-        [(i, max(1, -(-int(s) // CELL_VECTORS)), max(1, -(-asked.get(i, 0) // CELL_QUERIES))) for i, s in enumerate(sizes)],
-        "list int, chunks int, blocks int",
-    )
-    plan = F.broadcast(plan)
-    cell_of = lambda x, n: F.pmod(F.xxhash64(x), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = coded.join(plan, "list").select("list", cell_of("vec_id", "chunks").alias("chunk"), every("blocks").alias("block"), "vec_id", "v", "codes")
-    right = queries.join(plan, "list").select("list", every("chunks").alias("chunk"), cell_of("query_id", "blocks").alias("block"), "query_id", "q")
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(which)) for c in ("vec_id", "v", "reach")), pa.array(order[which, where].astype(np.int32))], ["query_id", "q", "reach", "list"])
 
     def cell(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -176,33 +199,74 @@ def search(vectors: DataFrame, is_query: Column | None = None, k: int = 20, colu
         ids = vectors.column("vec_id").to_numpy()
         by_id = np.argsort(ids, kind="stable")
         ids, x = ids[by_id], _matrix(vectors.column("v"))[by_id]
-        # of equal vectors only the k + 1 least ids can be among a query's k nearest: more would crowd out others
+        # of equal vectors only those of the least ids can be among a query's k nearest: k, and as many as the query's own rows
         _, same = np.unique(x, axis=0, return_inverse=True)
         grouped = np.argsort(same.ravel(), kind="stable")
         starts = np.flatnonzero(np.diff(same.ravel()[grouped], prepend=-1))
         nth = np.empty(len(ids), dtype=np.int64)
         nth[grouped] = np.arange(len(ids)) - np.repeat(starts, np.diff(starts, append=len(ids)))
-        kept = np.flatnonzero(nth <= k)
+        runs = np.flatnonzero(np.diff(ids[grouped], prepend=ids[grouped[0]] - 1) | np.diff(same.ravel()[grouped], prepend=-1))
+        repeats = np.zeros(len(starts), dtype=np.int64)
+        np.maximum.at(repeats, same.ravel()[grouped[runs]], np.diff(runs, append=len(ids)))
+        kept = np.flatnonzero(nth < k + repeats[same.ravel()])
         by_id, ids, x = by_id[kept], ids[kept], x[kept]
         codes = np.frombuffer(b"".join(vectors.column("codes").to_pylist()), np.uint8).reshape(vectors.num_rows, -1)[by_id]
+        off = vectors.column("off").to_numpy()[by_id].astype(np.float32)
         lists = np.full(len(ids), vectors.column("list")[0].as_py())
         asked, q = queries.column("query_id").to_numpy(), _matrix(queries.column("q"))
+        unit_q, unit = held.value.units(q)
+        reach = queries.column("reach").to_numpy()
         out = []
-        for a in range(0, len(asked), 128):
-            mine, own = q[a : a + 128], asked[a : a + 128]
-            rough = held.value.approximate(mine, lists, codes)
-            rough[own[:, None] == ids[None, :]] = -np.inf
-            # ids rise, and the sort is stable: equal scores keep the smaller ids
-            near = np.argsort(-rough, axis=1, kind="stable")[:, : RERANK * k]
-            exact = np.einsum("qd,qrd->qr", mine, x[near])
-            exact[np.take_along_axis(rough, near, axis=1) == -np.inf] = -np.inf
-            first = np.lexsort((ids[near], -exact), axis=1)[:, :k]
-            near, exact = np.take_along_axis(near, first, axis=1), np.take_along_axis(exact, first, axis=1)
-            good = exact > -np.inf
-            out.append((np.repeat(own, good.sum(1)), ids[near][good], exact[good]))
+
+        def exact(which: np.ndarray, where: np.ndarray) -> np.ndarray:
+            parts = [np.einsum("pd,pd->p", q[which[i : i + PAIRS]], x[where[i : i + PAIRS]]) for i in range(0, max(len(which), 1), PAIRS)]
+            return np.concatenate(parts)
+
+        for a in range(0, len(asked), TOGETHER):
+            mine = np.arange(a, min(a + TOGETHER, len(asked)))
+            rough = held.value.approximate(unit_q[mine], lists, codes)
+            rough[asked[mine][:, None] == ids[None, :]] = -np.inf
+            # the k best by their codes have k exact scores: what surely scores less than all of those is left out
+            least = np.where(np.isnan(reach[mine]), -np.inf, reach[mine])
+            if len(ids) > k:
+                near = np.argpartition(-rough, k - 1, axis=1)[:, :k]
+                worst = exact(np.repeat(mine, k), near.ravel()).reshape(len(mine), k).min(axis=1)
+                full = np.take_along_axis(rough, near, axis=1).min(axis=1) > -np.inf
+                least = np.maximum(least, np.where(full, worst, -np.inf))
+            which, where = np.nonzero((rough > -np.inf) & ~(rough + off < _least(least / unit[mine])[:, None]))
+            score = exact(mine[which], where)
+            # ids rise with their places: equal scores keep the smaller ids
+            order = np.lexsort((where, -score, which))
+            which, where, score = which[order], where[order], score[order]
+            place = np.arange(len(which)) - np.searchsorted(which, which)
+            first = place < k
+            out.append((asked[mine[which[first]]], ids[where[first]], score[first]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names)
 
     keys = ["list", "chunk", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def nearest_in(queries: DataFrame) -> DataFrame:
+        """The scores of the nearest in the lists that (query_id, q, reach, list) name."""
+        asked = {r["list"]: r["count"] for r in queries.groupBy("list").count().collect()}
+        plan = spark.createDataFrame(
+            [(i, max(1, -(-int(sizes[i]) // CELL_VECTORS)), max(1, -(-asked[i] // CELL_QUERIES))) for i in sorted(asked)],
+            "list int, chunks int, blocks int",
+        )
+        plan = F.broadcast(plan)
+        cell_of = lambda x, n: F.pmod(F.xxhash64(x), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = coded.join(plan, "list").select("list", cell_of("vec_id", "chunks").alias("chunk"), every("blocks").alias("block"), "vec_id", "v", "codes", "off")
+        right = queries.join(plan, "list").select("list", every("chunks").alias("chunk"), cell_of("query_id", "blocks").alias("block"), "query_id", "q", "reach")
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "query_id long, vec_id long, score double")
+
+    def ranked(scores: DataFrame) -> DataFrame:
+        return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    probed = f"query_id long, q {kind}, reach double, list int"
+    found = cut(ranked(nearest_in(cut(own.withColumn("reach", F.lit(None).cast("double")).mapInArrow(probe, probed)))))
+    # a query that has fewer than k has a reach that any list passes
+    kth = found.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("kth"))
+    reach = F.coalesce("kth", F.lit(float("-inf"))).alias("reach")
+    more = own.join(kth, own["vec_id"] == kth["query_id"], "left").select("vec_id", "v", reach).mapInArrow(probe, probed)
+    return ranked(found.drop("rank").unionByName(nearest_in(cut(more))))

@@ -182,6 +182,28 @@ def test_neighbours(spark):
     assert neighbours.search(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["tails", "clusters", "others", "huge"])
+def test_neighbours_of_other_rows(spark, shape):
+    """Every nearest vector is found where the sample doesn't stand for the rows, nor for the queries."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 16))
+    if shape == "tails":
+        x *= np.exp(1.5 * rng.normal(size=(3000, 1)))
+    elif shape == "clusters":
+        x = 0.05 * x + 3 * rng.normal(size=(60, 16))[rng.integers(60, size=3000)]
+    elif shape == "others":
+        x[1::2], x[::20] = 4 * np.eye(16)[rng.integers(16, size=1500)] + 0.3 * x[1::2], 1 + 0.1 * x[::20]
+    else:
+        x[5::7] *= 1e30
+    vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(vectors, k=20, sample=500).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = x @ x.T
+    np.fill_diagonal(scores, -np.inf)
+    assert got == {q: set(np.argsort(-scores[q], kind="stable")[:20].tolist()) for q in range(0, 3000, 20)}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
