@@ -280,6 +280,20 @@ def test_fuzzy_lines_by_edit_similarity_alone(spark):
     assert linked <= near and all(got[i] == i - 1 for i in linked) and len(near) > 50 and len(linked) >= 0.95 * len(near)
 
 
+def test_fuzzy_lines_that_share_few_words(spark):
+    """Lines of equal SimHashes and high edit similarity, in buckets of two and of many."""
+    rng = random.Random(6)
+    long = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(60))
+    short = lambda: " ".join("".join(rng.sample("abcdefgh", 2)) for _ in range(5))
+    rows = []
+    for n in (2, 2, 2, 12):
+        same = long()
+        rows += [(len(rows) + i, f"{short()} {same}") for i in range(n)]
+    got = {r["doc_id"]: r["group_doc"] for r in lines.line_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(distance(rows[a][1], rows[b][1]) <= 0.2 * 75 for a, b in ((0, 1), (2, 3), (4, 5), (6, 17)))
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, **dict.fromkeys(range(6, 18), 6)}
+
+
 def test_repeated_phrases(docs, corpus, empty):
     first = {}
     for i, t, *_ in sorted((r for r in corpus if r[0] is not None), key=lambda r: r[0]):
