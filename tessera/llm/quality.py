@@ -4,7 +4,10 @@ The language model is a modified Kneser-Ney model over unfolded UTF-8 bytes, of
 Spark counts the n-grams of every document, summed in each partition first; their number grows with the input. An n-gram's
 hash is its base-``ALPHABET`` code, which no other n-gram shares; a model is sorted arrays of those hashes, parted by
 language and order, and a worker loads the languages that it meets. An n-gram counts once less than it occurs: one that
-stands in the scored text only isn't known from there.
+stands in the scored text only isn't known from there. A model of more than ``MODEL_NGRAMS`` n-grams is made in parts, by
+the two bytes before an n-gram's last: the n-grams of three bytes and more that a probability takes are in one part, those of
+two bytes and less in every part, and discounts are counted over all of them. Texts are then read once for each part, and a
+stretch adds up what the parts give its symbols: no n-gram is left out.
 
 A text is scored in stretches of ``STRETCH`` characters, each by its own language's model or by whichever of the
 ``ALTERNATES`` most frequent languages' models finds it likelier, so that quoted foreign passages don't count as
@@ -18,7 +21,8 @@ own; repeated rows get equal verdicts; other columns play no part; an empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +38,11 @@ ORDER = 6
 ALPHABET = 256
 #: Codes that a worker remembers the bits of, and that a partition gathers before it sums them.
 MEMO, GATHER = 1 << 20, 1 << 20
-#: N-grams of a language's model (12 bytes each, and less for its lower orders), and counts that are told apart for the cut.
-MODEL_NGRAMS, OFTEN = 1 << 24, 1000
+#: N-grams of a part of a language's model (12 bytes each, and less for its lower orders), and the pairs of bytes that parts
+#: are made of: a part has more only if one pair has.
+MODEL_NGRAMS, PAIRS = 1 << 24, ALPHABET**2
+#: What the parts of a model give the stretches of a text, one part after the other.
+CARRY = "_quality_carry"
 MARK_WORDS = 10
 BAND = 8.0
 LEAST_BITS = 0.15
@@ -65,15 +72,29 @@ def ngram_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return code[picks], np.concatenate([[0], np.cumsum(counts)])
 
 
+@dataclass
+class Whole:
+    """What the parts of a model share: n-grams that count 1, 2, 3 and 4 by order, and all pairs with their counts."""
+
+    often: dict[int, list[int]]
+    bigrams: np.ndarray
+    bigram_counts: np.ndarray
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney over n-gram codes, as sorted arrays for each order."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, whole: Whole | None = None, mine: np.ndarray | None = None):
+        """Of a model's part: what is known of the ``whole`` model, and which pairs of bytes are ``mine``."""
+        self.mine = mine
         rank = np.argsort(codes)
         keys, counts = codes[rank], counts[rank].astype(np.float64)
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for order in range(ORDER, 0, -1):
-            discount = self._discounts(counts)
+            if whole is not None and order == 2:
+                keys, counts = whole.bigrams, whole.bigram_counts.astype(np.float64)
+            often = whole.often[order] if whole is not None and order > 2 else [(counts == k).sum() for k in (1, 2, 3, 4)]
+            discount = self._discounts(often)
             cut_by = discount[np.minimum(counts, 3).astype(int)]
             contexts, of = np.unique(keys // ALPHABET, return_inverse=True)
             total = np.bincount(of, counts)
@@ -91,8 +112,9 @@ class KneserNey:
         self.levels = [(k, p.astype(np.float32), c, m.astype(np.float32)) for k, p, c, m in self.levels]
 
     @staticmethod
-    def _discounts(counts: np.ndarray) -> np.ndarray:
-        n1, n2, n3, n4 = (max(float((counts == k).sum()), 0.5) for k in (1, 2, 3, 4))
+    def _discounts(often: list[int]) -> np.ndarray:
+        """From how many n-grams count 1, 2, 3 and 4."""
+        n1, n2, n3, n4 = (max(float(n), 0.5) for n in often)
         y = n1 / (n1 + 2 * n2)
         raw = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
         return np.array([0.0] + [min(max(d, 0.05), 0.95 * k) for k, d in enumerate(raw) if k])
@@ -116,17 +138,31 @@ class KneserNey:
         return result
 
     def bits(self, codes: np.ndarray) -> np.ndarray:
-        return -np.log2(self.probability(codes)).astype(np.float32)
+        """Bits of each code; none of those that other parts know."""
+        if self.mine is None:
+            return -np.log2(self.probability(codes)).astype(np.float32)
+        out, own = np.zeros(len(codes), np.float32), self.mine[codes // ALPHABET % PAIRS]
+        out[own] = -np.log2(self.probability(codes[own]))
+        return out
 
 
 class Models:
-    """A broadcast for each language's model, loaded when a worker meets the language."""
+    """A broadcast for each language's model, loaded when a worker meets the language.
 
-    def __init__(self, held: dict[int, Broadcast]):
-        self.held = held
-        self.common = [s for s in sorted(held) if s < ALTERNATES]
+    If some have more parts than one, these are the first ones; ``later`` makes the others of each further reading, which
+    has those of the languages that have so many.
+    """
+
+    def __init__(self, held: dict[int, Broadcast], common: list[int] | None = None, later: list[Callable[[], Models]] | None = None):
+        self.held, self.later = held, later or []
+        self.common = [s for s in sorted(held) if s < ALTERNATES] if common is None else common
         self._forget()
 
+    def drop(self) -> None:
+        """Frees what the driver and executors hold of the models; they aren't asked again."""
+        for b in self.held.values():
+            b.destroy()
+
     def _forget(self) -> None:
         self.codes, self.known = np.zeros(0, np.int64), np.zeros((0, len(self.common)), np.float32)
 
@@ -139,7 +175,7 @@ class Models:
         out = np.empty((len(distinct), len(self.common)), np.float32)
         out[~new] = self.known[at[~new]]
         if new.any():
-            out[new] = np.stack([self.held[s].value.bits(distinct[new]) for s in self.common], axis=1)
+            out[new] = np.stack([self.held[s].value.bits(distinct[new]) if s in self.held else np.zeros(new.sum(), np.float32) for s in self.common], axis=1)
             if len(self.codes) > MEMO:
                 self._forget()
                 at = np.zeros(len(distinct), np.int64)
@@ -147,13 +183,13 @@ class Models:
         return out
 
     def __reduce__(self) -> tuple:
-        return _models, (self.held,)
+        return _models, (self.held, self.common)
 
 
-def _models(held: dict[int, Broadcast]) -> Models:
+def _models(held: dict[int, Broadcast], common: list[int]) -> Models:
     """A worker's own, kept between its tasks with what it remembers."""
     if not tx.KEPT or not isinstance(tx.KEPT[0], Models) or list(tx.KEPT[0].held.items()) != list(held.items()):
-        tx.KEPT[:] = [Models(held)]
+        tx.KEPT[:] = [Models(held, common)]
     return tx.KEPT[0]
 
 
@@ -208,24 +244,56 @@ def count_ngrams(docs: DataFrame, slots: list[str | None]) -> DataFrame:
     return parts.groupBy("slot", "code").agg(F.sum("n").alias("n"))
 
 
+def _whole(grams: DataFrame) -> Whole:
+    """Of all n-grams (code, n) of a language."""
+    table, often = grams.select("code", (F.col("n") - 1).alias("c")), {}
+    for order in range(ORDER, 2, -1):
+        told = {r["c"]: r["count"] for r in table.filter("c < 5").groupBy("c").count().collect()}
+        often[order] = [told.get(k, 0) for k in (1, 2, 3, 4)]
+        # below, an n-gram counts once for each symbol that can stand before it
+        table = table.groupBy(F.pmod("code", F.lit(ALPHABET ** (order - 1))).alias("code")).agg(F.count("*").alias("c"))
+        table = cut(table) if order > 3 else table
+    pairs = table.orderBy("code").toArrow()
+    return Whole(often, pairs.column("code").to_numpy(), pairs.column("c").to_numpy())
+
+
 def fit_models(docs: DataFrame, slots: list[str | None], most: int = MODEL_NGRAMS) -> Models:
-    """A model of each language: of all n-grams that occur twice or more or, where those are more than ``most``, from the
-    least count on that leaves at most so many: what workers load stays bounded, however large the corpus is."""
+    """A model of each language, of all n-grams that occur twice or more: in parts of up to ``most`` n-grams, so that what
+    workers load stays bounded, however large the corpus is."""
     counts = cut(count_ngrams(docs, slots).filter("n > 1"))
-    least: dict[int, int] = {}
-    held_back: dict[int, int] = {}
-    # at most OFTEN bins a language
-    for r in sorted(counts.groupBy("slot", F.least("n", F.lit(OFTEN)).alias("n")).count().collect(), key=lambda r: -r["n"]):
-        held_back[r["slot"]] = held_back.get(r["slot"], 0) + r["count"]
-        if held_back[r["slot"]] <= most or r["slot"] not in least:
-            least[r["slot"]] = r["n"]
-    held = {}
-    for s in sorted(least):
-        rows = counts.filter((F.col("slot") == s) & (F.col("n") >= least[s])).select("code", "n").toArrow()
-        held[s] = docs.sparkSession.sparkContext.broadcast(KneserNey(rows.column("code").to_numpy(), rows.column("n").to_numpy() - 1))
+    sizes = {r["slot"]: r["count"] for r in counts.groupBy("slot").count().collect()}
+    pair = F.expr(f"CAST((code DIV {ALPHABET}) % {PAIRS} AS INT)")
+    # of a model in parts, the first pair of each, and the end
+    parts: dict[int, np.ndarray] = {}
+    wholes: dict[int, Whole] = {}
+    for s in sorted(s for s, n in sizes.items() if n > most):
+        own = counts.filter(F.col("slot") == s)
+        # at most PAIRS rows
+        found = own.groupBy(pair.alias("pair")).count().orderBy("pair").toArrow()
+        starts, held = [0], 0
+        for p, n in zip(found.column("pair").to_pylist(), found.column("count").to_pylist(), strict=True):
+            if held and held + n > most:
+                starts, held = [*starts, p], 0
+            held += n
+        parts[s], wholes[s] = np.array([*starts, PAIRS]), _whole(own)
+
+    def made(s: int, part: int) -> Broadcast:
+        rows, mine = counts.filter(F.col("slot") == s), None
+        if s in parts:
+            first, end = (int(x) for x in parts[s][part : part + 2])
+            mine = (np.arange(PAIRS) >= first) & (np.arange(PAIRS) < end)
+            rows = rows.filter(pair.between(first, end - 1))
+        rows = rows.select("code", "n").toArrow()
+        codes, n = rows.column("code").to_numpy(), rows.column("n").to_numpy() - 1
+        out = docs.sparkSession.sparkContext.broadcast(KneserNey(codes, n, wholes.get(s), mine))
         del rows
         tx.release()
-    return Models(held)
+        return out
+
+    common = [s for s in sorted(sizes) if s < ALTERNATES]
+    most_parts = max((len(at) - 1 for at in parts.values()), default=1)
+    later = [lambda p=p: Models({s: made(s, p) for s, at in parts.items() if len(at) - 1 > p}, common) for p in range(1, most_parts)]
+    return Models({s: made(s, 0) for s in sorted(sizes)}, common, later)
 
 
 def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -261,37 +329,82 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, slot int, octave int, bits double, text_hash long"
 
 
-def _bits(data: np.ndarray, offsets: np.ndarray, slot: np.ndarray, models: Models) -> tuple[np.ndarray, np.ndarray]:
-    """Bits per character of each text, and the octave of its length."""
-    codes, bounds = ngram_codes(data, offsets)
-    length = np.diff(bounds)
-    counts = -(-length // STRETCH)
+def _stretches(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: its stretches, and the first of them; of each stretch: its first code."""
+    counts = -(-np.diff(bounds) // STRETCH)
     firsts = np.cumsum(counts) - counts
-    starts = (np.arange(counts.sum()) - np.repeat(firsts, counts)) * STRETCH + np.repeat(bounds[:-1], counts)
-    # where no language has a model, all symbols are equally likely
-    own, best = np.repeat(slot, counts), np.full(len(starts), np.inf)
+    return counts, firsts, (np.arange(counts.sum()) - np.repeat(firsts, counts)) * STRETCH + np.repeat(bounds[:-1], counts)
+
+
+def _sums(codes: np.ndarray, bounds: np.ndarray, slot: np.ndarray, models: Models) -> np.ndarray:
+    """Bits of each stretch by each of the most frequent languages, and by its own where that is another."""
+    counts, _, starts = _stretches(bounds)
+    out, own = np.zeros((len(starts), len(models.common) + 1)), np.repeat(slot, counts)
     distinct, of = np.unique(codes, return_inverse=True)
     if models.common:
         common = models.common_bits(distinct)
         for k in range(len(models.common)):
-            best = np.minimum(best, np.add.reduceat(common[:, k][of], starts))
+            out[:, k] = np.add.reduceat(common[:, k][of], starts)
     for s in np.unique(slot):
         if s in models.held and s >= ALTERNATES:
-            mine = np.repeat(slot, length) == s
+            mine = np.repeat(slot, np.diff(bounds)) == s
             seen = np.unique(of[mine])
             bits = np.zeros(len(distinct), np.float32)
             bits[seen] = models.held[s].value.bits(distinct[seen])
-            best = np.where(own == s, np.minimum(best, np.add.reduceat(bits[of], starts)), best)
+            out[:, -1] = np.where(own == s, np.add.reduceat(bits[of], starts), out[:, -1])
+    return out
+
+
+def _bits(data: np.ndarray, offsets: np.ndarray, slot: np.ndarray, models: Models, carried: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Bits per character of each text, and the octave of its length; ``carried`` are the sums by the models' further parts."""
+    codes, bounds = ngram_codes(data, offsets)
+    length = np.diff(bounds)
+    counts, firsts, starts = _stretches(bounds)
+    sums = _sums(codes, bounds, slot, models) + carried
+    # where no language has a model, all symbols are equally likely
+    best = sums[:, :-1].min(axis=1, initial=np.inf)
+    other = np.repeat(np.isin(slot, [s for s in models.held if s >= ALTERNATES]), counts)
+    best[other] = np.minimum(best[other], sums[other, -1])
     best = np.where(np.isinf(best), np.log2(ALPHABET) * np.diff(np.append(starts, len(codes))), best)
     return np.add.reduceat(best, firsts) / length, np.log2(length).astype(np.int32)
 
 
+def carried(docs: DataFrame, slots: list[str | None], models: Models) -> DataFrame:
+    """The documents, with the sums by the models' further parts, if they have such: read and written once for each part."""
+    names = docs.columns
+    for later in models.later:
+        part, has = later(), CARRY in docs.columns
+
+        def run(batches: Iterator[pa.RecordBatch], part: Models = part, has: bool = has) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    slot, before = _slot_of(batch.column("lang"), slots), batch.column(CARRY) if has else None
+                    values, sizes = [], []
+                    for a, b, data, offsets in tx.slices(batch.column("text")):
+                        codes, bounds = ngram_codes(data, offsets)
+                        sums = _sums(codes, bounds, slot[a:b], part)
+                        values.append((sums + _carry(before, a, b, sums.shape[1])).ravel())
+                        sizes.append(_stretches(bounds)[0] * sums.shape[1])
+                    at = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(values)))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists], [*names, CARRY])
+
+        docs = store(docs.mapInArrow(run, T.StructType([*(docs.schema[n] for n in names), T.StructField(CARRY, T.ArrayType(T.DoubleType()))])))
+        part.drop()
+    return docs
+
+
+def _carry(lists: pa.Array | None, a: int, b: int, width: int) -> np.ndarray | float:
+    return 0.0 if lists is None else lists.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
 def _features(batch: pa.RecordBatch, slots: list, models: Models) -> dict[str, np.ndarray]:
     slot = _slot_of(batch.column("lang"), slots)
+    before = batch.column(CARRY) if CARRY in batch.schema.names else None
     parts: list[dict[str, np.ndarray]] = []
     for a, b, data, offsets in tx.slices(batch.column("text")):
         got = base_counts(data, offsets)
-        got["bits"], got["octave"] = _bits(data, offsets, slot[a:b], models)
+        got["bits"], got["octave"] = _bits(data, offsets, slot[a:b], models, _carry(before, a, b, len(models.common) + 1))
         got["text_hash"] = tx.byte_hasher(data)(offsets[:-1], offsets[1:]).view(np.int64)
         parts.append(got)
     got = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
@@ -310,7 +423,8 @@ def score(docs: DataFrame, slots: list, models: Models) -> DataFrame:
                 got = _features(batch, slots, models)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(got[n]) for n in names]], ["doc_id", *names])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInArrow(run, f"doc_id long, {FEATURES}")
+    docs = carried(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"), slots, models)
+    return docs.mapInArrow(run, f"doc_id long, {FEATURES}")
 
 
 def perplexity_bands(scores: DataFrame, band: float = BAND, least: float = LEAST_BITS) -> DataFrame:
@@ -337,7 +451,9 @@ def verdicts(docs: DataFrame, band: float = BAND, least: float = LEAST_BITS) ->
     """One row for each document: base statistics, base_failed, kept, bits_per_char and its band."""
     prepare(docs.sparkSession)
     slots = language_slots(docs)
-    scores = cut(score(docs, slots, fit_models(docs, slots)))
+    models = fit_models(docs, slots)
+    scores = cut(score(docs, slots, models))
+    models.drop()
     bands = F.broadcast(perplexity_bands(scores, band, least))
     inside = (F.col("n_symbols") * MARK_WORDS <= F.col("n_words")) & F.coalesce(F.col("bits").between(F.col("lowest_bits"), F.col("highest_bits")), F.lit(True))
     return scores.join(bands, ["slot", "octave"], "left").select(
@@ -353,16 +469,17 @@ def keep_quality(docs: DataFrame, band: float = BAND, least: float = LEAST_BITS)
     slots = language_slots(docs)
     models = fit_models(docs, slots)
     own = {"base_failed": T.BooleanType(), "n_words": T.LongType(), "n_symbols": T.LongType(), "slot": T.IntegerType(), "octave": T.IntegerType(), "bits": T.DoubleType(), "text_hash": T.LongType()}
-    names = [f"_quality_{n}" for n in own]
+    names, width = [f"_quality_{n}" for n in own], len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 got = _features(batch, slots, models)
-                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(got[n]) for n in own]], [*batch.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(width)), *[pa.array(got[n]) for n in own]], [*batch.schema.names[:width], *names])
 
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(names, own.values(), strict=True)]])
-    scored = store(docs.mapInArrow(run, schema))
+    scored = store(carried(docs, slots, models).mapInArrow(run, schema))
+    models.drop()
     scores = scored.select(*[F.col(f"_quality_{n}").alias(n) for n in own])
     bands = F.broadcast(perplexity_bands(scores, band, least).withColumnsRenamed({c: f"_quality_{c}" for c in ("slot", "octave", "lowest_bits", "highest_bits")}))
     q = lambda n: F.col(f"_quality_{n}")

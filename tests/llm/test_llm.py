@@ -557,6 +557,19 @@ def test_quality_cuts_large_models(spark):
     assert sizes[0] > 60 >= sizes[1] > 0 and sizes[2] > 0
 
 
+def test_quality_parts_of_large_models(spark, monkeypatch):
+    """Models in parts give every text the bits that whole ones give."""
+    rng = random.Random(12)
+    texts = [(i, " ".join("".join(rng.choice(f"abcdé{'xyzuvw'[i % 6]}") for _ in range(rng.randrange(2, 6))) for _ in range(rng.randrange(12, 60))), f"l{i % 6}") for i in range(120)]
+    frame = spark.createDataFrame([*texts, (500, "", "l0"), (501, None, "l5")], "doc_id long, text string, lang string").repartition(3)
+    whole = {r["doc_id"]: r for r in quality.verdicts(frame).collect()}
+    monkeypatch.setattr(quality.fit_models, "__defaults__", (150,))
+    got = {r["doc_id"]: r for r in quality.verdicts(frame).collect()}
+    assert set(got) == set(whole) and all(got[i]["bits_per_char"] == pytest.approx(whole[i]["bits_per_char"], rel=1e-5) and got[i]["kept"] == whole[i]["kept"] for i in whole)
+    kept = quality.keep_quality(frame)
+    assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == {i for i in whole if whole[i]["kept"]}
+
+
 def test_quality_finds_noise(spark):
     rng = random.Random(1)
     words = "the of and to in is that it was for on are as with they be at one have this from by hot but some what there we can out other were all your when up use word how said an each she".split()
