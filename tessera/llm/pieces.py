@@ -277,20 +277,20 @@ class Dictionary:
     """Words by sorted hashes, with their ids one after the other: some 17 bytes a word."""
 
     def __init__(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
-        order = np.argsort(hashes)
+        kind = np.int32 if len(ids) < 2**31 else np.int64
+        order = np.argsort(hashes).astype(kind)
         self.hashes = hashes[order]
-        self.bounds = np.zeros(len(order) + 1, np.int64)
-        np.cumsum(sizes[order], out=self.bounds[1:])
-        firsts = np.cumsum(sizes, dtype=np.int64)
-        firsts = (firsts - sizes)[order]
+        self.bounds = np.zeros(len(order) + 1, kind)
+        np.cumsum(sizes[order], dtype=kind, out=self.bounds[1:])
+        firsts = np.cumsum(sizes, dtype=kind)
+        firsts -= sizes.astype(kind, copy=False)
+        firsts = firsts[order]
         ids = ids.astype(np.uint16, copy=False) if not len(ids) or ids.max() < 2**16 else ids
         self.ids = np.empty(len(ids), ids.dtype)
         for k in range(0, len(order), GATHER):
             at = self.bounds[k : k + GATHER + 1]
             n = np.diff(at)
             self.ids[at[0] : at[-1]] = ids[np.repeat(firsts[k : k + GATHER] - at[:-1] + at[0], n) + np.arange(at[-1] - at[0])]
-        if len(ids) < 2**31:
-            self.bounds = self.bounds.astype(np.int32)
 
     def find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, whether found) of sorted hashes."""
