@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on a small corpus, and on tables with nulls, ties, repeats and no rows."""
 
 import hashlib
+import os
 import random
 import re
 import time
@@ -294,6 +295,28 @@ def test_fuzzy_lines_that_share_few_words(spark):
     assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, **dict.fromkeys(range(6, 18), 6)}
 
 
+def test_fuzzy_lines_drop_their_tables(docs, spark):
+    """Once groups are known, what led to them is off the disk; the result is read from one table."""
+    folder = os.path.join(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"), "tables")
+    held = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before = held()
+    found = lines.line_groups(docs)
+    assert len(held() - before) == 1 and found.count() == lines.normal_lines(docs).count()
+
+
+def test_near_copies_meet_in_one_bucket(spark):
+    """Near copies share most of their buckets: a pair of classes comes from the first of them alone, and none is lost."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnoprstu") for _ in range(7)) for _ in range(60)]
+    copies = [" ".join("other" if k == i else w for k, w in enumerate(words)) for i in range(20)]
+    frame = spark.createDataFrame(list(enumerate(copies)), "id long, norm string").withColumn("size", F.length("norm"))
+    classes = lines.simhashes(frame).select(F.explode(F.array(*lines._keys())).alias("bucket"), "id", *lines.MARKS)
+    met = classes.join(linking.renamed(classes, lines.MARKS), "bucket").filter("id < lead_id")
+    every, once = met.count(), met.filter(lines._first_common(F.col, linking.led))
+    pairs = met.select("id", "lead_id").distinct().count()
+    assert once.count() == once.select("id", "lead_id").distinct().count() == pairs < every / 3
+
+
 def test_repeated_phrases(docs, corpus, empty):
     first = {}
     for i, t, *_ in sorted((r for r in corpus if r[0] is not None), key=lambda r: r[0]):
