@@ -13,7 +13,7 @@ Scores are those of a unigram model; a BPE model only has ranks, from which log-
 ``-log(rank + 2)``.
 
 Words go back into texts in one pass with the ``DICTIONARY`` most frequent words, as sorted arrays of hashes (at most
-some 32 bytes a word, a bounded broadcast). Only documents with rarer words are shuffled, to be joined with the
+some 32 bytes a word, bounded broadcasts by ranges of hashes, of which the driver has one at a time). Only documents with rarer words are shuffled, to be joined with the
 encodings of their own rare words.
 
 Edge cases: null text has no tokens (null ids) and decodes to null; empty text has none and decodes to itself; white
@@ -24,17 +24,19 @@ is encoded too; an empty table gives an empty result; other columns pass through
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import _text as tx
-from tessera.llm._spark import prepare, store
+from tessera.llm._spark import drop, prepare, store
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words of up to so many characters become lattices in Spark.
@@ -269,35 +271,30 @@ def encode_words(counts: DataFrame, model: Model) -> DataFrame:
         spark.conf.set(name, before)
 
 
-#: Words whose ids are gathered at once while a dictionary is built, and ids that a word of it may have.
-GATHER, MOST_IDS = 1 << 17, 2**16 - 1
+#: Words of a part of the dictionary, about, and ids that a word of it may have.
+PART_WORDS, MOST_IDS = 1 << 18, 2**16 - 1
 
 
 class Dictionary:
     """Words by sorted hashes, with their ids one after the other: some 17 bytes a word."""
 
     def __init__(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
-        kind = np.int32 if len(ids) < 2**31 else np.int64
-        order = np.argsort(hashes).astype(kind)
+        order = np.argsort(hashes)
         self.hashes = hashes[order]
-        self.bounds = np.zeros(len(order) + 1, kind)
-        np.cumsum(sizes[order], dtype=kind, out=self.bounds[1:])
-        firsts = np.cumsum(sizes, dtype=kind)
-        firsts -= sizes.astype(kind, copy=False)
-        firsts = firsts[order]
+        kind = np.int32 if len(ids) < 2**31 else np.int64
+        self.bounds = np.concatenate([[0], np.cumsum(sizes[order])]).astype(kind)
+        firsts, n = (np.cumsum(sizes) - sizes)[order], sizes[order]
         ids = ids.astype(np.uint16, copy=False) if not len(ids) or ids.max() < 2**16 else ids
-        self.ids = np.empty(len(ids), ids.dtype)
-        for k in range(0, len(order), GATHER):
-            at = self.bounds[k : k + GATHER + 1]
-            n = np.diff(at)
-            self.ids[at[0] : at[-1]] = ids[np.repeat(firsts[k : k + GATHER] - at[:-1] + at[0], n) + np.arange(at[-1] - at[0])]
+        self.ids = ids[np.repeat(firsts - self.bounds[:-1], n) + np.arange(len(ids))]
 
     def find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, whether found) of sorted hashes."""
-        if not len(self.hashes):
-            return np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
-        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
-        return at, self.hashes[at] == distinct
+        """(places, whether found) of sorted hashes; only those between its own least and greatest are searched."""
+        at, found = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
+        if len(self.hashes):
+            a, b = np.searchsorted(distinct, self.hashes[0]), np.searchsorted(distinct, self.hashes[-1], side="right")
+            at[a:b] = np.searchsorted(self.hashes, distinct[a:b])
+            found[a:b] = self.hashes[at[a:b]] == distinct[a:b]
+        return at, found
 
     @classmethod
     def of(cls, rows: pa.Table, hash_column: str = "hash") -> Dictionary:
@@ -308,26 +305,26 @@ class Dictionary:
         return cls(rows.column(hash_column).to_numpy().view(np.uint64), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64))
 
 
-def _collected(words: DataFrame) -> Dictionary:
-    """A dictionary of (hash, ids), which come to the driver as a few packed rows."""
+def _parts(words: DataFrame, count: int, most: int) -> list[Broadcast]:
+    """Broadcast dictionaries of (hash, ids), ``count`` rows or less: ranges of hashes of about ``most`` words each.
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                lists = batch.column("ids")
-                parts = [batch.column("hash").to_numpy().tobytes(), lists.value_lengths().to_numpy().astype(np.uint16).tobytes(), lists.flatten().to_numpy().astype(np.int32)]
-                narrow = not len(parts[2]) or parts[2].max() < 2**16
-                parts[2] = parts[2].astype(np.uint16 if narrow else np.int32).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts] + [pa.array([narrow])], ["hashes", "sizes", "ids", "narrow"])
-
-    rows = words.select("hash", "ids").mapInArrow(pack, "hashes binary, sizes binary, ids binary, narrow boolean").collect()
-    put = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
-    hashes = put([np.frombuffer(r["hashes"], np.uint64) for r in rows], np.uint64)
-    sizes = put([np.frombuffer(r["sizes"], np.uint16) for r in rows], np.uint16)
-    narrow = all(r["narrow"] for r in rows)
-    ids = put([np.frombuffer(r["ids"], np.uint16 if r["narrow"] else np.int32) for r in rows], np.uint16 if narrow else np.int32)
-    rows.clear()
-    return Dictionary(hashes, ids, sizes)
+    Tasks sort and pack the parts; the driver has one of them at a time, and hands it on.
+    """
+    bits = max(0, -(-count // most) - 1).bit_length()
+    ranges = F.shiftrightunsigned("hash", 64 - bits).cast("int") if bits else F.lit(0)
+
+    def pack(rows: pa.Table) -> pa.Table:
+        part = Dictionary.of(rows)
+        return pa.table({"part": rows.column("part").slice(0, 1), "packed": pa.array([pickle.dumps(part, pickle.HIGHEST_PROTOCOL)], pa.binary())})
+
+    packed = store(words.select("hash", "ids", ranges.alias("part")).groupBy("part").applyInArrow(pack, "part int, packed binary"))
+    held = []
+    for part in range(1 << bits):
+        for row in packed.filter(F.col("part") == part).select("packed").collect():
+            held.append(words.sparkSession.sparkContext.broadcast(pickle.loads(row["packed"])))
+            del row
+    drop(packed)
+    return held
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray, *held: Dictionary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -338,6 +335,8 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, *held: Dictionary) -> tuple[n
     which, firsts, sizes = (np.full(len(distinct), x, np.int64) for x in (-1, 0, 0))
     for k, part in enumerate(held):
         todo = np.flatnonzero(which < 0)
+        if not len(todo):
+            break
         at, found = part.find(distinct[todo])
         todo, at = todo[found], at[found]
         which[todo], firsts[todo], sizes[todo] = k, part.bounds[at], part.bounds[at + 1] - part.bounds[at]
@@ -365,7 +364,7 @@ def _frequent(coded: DataFrame, most: int) -> DataFrame:
     return coded.filter(F.col("n") >= least)
 
 
-def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, verify: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, verify: bool = False, part_words: int = PART_WORDS) -> DataFrame:
     """All columns of ``docs`` and ``ids``, the token ids of the whole text.
 
     With ``verify``, also round_trip: whether the ids, decoded in the same pass, are the text.
@@ -377,7 +376,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
     counted = coded.agg(F.count("*").alias("n"), F.coalesce(F.min(fits), F.lit(True)).alias("fits")).first()
     whole = counted["n"] <= dictionary and counted["fits"]
     top = coded if counted["n"] <= dictionary else _frequent(coded, dictionary)
-    held = spark.sparkContext.broadcast(_collected(top.filter(fits)))
+    held = _parts(top.filter(fits), min(counted["n"], dictionary), part_words)
     tx.release()
     names, place = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), *([T.StructField("round_trip", T.BooleanType())] if verify else [])])
@@ -402,7 +401,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
         tx.forget()
         for batch in batches:
             for a, b, data, offsets in tx.slices(batch.column(place)):
-                ids, bounds, lost, _ = _tokens(data, offsets, held.value)
+                ids, bounds, lost, _ = _tokens(data, offsets, *(part.value for part in held))
                 rows = batch.slice(a, b - a)
                 if len(lost):
                     # rows with a word beyond the dictionary come by the other way
@@ -423,7 +422,7 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
     def uncommon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in tx.slices(batch.column(place)):
-                _, _, lost, hashes = _tokens(data, offsets, held.value)
+                _, _, lost, hashes = _tokens(data, offsets, *(part.value for part in held))
                 if len(lost):
                     owners, at = np.unique(lost, return_index=True)
                     lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(lost)).astype(np.int32)), pa.array(hashes.view(np.int64)))
@@ -438,13 +437,13 @@ def encode(docs: DataFrame, path: str = MODEL, dictionary: int = DICTIONARY, ver
     maps = asked.groupBy(key).agg(F.collect_list(F.struct("hash", "ids")).alias("_piece_map"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = held.value
+        frequent = [part.value for part in held]
         for batch in batches:
             lists = batch.column("_piece_map")
             flat = lists.flatten()
             own = Dictionary.of(pa.table({"hash": flat.field("hash"), "ids": flat.field("ids")}))
             for a, b, data, offsets in tx.slices(batch.column(place)):
-                ids, bounds, _, _ = _tokens(data, offsets, frequent, own)
+                ids, bounds, _, _ = _tokens(data, offsets, *frequent, own)
                 yield with_ids(batch.select(names).slice(a, b - a), ids, bounds)
 
     late = apart.drop(rest).join(maps, key).select(*[F.col(f"`{c}`") for c in names], "_piece_map").mapInArrow(joined, schema)

@@ -5,6 +5,7 @@ import os
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -406,6 +407,28 @@ def test_pieces_across_words(spark):
         assert r["round_trip"] and best(r["ids"]) == pytest.approx(best(best_path(r["text"], table, model))), r["text"]
 
 
+def test_dictionary_comes_in_parts(spark, docs):
+    """The driver's Python has one part of a dictionary at a time, and parts encode as the whole does."""
+    words = spark.range(400_000).select(F.xxhash64("id").alias("hash"), F.array(F.col("id").cast("int") % 7, F.col("id").cast("int") % 90_000).alias("ids"))
+    tracemalloc.start()
+    parts = pieces._parts(words, 400_000, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = [p.value for p in parts]
+    assert len(parts) == 32 and peak < sum(p.hashes.nbytes + p.ids.nbytes + p.bounds.nbytes for p in whole) / 3
+    hashes = np.concatenate([p.hashes for p in whole])
+    assert len(hashes) == 400_000 and (np.diff(hashes.astype(object)) > 0).all()
+    rows = {r["hash"] % 2**64: r["ids"] for r in words.limit(500).collect()}
+    for p in whole:
+        at, found = p.find(np.sort(np.array(list(rows), np.uint64)))
+        for k, h in zip(at[found], np.sort(np.array(list(rows), np.uint64))[found], strict=True):
+            assert p.ids[p.bounds[k] : p.bounds[k + 1]].tolist() == rows.pop(int(h))
+    assert not rows
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    one, many = (sorted(pieces.encode(docs, verify=True, dictionary=n, part_words=w).select("doc_id", "text", "ids", "round_trip").collect(), key=key) for n, w in ((1 << 22, 1 << 18), (60, 7)))
+    assert one == many and all(r["round_trip"] for r in one)
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/x">Menu {n}</a></li></ul></nav>
 <div class="notice">We use &amp; like cookies</div><div id="wrap"><h2>Head {n}</h2><div class="body"><p>First &lt;{n}&gt;   block<br>goes on<p>Second {n}</p><ul><li>one {n}</li><li>two</li></ul></div></div>
 <p>Read it all, every day</p><form><p>search {n}</p></form><div class="comments"><p>Nice {n}</p></div><footer>&copy; {n}</footer></body></html>"""
