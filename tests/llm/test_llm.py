@@ -318,6 +318,65 @@ def test_near_copies_meet_in_one_bucket(spark):
     assert once.count() == once.select("id", "lead_id").distinct().count() == pairs < every / 3
 
 
+def test_lines_are_compared_by_their_ends(spark):
+    """Ends rule out only what the whole distance does, most pairs that share a passage, and the anchored sum stops early."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(2, 8)))
+    some = lambda n: [word() for _ in range(n)]
+    rows, shared = [], 0
+    for n in range(240):
+        a = some(rng.randint(1, 30))
+        if n % 3 == 0:  # a few edits
+            b = [w if rng.random() > 0.15 else word() for w in a]
+            b = b[rng.randint(0, 2) :] + some(rng.randint(0, 2))
+        elif n % 3 == 1:  # a passage, at other places
+            shared += 1
+            a, b = some(12) + a[:12] + some(3), some(10) + a[:12] + some(4)
+        else:
+            b = some(len(a))
+        a, b = " ".join(a), " ".join(b)
+        rows.append((n, a, b, int(0.2 * max(len(a), len(b)))))
+    # texts of which one begins, or ends, as the other goes on
+    rows += [(240, "xab" * 9, "abx" * 9, 2), (241, "abcd" * 5, "b" + "abcd" * 5, 1), (242, "é" * 30, "é" * 30 + "abcde", 5), (243, "", "abc", 3), (244, "", "abc", 2)]
+    frame = spark.createDataFrame(rows, "n int, na string, nb string, most int")
+    frame = frame.withColumn("any", F.lit(1 << 20))
+    got = frame.select("n", lines._ends_apart("na", "nb", "most").alias("apart"), lines._anchored("na", "nb", "most").alias("bound"), lines._anchored("na", "nb", "any").alias("sum")).collect()
+    real = {n: distance(a, b) for n, a, b, _ in rows}
+    most = {r[0]: r[3] for r in rows}
+    assert all(real[r["n"]] > most[r["n"]] for r in got if r["apart"])
+    assert all(real[r["n"]] <= most[r["n"]] for r in got if r["bound"] <= most[r["n"]])
+    assert sum(r["apart"] for r in got if r["n"] % 3 == 1 and r["n"] < 240) > shared / 2
+    assert all((r["bound"] <= most[r["n"]]) == (r["sum"] <= most[r["n"]]) for r in got) and any(r["bound"] < r["sum"] for r in got)
+
+
+def test_components_of_chains_and_stars(spark):
+    """Long chains, stars, rings and pairs in any order of ids get their least id, also when rounds go on from stars."""
+    rng = random.Random(10)
+    ids = rng.sample(range(10_000), 900)
+    edges = [(ids[i], ids[i + 1]) for i in range(299)] + [(ids[300], ids[i]) for i in range(301, 500)] + [(ids[500 + i], ids[500 + (i + 1) % 100]) for i in range(100)]
+    edges += [(ids[i], ids[i + 1]) for i in range(600, 900, 2)]
+    root = {i: i for i in ids}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    calls, cut = [], linking.cut
+    linking.cut = lambda df: calls.append(df) or cut(df)
+    try:
+        got = {r["id"]: r["label"] for r in linking.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {i: top(i) for i in ids}
+        calls.clear()
+        stars = spark.createDataFrame([(label, i) for i, label in got.items() if i != label], "a long, b long")
+        assert {r["id"]: r["label"] for r in linking.components(stars).collect()} == got and len(calls) == 2
+    finally:
+        linking.cut = cut
+
+
 def test_repeated_phrases(docs, corpus, empty):
     first = {}
     for i, t, *_ in sorted((r for r in corpus if r[0] is not None), key=lambda r: r[0]):
