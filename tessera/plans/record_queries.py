@@ -356,7 +356,7 @@ def search_with_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest vectors of a set of queries, with the records they belong to."""
     index = table(spark, sf_dir, "embeddings")
     asked = index.filter("vec_id % 100 = 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    found = vectors.top_k_of_each(index, asked, 3, "vec_id")
+    found = vectors.top_k_of_all(index, asked, 3, "vec_id")
     return vectors.with_records(found, index.select("vec_id", "label"), "vec_id").select("query_id", "rank", "vec_id", "label")
 
 

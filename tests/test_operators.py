@@ -2,11 +2,15 @@ import json
 import random
 import re
 
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import chunking, entities, faults, records, stores, summaries, triage, vectors
-from tessera.plans import assembly, queries
+from tessera.plans import assembly, queries, record_queries
 from tessera.sources import files, tracker
 
 RECORD = "key string, fields string, attachments array<struct<id:string,filename:string,size:bigint,created:string>>"
@@ -257,6 +261,24 @@ def test_top_k_of_each(spark):
         vectors.top_k_of_each(index, asked, 2, most_queries=1)
 
 
+def test_search_with_more_queries_than_a_part(spark, tmp_path, monkeypatch):
+    """The query's SQL over 1,010 queries, equal and nearly equal vectors among them; parts and blocks split them."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 64)).astype(np.float32)
+    vector = [(base[i % 60] * np.float32(1 if i % 3 else 1 + i % 5 / 7)).tolist() for i in range(1010)]
+    vector[50] = [0.0] * 64
+    rows = {"vec_id": pa.array(range(3, 101_003, 100), pa.int64()), "embedding": pa.array(vector, pa.list_(pa.float32())), "label": pa.array([i % 10 for i in range(1010)], pa.int32())}
+    pq.write_table(pa.table(rows), tmp_path / "embeddings.parquet")
+    for name, value in (("ROWS", 333), ("QUERIES", 64), ("CELLS", 1000)):
+        monkeypatch.setattr(vectors, name, value)
+    monkeypatch.setattr(vectors.top_k_of_all, "__defaults__", ("id", "embedding", 400))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    expected = db.sql(queries.ORACLE_SQL["search_with_records"]).fetchall()
+    got = record_queries.search_with_records(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "label").collect()
+    assert len(got) == 3 * 1010 and sorted(map(tuple, got)) == sorted(expected)
+
+
 def test_mentions_of_signs_and_repeated_texts(spark):
     terms = entities.dictionary(spark.createDataFrame([("systems", "S", ["&&", "the long platform"], 0)], "etype string, canonical string, aliases array<string>, ord int"))
     texts = spark.createDataFrame([("d", 0, "a&&b"), ("d", 0, "a&&b"), ("e", 1, "The Long PLATFORM."), (None, None, "the long platform"), ("f", 0, None)], "key string, pos int, text string")
