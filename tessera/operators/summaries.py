@@ -48,7 +48,9 @@ def longest_chunks(chunks: DataFrame, key: list[str], most: int = 1) -> DataFram
 
 def plain_summary(records: DataFrame, chunks: DataFrame, key: str = "ticket_key") -> DataFrame:
     """summary_text: the first 800 characters of the longest chunk of thirty words, or the metadata text, or the summary."""
-    best = longest_chunks(chunks, [key]).filter(tx.word_count(F.col("text")) >= 30).select(key, F.substring("text", 1, 800).alias("_best"))
+    # the beginnings of texts are ranked, so that whole ones aren't shuffled
+    told = chunks.withColumns({"_best": F.substring("text", 1, 800), "_long": tx.word_count(F.col("text")) >= 30})
+    best = longest_chunks(told, [key]).filter("_long").select(key, "_best")
     return records.join(best, key, "left").withColumn("summary_text", F.coalesce("_best", "metadata_text", "summary")).drop("_best")
 
 

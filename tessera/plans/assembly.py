@@ -43,11 +43,12 @@ def _view(pattern: str) -> Column:
     return F.array_join(paragraphs, "\n\n")
 
 
-def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: DataFrame | None = None, embedder: Callable[[], vectors.Embedder] | None = None, settings: Settings = DEFAULT, ingested_at: Column | None = None, keep: Callable[[str, DataFrame], DataFrame] = lambda _, rows: rows) -> Stages:
+def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: DataFrame | None = None, embedder: Callable[[], vectors.Embedder] | None = None, settings: Settings = DEFAULT, ingested_at: Column | None = None, keep: Callable[[str, DataFrame], DataFrame] = lambda _, rows: rows, done: Callable[[str], None] = lambda _: None) -> Stages:
     """All stages of records (key, fields, attachments).
 
     ``keep`` may store a stage by its name and give the stored one back: later stages then have short plans, which are analysed
     and run once. Without it all stages are one plan, which takes longer to plan than a small batch takes to run.
+    ``done`` is told the name of a stage that no later one reads: who doesn't need its table may delete it.
 
     ``attachment_chunks`` holds the chunks of attachments (ticket_key, attachment_id, ext, pos, chunk_id, text, ...), as
     extraction gave them; without them, triage ranks by name alone.
@@ -68,12 +69,14 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
         features = extract_features(attachment_chunks, ["ticket_key", "attachment_id"])
         files = files.withColumn("attachment_id", triage.attachment_id(files)).join(features, ["ticket_key", "attachment_id"], "left")
     ranked = keep("triage", triage.triage(files, settings=settings))
+    done("valid")
     artifacts = triage.artifact(ranked)
 
     described = meta.withColumn("cleaned", tx.strip_markup(F.col("description"))).withColumn("desc_words", tx.word_count(F.col("cleaned")))
     described = described.withColumn("desc_class", tx.description_class(F.col("cleaned"), F.col("desc_words"), settings)).drop("desc_words")
     described = described.join(artifacts.select("ticket_key", "att_quality", "triage_tier", "primary_attachment", "primary_attachment_id", "triage_score"), "ticket_key", "left")
     described = keep("described", described.withColumn("has_attachment", F.col("primary_attachment_id").isNotNull()))
+    done("metadata")
     own = chunking.description_chunks(described.select("ticket_key", "summary", F.col("cleaned").alias("text"), "desc_class", "has_attachment", chunking.scaffold().alias("scaffold")), settings=settings)
     own = own.withColumn("attachment_id", F.lit(None).cast("string"))
     parts = own
@@ -91,10 +94,10 @@ def assemble(incoming: DataFrame, dictionary: DataFrame, attachment_chunks: Data
     terms = entities.dictionary(dictionary)
     key = ["ticket_key"]
     texts = chunks.select("ticket_key", F.struct(F.lit(2).alias("stage"), F.col("chunk_uid").alias("at")).alias("order"), "text", "source", "chunk_id")
-    plain = meta.select("ticket_key", F.explode(F.array(F.struct(F.lit("0").alias("at"), F.col("summary").alias("t")), F.struct(F.lit("1").alias("at"), F.col("metadata_text").alias("t")))).alias("x"))
+    plain = described.select("ticket_key", F.explode(F.array(F.struct(F.lit("0").alias("at"), F.col("summary").alias("t")), F.struct(F.lit("1").alias("at"), F.col("metadata_text").alias("t")))).alias("x"))
     texts = texts.unionByName(plain.select("ticket_key", F.struct(F.lit(3).alias("stage"), F.col("x.at").alias("at")).alias("order"), F.col("x.t").alias("text"), F.lit("metadata").alias("source"), F.lit("metadata").alias("chunk_id")))
     found = entities.text_mentions(texts, terms, key, ["order", "source", "chunk_id"])
-    components = meta.select("ticket_key", F.posexplode("components").alias("pos", "component"))
+    components = described.select("ticket_key", F.posexplode("components").alias("pos", "component"))
     place = lambda stage: F.struct(F.lit(stage).alias("stage"), F.lpad(F.col("pos").cast("string"), 9, "0").alias("at")).alias("order")
     names = ["ticket_key", "order", "source", "chunk_id", "etype", "term", "confidence"]
     direct = entities.component_mentions(components, terms, key).withColumn("order", place(0)).select(*names)

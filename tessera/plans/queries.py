@@ -493,7 +493,10 @@ def assembled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole assembly, from records to documents."""
     from tessera.plans import assembly
 
-    stages = assembly.assemble(document_record(spark, sf_dir), phrases_raw(spark, sf_dir), ingested_at=F.lit("2024-04-01T00:00:00Z"), keep=lambda _, rows: files.stored(rows))
+    held = files.Stages()
+    # of texts, only the cleaned ones are read after they are described; what is joined is read once
+    keep = lambda name, rows: rows if name == "joined" else held.keep(name, rows.drop("description") if name == "described" else rows)
+    stages = assembly.assemble(document_record(spark, sf_dir), phrases_raw(spark, sf_dir), ingested_at=F.lit("2024-04-01T00:00:00Z"), keep=keep, done=lambda name: held.done(spark, name))
     return stages.documents.select("ticket_key", "quality_tier", "desc_class", "content_source", "chunk_count", "comment_count", "entity_product_count", "primary_evidence_type", F.md5("retrieval_text").alias("retrieval_md5"), F.md5("metadata_text").alias("metadata_md5"))
 
 

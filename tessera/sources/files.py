@@ -48,6 +48,33 @@ def stored(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+class Stages:
+    """Stages of one plan, stored in little space: compressed well, without the shuffle files that led to them, deleted once done with.
+
+    Spark drops shuffle files only once the driver's JVM has found them unreachable: it is asked to look.
+    """
+
+    def __init__(self) -> None:
+        self.paths: dict[str, str] = {}
+
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        spark = rows.sparkSession
+        jvm, path = spark.sparkContext._jvm, scratch(spark)
+        if not _STORED:
+            atexit.register(_drop, jvm, spark.sparkContext)
+        _STORED.append(path)
+        rows.write.option("compression", "zstd").parquet(path)
+        jvm.System.gc()
+        self.paths[name] = path
+        return spark.read.schema(rows.schema).parquet(path)
+
+    def done(self, spark: SparkSession, name: str) -> None:
+        """Deletes a stage that no frame will be read from any more."""
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths[name])
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _STORED.remove(self.paths.pop(name))
+
+
 def _drop(jvm: object, context: object) -> None:
     with contextlib.suppress(Exception):  # the JVM may be gone already
         for path in _STORED:

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import re
 
@@ -279,6 +280,16 @@ def test_search_with_more_queries_than_a_part(spark, tmp_path, monkeypatch):
     assert len(got) == 3 * 1010 and sorted(map(tuple, got)) == sorted(expected)
 
 
+def test_disk_of_the_assembly(spark, sf, tmp_path, monkeypatch):
+    """Stages that no later one reads are deleted; what is left of all takes little more than the tables that were read."""
+    monkeypatch.setattr(files, "scratch", lambda _: f"{tmp_path}/{len(list(tmp_path.iterdir()))}-{random.random()}")
+    got = queries.QUERIES["assembled_documents"](spark, sf)
+    assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    held = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    read = sum(os.path.getsize(f"{sf}/{t}.parquet") for t in ("documents", "pages", "conversations", "benchmark"))
+    assert held < 1.5 * read
+
+
 def test_mentions_of_signs_and_repeated_texts(spark):
     terms = entities.dictionary(spark.createDataFrame([("systems", "S", ["&&", "the long platform"], 0)], "etype string, canonical string, aliases array<string>, ord int"))
     texts = spark.createDataFrame([("d", 0, "a&&b"), ("d", 0, "a&&b"), ("e", 1, "The Long PLATFORM."), (None, None, "the long platform"), ("f", 0, None)], "key string, pos int, text string")
