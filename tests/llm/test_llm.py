@@ -782,3 +782,22 @@ def test_pipeline(spark, sf):
     clean = docs.join(labels.filter("quality = 1"), "doc_id").filter(F.size(F.split("text", r"\s+")) >= 12)
     lost = clean.select("doc_id").exceptAll(first.select("doc_id")).count()
     assert lost <= 0.05 * clean.count()
+
+
+def test_near_texts_of_all_widths(spark):
+    """The same pairs as by their distance alone, also of periodic texts above the width; each part of a text is compared once."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcde", k=rng.randint(1, 9))) for _ in range(60)]
+    rows = []
+    for i in range(60):
+        period = rng.choices(words, k=rng.choice((1, 7, 30)))
+        a = period * (rng.choice((600, 1100)) // len(period) if i % 6 == 0 else rng.randint(1, 9))
+        b = [rng.choice(words) if rng.random() < (i % 5) * 0.08 else w for w in a][i % 3 :]
+        a, b = " ".join(a), " ".join(b)
+        rows.append((i, a, b, int(0.2 * max(len(a), len(b)))))
+    pairs = spark.createDataFrame(rows, "id int, na string, nb string, most int")
+    assert pairs.filter(F.length("na") > lines.WIDE).count() > 2
+    got = {r["id"] for r in lines._near(pairs).collect()}
+    expected = {r["id"] for r in pairs.filter("levenshtein(na, nb, most) >= 0").collect()}
+    assert got == expected and 0 < len(got) < len(rows)
+    assert str(lines._anchored("na", "nb", "most")).count("levenshtein(") == 1
